@@ -15,6 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from headway.functions.binding import let
+
 EARTH_RADIUS = 6371000.0
 WGS84_A, WGS84_B = 6378137.0, 6356752.314245
 AIRY_A, AIRY_B = 6377563.396, 6356256.909
@@ -25,11 +27,6 @@ GRID_E0, GRID_N0 = 400000.0, -100000.0
 SHIFT = dict(tx=446.448, ty=-125.157, tz=542.060, s=-20.4894, rx=0.1502, ry=0.2470, rz=0.8421)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind an expression once, so deep formulas do not grow exponentially."""
-    return F.transform(F.array(value), body)[0]
-
-
 def haversine(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     """Great-circle distance in metres on a sphere."""
     dlon, dlat = F.radians(lon2 - lon1), F.radians(lat2 - lat1)

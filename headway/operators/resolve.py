@@ -229,11 +229,14 @@ def serviced_organisation_journeys(profiles: DataFrame, organisations: DataFrame
     Operation on working days and non-operation on holidays are true, the other
     two false; a reference to an unknown organisation is dropped.
     """
+    def refs(source: str, field: str) -> Column:
+        none = F.array().cast("array<string>")
+        return F.flatten(F.transform(F.col(source), lambda d: F.coalesce(d[field], none)))
+
     entry = F.array(
         *[
             F.struct(
-                F.flatten(F.transform(F.col(source), lambda d, f=field: F.coalesce(d[f], F.array().cast("array<string>")))).alias("codes"),
-                F.lit(flag).alias("operating_on_working_days"),
+                refs(source, field).alias("codes"), F.lit(flag).alias("operating_on_working_days")
             )
             for source, field, flag in (
                 ("so_operation", "working_days", True),

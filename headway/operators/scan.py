@@ -31,10 +31,10 @@ def scan(
     sums, lasts = dict(sums or {}), dict(lasts or {})
     if block is None:
         before = _before(keys, order)
-        for name, value in {**{n: _sum(v, before) for n, v in sums.items()},
-                            **{n: F.last(v, ignorenulls=True).over(before) for n, v in lasts.items()}}.items():
-            df = df.withColumn(name, value)
-        return df
+        return df.withColumns(
+            {n: _sum(v, before) for n, v in sums.items()}
+            | {n: F.last(v, ignorenulls=True).over(before) for n, v in lasts.items()}
+        )
     return _blocked(df, list(keys), list(order), sums, lasts, list(block))
 
 

@@ -27,37 +27,66 @@ def pattern_links(journey_patterns: DataFrame, timing_links: DataFrame) -> DataF
     """Ordered timing links of every journey pattern, through its sections.
 
     ``section_first_stop`` and ``is_last`` describe the link's place in its
-    section, so later steps need no second look at the section.
+    section, so later steps need no second look at the section; a reader that
+    exploded whole sections hands them over. Durations are read here, once per
+    link of a document rather than once per journey.
     """
-    section = Window.partitionBy("file_id", "section_id")
-    links = timing_links.withColumn(
-        "is_last", F.col("link_pos") == F.max("link_pos").over(section)
-    ).withColumn(
-        "section_first_stop",
-        F.min_by(F.col("from.stop_ref"), F.col("link_pos")).over(section),
+    links = timing_links.withColumns(
+        {
+            "run": duration_seconds(F.col("run_time")),
+            "from_wait": _wait(F.col("from.wait_time")),
+            "to_wait": _wait(F.col("to.wait_time")),
+        }
     )
+    if "is_last" not in links.columns:
+        section = Window.partitionBy("file_id", "section_id")
+        links = links.withColumns(
+            {
+                "is_last": F.col("link_pos") == F.max("link_pos").over(section),
+                "section_first_stop": F.min_by(F.col("from.stop_ref"), F.col("link_pos")).over(section),
+            }
+        )
     refs = journey_patterns.select(
         "file_id", "jp_id", F.posexplode("section_refs").alias("section_pos", "section_id")
     )
     return refs.join(links, ["file_id", "section_id"])
 
 
-def wait_text(from_wait: Column, to_wait: Column, is_first: Column) -> Column:
-    """Which wait of a link counts.
+def _wait(text: Column) -> Column:
+    """A wait in seconds and whether it is the zero text; null without text."""
+    return F.when(
+        text.isNotNull(),
+        F.struct(duration_seconds(text).alias("seconds"), (text == NO_WAIT).alias("is_zero")),
+    )
+
+
+def wait_seconds(from_wait: Column, to_wait: Column, is_first: bool) -> Column:
+    """Which wait of a link counts, null for none.
 
     The first stop takes the From wait (zero text counts as none). Elsewhere
     the To wait of the same link wins unless absent or zero; a From wait is
     then returned as it is, zero text included.
     """
-    usable_from = F.when(from_wait != NO_WAIT, from_wait)
-    usable_to = F.when(to_wait != NO_WAIT, to_wait)
-    return F.when(is_first, usable_from).otherwise(F.coalesce(usable_to, from_wait))
+    def usable(wait: Column) -> Column:
+        return F.when(~wait["is_zero"], wait["seconds"])
+
+    if is_first:
+        return usable(from_wait)
+    return F.coalesce(usable(to_wait), from_wait["seconds"])
 
 
 def overriding_links(vj_links: DataFrame) -> DataFrame:
-    """First overriding link per journey and referenced pattern link."""
+    """First overriding link per journey and referenced pattern link.
+
+    A missing run time of an overriding link counts as zero.
+    """
+    read = F.struct(
+        duration_seconds(F.col("run_time")).alias("run"),
+        _wait(F.col("from_wait")).alias("from_wait"),
+        _wait(F.col("to_wait")).alias("to_wait"),
+    )
     return vj_links.groupBy("file_id", "vj_code", F.col("link_ref").alias("link_id")).agg(
-        F.min_by(F.struct("run_time", "from_wait", "to_wait"), "pos").alias("override")
+        F.min_by(read, "pos").alias("override")
     )
 
 
@@ -82,11 +111,17 @@ def _timeline(
 
     # The first stop is the first one with a known activity. Links up to it
     # use the first-stop wait rule.
-    start = links.groupBy(*keys).agg(
-        F.min(F.when(from_ok | met_to, F.struct(*order))).alias("_start")
-    )
     here = F.struct(*order)
-    links = links.join(start, keys).withColumn(
+    met_at = F.min(F.when(from_ok | met_to, here))
+    if blocked:
+        start = links.groupBy(*keys).agg(met_at.alias("_start"))
+        links = links.join(start, keys)
+    else:
+        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing
+        )
+        links = links.withColumn("_start", met_at.over(whole))
+    links = links.withColumn(
         "wait",
         F.when(F.col("_start").isNull() | (here <= F.col("_start")), F.col("first_wait")).otherwise(
             F.col("wait")
@@ -149,31 +184,26 @@ def _timeline(
 
 
 def _with_waits(links: DataFrame) -> DataFrame:
-    first, later = F.lit(True), F.lit(False)
-    base = (F.col("from.wait_time"), F.col("to.wait_time"))
+    base = (F.col("from_wait"), F.col("to_wait"))
     return links.withColumns(
         {
-            "run": duration_seconds(F.col("run_time")),
-            "first_wait": duration_seconds(wait_text(*base, first)),
-            "wait": duration_seconds(wait_text(*base, later)),
+            "first_wait": F.coalesce(wait_seconds(*base, True), F.lit(0.0)),
+            "wait": F.coalesce(wait_seconds(*base, False), F.lit(0.0)),
         }
     )
 
 
 def _with_overrides(links: DataFrame) -> DataFrame:
-    base = (F.col("from.wait_time"), F.col("to.wait_time"))
+    base = (F.col("from_wait"), F.col("to_wait"))
     own = (F.col("override.from_wait"), F.col("override.to_wait"))
 
     def wait(is_first: bool) -> Column:
-        flag = F.lit(is_first)
-        return duration_seconds(F.coalesce(wait_text(*own, flag), wait_text(*base, flag)))
+        return F.coalesce(
+            wait_seconds(*own, is_first), wait_seconds(*base, is_first), F.lit(0.0)
+        )
 
-    run = F.when(F.col("override").isNotNull(), F.col("override.run_time")).otherwise(
-        F.col("run_time")
-    )
-    return links.withColumns(
-        {"run": duration_seconds(run), "first_wait": wait(True), "wait": wait(False)}
-    )
+    run = F.when(F.col("override").isNotNull(), F.col("override.run")).otherwise(F.col("run"))
+    return links.withColumns({"run": run, "first_wait": wait(True), "wait": wait(False)})
 
 
 def stop_times(

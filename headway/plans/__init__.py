@@ -1,4 +1,9 @@
 """Registered queries and whole jobs."""
 
-from headway.plans import q_timetable  # noqa: F401
+from headway.plans import (  # noqa: F401
+    q_calendar,
+    q_lifecycle,
+    q_rollup,
+    q_timetable,
+)
 from headway.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -27,13 +27,24 @@ def _text(*parts):
 def link_rows(t: Tables) -> DataFrame:
     """One row per line item with its place as a timing link."""
     half = F.when(F.col("l_linenumber") <= 3, "A").otherwise("B")
-    rows = t.lineitem.withColumn("half", half)
-    place = F.row_number().over(
-        Window.partitionBy("l_orderkey", "half").orderBy(*LINE_ORDER)
+    section = Window.partitionBy("l_orderkey", "half")
+    in_order = section.orderBy(*LINE_ORDER)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    place = F.row_number().over(in_order) - 1
+    rows = t.lineitem.withColumn("half", half).withColumns(
+        {
+            "link_pos": place,
+            "links": F.count(F.lit(1)).over(whole),
+            "first_supplier": F.first("l_suppkey").over(whole),
+        }
     )
-    rows = rows.withColumn("link_pos", place - 1)
-    return rows.withColumn("section_id", _text("S", F.col("l_orderkey"), "-", F.col("half"))).withColumn(
-        "link_id", _text(F.col("section_id"), "-", F.col("link_pos"))
+    section_id = _text("S", F.col("l_orderkey"), "-", F.col("half"))
+    return rows.withColumns(
+        {
+            "section_id": section_id,
+            "link_id": _text(section_id, "-", F.col("link_pos")),
+            "is_last": F.col("link_pos") == F.col("links") - 1,
+        }
     )
 
 
@@ -70,6 +81,8 @@ def timing_links(t: Tables) -> DataFrame:
             .when(F.col("l_returnflag") == "R", "PT1M")
             .alias("wait_time"),
         ).alias("to"),
+        "is_last",
+        _text("ST", F.col("first_supplier") % 11).alias("section_first_stop"),
     )
 
 
