@@ -80,11 +80,12 @@ def file_attributes(metadata: DataFrame, services: DataFrame, lines: DataFrame,
     Only schema version 2.4 is admitted. The first service gives code, mode and
     public use, the first of the standard parts origin and destination.
     """
-    first = F.struct("service_code", "public_use", "mode")
+    first = F.struct("service_code", "public_use")
     per_file = services.groupBy("file_id").agg(
         F.min("start_date").alias("operating_period_start_date"),
         F.max("end_date").alias("operating_period_end_date"),
         F.min_by(first, "service_pos").alias("s"),
+        F.min_by("mode", F.when(F.col("mode").isNotNull(), F.col("service_pos"))).alias("mode"),
         F.min_by("origin", F.when(F.col("origin").isNotNull(), F.col("service_pos"))).alias("origin"),
         F.min_by("destination", F.when(F.col("destination").isNotNull(), F.col("service_pos"))).alias("destination"),
     )
@@ -111,7 +112,7 @@ def file_attributes(metadata: DataFrame, services: DataFrame, lines: DataFrame,
             F.coalesce("destination", F.lit("")).alias("destination"),
             F.col("s.service_code").alias("service_code"),
             F.col("s.public_use").alias("public_use"),
-            F.coalesce("s.mode", F.lit("bus")).alias("service_mode"),
+            F.coalesce("mode", F.lit("bus")).alias("service_mode"),
         )
     )
 

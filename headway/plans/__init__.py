@@ -5,5 +5,6 @@ from headway.plans import (  # noqa: F401
     q_lifecycle,
     q_rollup,
     q_timetable,
+    q_tracks,
 )
 from headway.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -155,6 +155,14 @@ def stops(t: Tables) -> DataFrame:
     )
 
 
+def supplier_pairs(t: Tables) -> DataFrame:
+    """Stop code pairs the suppliers stand for, each with its lowest supplier."""
+    key = F.col("s_suppkey")
+    return t.supplier.groupBy((key % 11).alias("a"), (F.floor(key / 11) % 11).alias("b")).agg(
+        F.min(key).alias("id")
+    )
+
+
 def placeholder_stops(links: DataFrame) -> DataFrame:
     """Stop ST7 counts as unknown to the register."""
     return (

@@ -143,11 +143,11 @@ def changed_files(t: Tables) -> DataFrame:
 @query(
     "without_violations",
     "WITH " + _FILES_SQL + """SELECT id FROM files f WHERE NOT EXISTS
-  (SELECT 1 FROM files v WHERE v.id % 7 = 0 AND v.revision_id = f.revision_id AND v.filename = f.filename)""",
+  (SELECT 1 FROM files v WHERE v.start IS NULL AND v.revision_id = f.revision_id AND v.filename = f.filename)""",
 )
 def without_violations(t: Tables) -> DataFrame:
     f = files(t)
-    violations = f.where("id % 7 = 0").select("revision_id", F.col("filename").alias("file"))
+    violations = f.where("operating_period_start_date is null").select("revision_id", F.col("filename").alias("file"))
     return life.without_violations(f, violations).select("id")
 
 
@@ -211,12 +211,12 @@ def live_pointers(t: Tables) -> DataFrame:
 
 @query(
     "revisions_with_violations",
-    """SELECT o_custkey AS revision_id FROM orders WHERE o_orderkey % 13 = 0
+    """SELECT o_custkey AS revision_id FROM orders WHERE o_orderpriority = '2-HIGH'
 UNION SELECT c_custkey FROM customer WHERE c_nationkey = 3 UNION SELECT s_suppkey FROM supplier WHERE s_nationkey < 5""",
 )
 def revisions_with_violations(t: Tables) -> DataFrame:
     return life.revisions_with_violations(
-        t.orders.where("o_orderkey % 13 = 0").select(F.col("o_custkey").alias("revision_id")),
+        t.orders.where("o_orderpriority = '2-HIGH'").select(F.col("o_custkey").alias("revision_id")),
         t.customer.where("c_nationkey = 3").select(F.col("c_custkey").alias("revision_id")),
         t.supplier.where("s_nationkey < 5").select(F.col("s_suppkey").alias("revision_id")),
     )
@@ -303,18 +303,14 @@ def resolve_stops(t: Tables) -> DataFrame:
 
 @query(
     "stops_by_secondary_code",
-    """SELECT 'N' || c_nationkey AS code, min('A' || c_custkey) AS atco_code, c_mktsegment
-FROM customer WHERE c_custkey % 40 < 2 GROUP BY c_nationkey, c_mktsegment HAVING count(*) = 1""",
+    """SELECT c_nationkey || '/' || CAST(floor(c_acctbal / 200) AS BIGINT) AS naptan_code, min('A' || c_custkey) AS atco_code
+FROM customer GROUP BY 1 HAVING count(*) = 1""",
 )
 def stops_by_secondary_code(t: Tables) -> DataFrame:
-    code = _text("N", F.col("c_nationkey"))
-    stops = t.customer.where("c_custkey % 40 < 2").select(
-        F.concat_ws("/", code, "c_mktsegment").alias("naptan_code"), _text("A", F.col("c_custkey")).alias("atco_code")
-    )
-    codes = t.customer.select(
-        F.concat_ws("/", code, "c_mktsegment").alias("naptan_code"), code.alias("code"), "c_mktsegment"
-    ).distinct()
-    return res.stops_by_secondary_code(codes, stops).select("code", "atco_code", "c_mktsegment")
+    code = F.concat_ws("/", "c_nationkey", F.floor(F.col("c_acctbal") / 200)).alias("naptan_code")
+    stops = t.customer.select(code, _text("A", F.col("c_custkey")).alias("atco_code"))
+    codes = t.customer.select(code).distinct()
+    return res.stops_by_secondary_code(codes, stops)
 
 
 @query(
@@ -381,7 +377,7 @@ def service_regions(t: Tables) -> DataFrame:
   attr AS (SELECT l_orderkey AS rid, 'S' || (l_partkey % 300) AS code FROM lineitem),
   ptr AS (SELECT ds, max(id) AS rid FROM rev WHERE live GROUP BY ds),
   hit AS (SELECT DISTINCT rid FROM attr JOIN rev ON rev.id = rid AND live
-    WHERE code IN (SELECT 'S' || (p_partkey % 300) FROM part WHERE p_size = 7 AND p_partkey % 5 = 0))
+    WHERE code IN (SELECT 'S' || (p_partkey % 300) FROM part WHERE p_size = 7))
 SELECT DISTINCT ds AS dataset_id, code AS service_code FROM attr JOIN ptr USING (rid) WHERE rid IN (SELECT rid FROM hit)""",
 )
 def published_service_clashes(t: Tables) -> DataFrame:
@@ -396,7 +392,7 @@ def published_service_clashes(t: Tables) -> DataFrame:
     attributes = t.lineitem.select(
         F.col("l_orderkey").alias("revision_id"), _text("S", F.col("l_partkey") % 300).alias("service_code")
     )
-    incoming = t.part.where("p_size = 7 and p_partkey % 5 = 0").select(
+    incoming = t.part.where("p_size = 7").select(
         _text("S", F.col("p_partkey") % 300).alias("service_code")
     )
     return res.published_service_clashes(incoming, attributes, revisions, datasets)
@@ -479,11 +475,11 @@ def update_by_key(t: Tables) -> DataFrame:
 
 @query(
     "insert_or_ignore",
-    """SELECT c_custkey AS k, 'old' AS state FROM customer WHERE c_custkey % 3 = 0
-UNION ALL SELECT DISTINCT o_custkey, 'new' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)""",
+    """SELECT c_custkey AS k, 'old' AS state FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT DISTINCT o_custkey, 'new' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
 )
 def insert_or_ignore(t: Tables) -> DataFrame:
-    old = t.customer.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("k"), F.lit("old").alias("state"))
+    old = t.customer.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("k"), F.lit("old").alias("state"))
     new = t.orders.select(F.col("o_custkey").alias("k"), F.lit("new").alias("state"))
     return rollup.insert_or_ignore(old, new, ["k"])
 

@@ -306,9 +306,9 @@ def corpus_tag_report(t: Tables) -> DataFrame:
     return rollup.tag_report(_corpus(t), "p")
 
 
-@query("files_with_tag", r"SELECT page_id AS file_id FROM pages WHERE regexp_matches(html, '<(\w+:)?table[\s/>]')")
+@query("files_with_tag", r"SELECT page_id AS file_id FROM pages WHERE regexp_matches(html, '<(\w+:)?ul[\s/>]')")
 def files_with_tag(t: Tables) -> DataFrame:
-    return rollup.files_with_tag(_corpus(t), "table").select("file_id")
+    return rollup.files_with_tag(_corpus(t), "ul").select("file_id")
 
 
 @query(

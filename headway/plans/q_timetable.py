@@ -168,17 +168,16 @@ def distinct_pairs(t: Tables) -> DataFrame:
     STOP_SEQUENCE_SQL + """,
 pairs AS (SELECT file_id, jp_id, pos AS sequence_number, stop_ref AS from_stop,
   lead(stop_ref) OVER (PARTITION BY jp_id ORDER BY pos) AS to_stop FROM seq),
-tracks AS (SELECT s_suppkey AS id, 'ST' || (s_suppkey % 11) AS a, 'ST' || ((s_suppkey // 11) % 11) AS b
-  FROM supplier WHERE s_suppkey < 99)
+tracks AS (SELECT min(s_suppkey) AS id, 'ST' || (s_suppkey % 11) AS a, 'ST' || ((s_suppkey // 11) % 11) AS b
+  FROM supplier GROUP BY ALL)
 SELECT file_id, jp_id, CAST(sequence_number AS INTEGER) AS sequence_number, from_stop, to_stop, id AS tracks_id
 FROM pairs JOIN tracks ON a = from_stop AND b = to_stop""",
 )
 def track_sequence(t: Tables) -> DataFrame:
-    key = F.col("s_suppkey")
-    tracks = t.supplier.where("s_suppkey < 99").select(
-        key.alias("id"),
-        F.concat(F.lit("ST"), key % 11).alias("from_atco_code"),
-        F.concat(F.lit("ST"), F.floor(key / 11) % 11).alias("to_atco_code"),
+    tracks = net.supplier_pairs(t).select(
+        "id",
+        F.concat(F.lit("ST"), "a").alias("from_atco_code"),
+        F.concat(F.lit("ST"), "b").alias("to_atco_code"),
     )
     pairs = seq.consecutive_pairs(_sequence(t), ["file_id", "jp_id"], ["pos"])
     return seq.track_sequence(pairs, tracks)
