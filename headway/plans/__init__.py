@@ -2,6 +2,7 @@
 
 from headway.plans import (  # noqa: F401
     q_calendar,
+    q_documents,
     q_lifecycle,
     q_rollup,
     q_timetable,

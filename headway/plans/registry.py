@@ -21,6 +21,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, df: DataFrame, key: str) -> DataFrame:
+        """Small rows dealt out over the cores, ahead of dear work on each."""
+        return df.repartition(self.spark.sparkContext.defaultParallelism * 2, key)
+
 
 def query(name: str, sql: str | None = None):
     """Register a plan under a name; ``sql`` gives the same rows in ANSI SQL."""

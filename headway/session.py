@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,16 +37,34 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only
-    where none is configured (tests on one machine) is a private one made.
+    Only where none is configured (tests on one machine) is a private one made.
     """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
-        if configured is None and not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="headway-ckpt-"))
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured is None and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="headway-ckpt-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut lineage through reliable storage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write a table once to the shared folder and read it back.
+
+    For results that are dear to work out and read several times: later reads
+    take only their own columns, and a lost executor costs no recomputation.
+    """
+    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
