@@ -17,7 +17,7 @@ TRIP_PRODUCTS = (
     "shortTrip",
 )
 # Marks of metadata frames, default fares schema version.
-METADATA_MARK = "METADATA"
+METADATA_MARK = "UK_PI_METADATA"
 DEFAULT_FARES_VERSION = "1.1"
 
 
@@ -216,7 +216,8 @@ def fares_catalogue(frames: dict[str, DataFrame]) -> DataFrame:
         values = F.collect_set(column) if distinct else F.collect_list(column)
         return frames[table].groupBy("file_id").agg(F.array_sort(values).alias(name))
 
-    composite = frames["composite_frames"].where(~F.col("frame_id").contains(METADATA_MARK))
+    is_metadata = F.coalesce(F.col("frame_id").contains(METADATA_MARK), F.lit(False))
+    composite = frames["composite_frames"].where(~is_metadata)
     parts = [
         composite.groupBy("file_id").agg(
             F.min("from_date").cast("date").alias("valid_from"),

@@ -164,7 +164,7 @@ def _fares_frames(t: Tables) -> dict[str, DataFrame]:
         ),
         "composite_frames": li.where("l_linenumber <= 4").select(
             "file_id",
-            F.when(part % 3 == 0, "epd:UK:METADATA:x").otherwise("epd:UK:FARES:x").alias("frame_id"),
+            F.when(part % 3 == 0, "epd:UK_PI_METADATA_OFFER:x").otherwise("epd:UK:FARES:x").alias("frame_id"),
             F.col("l_shipdate").alias("from_date"),
             (F.col("l_shipdate") + F.expr("INTERVAL 9 DAYS")).alias("to_date"),
         ),
