@@ -53,6 +53,18 @@ def with_track_id(tracks: DataFrame) -> DataFrame:
     return tracks.withColumn("id", F.xxhash64("from_atco_code", "to_atco_code", "points"))
 
 
+def file_track_sequence(pairs: DataFrame, tracks: DataFrame) -> DataFrame:
+    """Tracks along each pattern, out of the tracks of its own file; pairs
+    without a track leave gaps in the numbers."""
+    lookup = tracks.select(
+        "file_id",
+        F.col("from_atco_code").alias("from_stop"),
+        F.col("to_atco_code").alias("to_stop"),
+        F.col("id").alias("tracks_id"),
+    )
+    return pairs.join(lookup, ["file_id", "from_stop", "to_stop"])
+
+
 def missing_pairs(wanted: DataFrame, tracks: DataFrame) -> DataFrame:
     """Distinct stop pairs that no stored track covers yet."""
     have = tracks.select(F.col("from_atco_code").alias("from_stop"), F.col("to_atco_code").alias("to_stop"))

@@ -25,7 +25,7 @@ def merge_latest(current: DataFrame, batch: DataFrame) -> DataFrame:
 
 def archive_name(data_format: Column, received_at: Column) -> Column:
     return F.concat(
-        F.lower(data_format), F.lit("_"), F.date_format(received_at, "yyyyMMddHHmmss"), F.lit(".zip")
+        F.lower(data_format), F.lit("_"), F.date_format(received_at, "yyyy-MM-dd_HHmmss"), F.lit(".zip")
     )
 
 
@@ -60,6 +60,18 @@ def archive_feed(
     return writer.trigger(**(trigger or {"processingTime": "1 minute"})).start()
 
 
+def current_latest(spark: SparkSession, pointer_path: str, batch_id: int) -> DataFrame:
+    """Pointer table as of one batch, or the newest batch before it that wrote."""
+    newest = (
+        spark.read.option("basePath", pointer_path)
+        .parquet(f"{pointer_path}/batch=*")
+        .where(F.col("batch") <= batch_id)
+    )
+    return newest.groupBy("data_format").agg(
+        F.max_by("file", "batch").alias("file"), F.max_by("last_updated", "batch").alias("last_updated")
+    )
+
+
 def arrivals(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
     """Stream of newly arrived files with content hash; each file once."""
     raw = (
