@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions.binding import let
 from headway.functions.time import day_range, weekday
 
 # Weekday names in ISO order.
@@ -97,24 +98,32 @@ def operating_days(journeys: DataFrame, exception_days: DataFrame) -> DataFrame:
     """Every day each journey runs.
 
     Regular weekdays within the service period, plus operating exceptions,
-    minus non-operating ones. ``journeys`` has days, start_date and end_date.
+    minus non-operating ones. ``journeys`` has days, start_date and end_date,
+    one row per journey.
+
+    Exceptions are gathered per journey (a calendar bounds them) and the days
+    are worked out as arrays, so journeys are shuffled, not journey days.
     """
-    all_days = day_range(F.col("start_date"), F.col("end_date"))
-    regular = weekday_numbers(F.col("days"))
-    base = journeys.select(
-        "file_id",
-        "vj_code",
-        F.explode(
-            F.filter(all_days, lambda d: F.array_contains(regular, weekday(d)))
-        ).alias("date"),
+    changed = exception_days.groupBy("file_id", "vj_code").agg(
+        F.collect_set(F.when(F.col("operates"), F.col("date"))).alias("added"),
+        F.collect_set(F.when(~F.col("operates"), F.col("date"))).alias("removed"),
     )
-    added = exception_days.where("operates").select("file_id", "vj_code", "date")
-    removed = exception_days.where("not operates").select("file_id", "vj_code", "date")
-    return (
-        base.unionByName(added)
-        .distinct()
-        .join(removed, ["file_id", "vj_code", "date"], "left_anti")
+    joined = journeys.select("file_id", "vj_code", "days", "start_date", "end_date").join(
+        changed, ["file_id", "vj_code"], "left"
+    )
+    none = F.array().cast("array<date>")
+    regular = let(
+        weekday_numbers(F.col("days")),
+        lambda numbers: F.filter(
+            day_range(F.col("start_date"), F.col("end_date")),
+            lambda d: F.array_contains(numbers, weekday(d)),
+        ),
+    )
+    days = F.array_except(
+        F.array_union(F.coalesce(regular, none), F.coalesce("added", none)),
+        F.coalesce("removed", none),
     )
+    return joined.select("file_id", "vj_code", F.explode(days).alias("date"))
 
 
 def flexible_operation_periods(flexible_journeys: DataFrame) -> DataFrame:

@@ -144,27 +144,29 @@ def journey_reference_chain(vehicle_journeys: DataFrame, max_rounds: int = 64) -
         )
         .select("file_id", "vj_code", "v.jp_ref", F.when(F.col("v.jp_ref").isNull(), F.col("v.next")).alias("next"))
     )
-    open_rows = F.col("jp_ref").isNull() & F.col("next").isNotNull()
-    left = state.where(open_rows).count()
+    is_open = F.col("jp_ref").isNull() & F.col("next").isNotNull()
+    settled, waiting = state.where(~is_open), state.where(is_open)
+    left = waiting.count()
     for _ in range(max_rounds):
         if left == 0:
             break
-        done = state.where(~open_rows)
-        targets = state.select(
+        targets = settled.unionByName(waiting).select(
             "file_id",
             F.col("vj_code").alias("next"),
             F.col("jp_ref").alias("t_jp"),
             F.col("next").alias("t_next"),
         )
-        moved = state.where(open_rows).join(targets, ["file_id", "next"], "left").select(
-            "file_id", "vj_code", F.col("t_jp").alias("jp_ref"), F.col("t_next").alias("next")
+        moved = checkpoint(
+            waiting.join(targets, ["file_id", "next"], "left").select(
+                "file_id", "vj_code", F.col("t_jp").alias("jp_ref"), F.col("t_next").alias("next")
+            )
         )
-        state = checkpoint(done.unionByName(moved))
-        remaining = state.where(open_rows).count()
+        settled, waiting = settled.unionByName(moved.where(~is_open)), moved.where(is_open)
+        remaining = waiting.count()
         if remaining == left:
             break
         left = remaining
-    return state.select("file_id", "vj_code", F.when(F.col("jp_ref").isNotNull(), F.col("jp_ref")).alias("jp_ref"))
+    return settled.unionByName(waiting).select("file_id", "vj_code", "jp_ref")
 
 
 def emitted_journeys(vehicle_journeys: DataFrame) -> DataFrame:
