@@ -17,7 +17,6 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Hash instead of sort merge joins where every partition turned out small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -26,7 +26,7 @@ def scan_corpus(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataF
         base_name(F.col("path")).alias("name"),
         F.col("length").alias("size"),
         F.sha1("content").alias("sha1"),
-        F.decode("content", F.lit("UTF-8")).alias("text"),
+        F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
     )
 
 
@@ -77,7 +77,11 @@ def stage(documents: DataFrame, path: str) -> DataFrame:
 
 
 def corrupt_documents(documents: DataFrame) -> DataFrame:
-    return documents.where(F.col(CORRUPT).isNotNull())
+    """Documents that did not parse (or did not fit their XSD)."""
+    # A reader refuses to fill the corrupt column alone, so a field is asked for too.
+    field = next(c for c in documents.columns if c.startswith("_") and c != CORRUPT)
+    asked = F.coalesce(F.col(field), F.lit("")) >= F.lit("")
+    return documents.where(F.col(CORRUPT).isNotNull() & asked)
 
 
 def schema_violations(documents: DataFrame) -> DataFrame:

@@ -87,7 +87,7 @@ def arrivals(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFram
         F.col("modificationTime").alias("arrived_at"),
         F.col("length").alias("size"),
         F.sha1("content").alias("sha1"),
-        F.decode("content", F.lit("UTF-8")).alias("text"),
+        F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
     )
 
 
