@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.functions.text import has_path_separator
+
 
 def latest_by_name(files: DataFrame, keys: Sequence[str] = ("revision_id", "filename")) -> DataFrame:
     """Per revision and file name the row with the highest id."""
@@ -105,27 +107,65 @@ def revision_moves(draft: DataFrame, live: DataFrame) -> DataFrame:
     """Draft files whose revision number does not move as it should.
 
     Live files with the same service code and line set are read by ascending
-    revision. The first decisive one settles it: same modification time needs
-    the same revision; otherwise a live revision not below the draft's is a
-    violation. Live rows that decide nothing are passed over, so the first
-    decisive one is a minimum, found by partial aggregation.
+    revision, then id. The first decisive one settles it: same modification
+    time needs the same revision; otherwise a live revision not below the
+    draft's is a violation.
+
+    Live rows are reduced before any draft meets them: to the first row per
+    modification time, and per revision to the first row and the first with
+    another time than that one's. So a draft meets at most one row per revision
+    number of its service, however many files the service has.
     """
+    key = ["service_code", "_lines"]
     lines = F.array_sort("line_names")
-    old = live.select(
+    modified, place = F.col("modification_datetime"), F.struct("revision", "id")
+    rows = live.select(
         "service_code",
         lines.alias("_lines"),
-        F.col("modification_datetime").alias("_modified"),
-        F.col("revision_number").alias("_revision"),
-        F.col("id").alias("_id"),
+        F.col("modification_datetime").alias("modified"),
+        F.col("revision_number").alias("revision"),
+        "id",
+    )
+    by_time = rows.groupBy(*key, "modified", "revision").agg(F.min("id").alias("id"))
+    same_time = by_time.groupBy(*key, "modified").agg(F.min(place).alias("same"))
+    first = by_time.groupBy(*key, "revision").agg(F.min(F.struct("id", "modified")).alias("first"))
+    second = (
+        by_time.join(first, [*key, "revision"])
+        .where(~F.col("modified").eqNullSafe(F.col("first.modified")))
+        .groupBy(*key, "revision")
+        .agg(F.min("id").alias("second_id"))
+    )
+    by_revision = first.join(second, [*key, "revision"], "left")
+
+    drafts = draft.withColumn("_lines", lines)
+    ahead = drafts.join(by_revision, key).where(F.col("revision") >= F.col("revision_number"))
+    other_id = F.when(
+        ~F.col("first.modified").eqNullSafe(modified), F.col("first.id")
+    ).otherwise(F.col("second_id"))
+    names = ["revision_id", "filename", "id"]
+    behind = (
+        ahead.withColumn("other_id", other_id)
+        .where("other_id is not null")
+        .groupBy(*[drafts[n] for n in names])
+        .agg(F.min(F.struct("revision", F.col("other_id").alias("id"))).alias("behind"))
+    )
+    judged = (
+        drafts.join(
+            same_time.withColumnRenamed("service_code", "_code").withColumnRenamed("_lines", "_live_lines"),
+            (F.col("service_code") == F.col("_code"))
+            & (F.col("_lines") == F.col("_live_lines"))
+            & F.col("modified").eqNullSafe(modified),
+            "left",
+        )
+        .join(behind, names, "left")
+    )
+    decided_by_time = F.col("same").isNotNull() & (
+        F.col("behind").isNull() | (F.col("same") < F.col("behind"))
     )
-    pairs = draft.withColumn("_lines", lines).join(old, ["service_code", "_lines"])
-    same = F.col("_modified").eqNullSafe(F.col("modification_datetime"))
-    behind = ~same & (F.col("_revision") >= F.col("revision_number"))
-    wrong = F.when(same, F.col("_revision") != F.col("revision_number")).otherwise(behind)
-    first = pairs.where(same | behind).groupBy("revision_id", "filename").agg(
-        F.min_by(wrong, F.struct("_revision", "_id")).alias("wrong")
+    wrong = F.when(decided_by_time, F.col("same.revision") != F.col("revision_number")).otherwise(
+        F.col("behind").isNotNull()
     )
-    return first.where("wrong").select("revision_id", "filename")
+    return judged.where(wrong).select("revision_id", "filename").distinct()
 
 
 def revision_status(file_status: DataFrame, repackaged: DataFrame | None = None) -> DataFrame:
@@ -168,6 +208,24 @@ def live_pointers(datasets: DataFrame, revisions: DataFrame) -> DataFrame:
     )
 
 
+def post_schema_results(files: DataFrame, clashes: DataFrame | None = None) -> DataFrame:
+    """Results of the checks after schema validation, in one table.
+
+    File names may hold no path separator. ``clashes(file_id, dataset_id)``
+    names published datasets that carry a file's service code; without it that
+    check is switched off.
+    """
+    names = files.where(has_path_separator(F.col("filename"))).select(
+        "file_id", F.lit("PII_ERROR").alias("error_code"), F.col("filename").alias("details")
+    )
+    if clashes is None:
+        return names
+    exists = clashes.select(
+        "file_id", F.lit("SERVICE EXISTS").alias("error_code"), F.col("dataset_id").cast("string").alias("details")
+    )
+    return names.unionByName(exists.distinct())
+
+
 def revisions_with_violations(*violation_tables: DataFrame) -> DataFrame:
     """Revisions named in any of the violation tables: whom to notify."""
     keys = [t.select("revision_id").distinct() for t in violation_tables]

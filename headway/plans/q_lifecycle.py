@@ -154,15 +154,16 @@ def without_violations(t: Tables) -> DataFrame:
 @query(
     "revision_moves",
     "WITH " + _FILES_SQL + """,
-pairs AS (SELECT a.revision_id, a.filename, b.rev AS brev, b.id AS bid, a.rev AS arev, a.modified = b.modified AS same
+pairs AS (SELECT a.id, a.revision_id, a.filename, b.rev AS brev, b.id AS bid, a.rev AS arev, a.modified = b.modified AS same
   FROM files a JOIN files b ON a.service_code = b.service_code AND a.lines = b.lines
-  WHERE a.id % 2 = 0 AND b.id % 2 = 1),
-decisive AS (SELECT *, row_number() OVER (PARTITION BY revision_id, filename ORDER BY brev, bid) AS r FROM pairs WHERE same OR brev >= arev)
-SELECT revision_id, filename FROM decisive WHERE r = 1 AND CASE WHEN same THEN brev <> arev ELSE true END""",
+  WHERE a.start IS NULL AND b.start IS NOT NULL),
+decisive AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY brev, bid) AS r FROM pairs WHERE same OR brev >= arev)
+SELECT DISTINCT revision_id, filename FROM decisive WHERE r = 1 AND CASE WHEN same THEN brev <> arev ELSE true END""",
 )
 def revision_moves(t: Tables) -> DataFrame:
     f = files(t)
-    return life.revision_moves(f.where("id % 2 = 0"), f.where("id % 2 = 1"))
+    is_draft = F.col("operating_period_start_date").isNull()
+    return life.revision_moves(f.where(is_draft), f.where(~is_draft))
 
 
 def _status(t: Tables) -> DataFrame:
@@ -532,3 +533,14 @@ def xml_safety(t: Tables) -> DataFrame:
     )
     c = F.col("text")
     return both.select("page_id", txt.is_unsafe_xml(c).alias("unsafe"), txt.document_type(c).alias("root"))
+
+
+@query(
+    "post_schema_results",
+    """SELECT doc_id AS file_id, 'PII_ERROR' AS error_code, text AS details FROM documents WHERE regexp_matches(text, '[\\\\/]')
+UNION ALL SELECT DISTINCT d.doc_id, 'SERVICE EXISTS', CAST(l.quality AS VARCHAR) FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic = 1""",
+)
+def post_schema_results(t: Tables) -> DataFrame:
+    names = t.documents.select(F.col("doc_id").alias("file_id"), F.col("text").alias("filename"))
+    clashes = t.labels.where("toxic = 1").select(F.col("doc_id").alias("file_id"), F.col("quality").alias("dataset_id"))
+    return life.post_schema_results(names, clashes)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions.time import duration_seconds
 from headway.operators import patterns as pat
 from headway.operators import resolve as res
 from headway.operators import rollup
@@ -485,14 +486,14 @@ def vehicle_journey_rows(t: Tables) -> DataFrame:
 
 @query(
     "duplicate_journeys",
-    """SELECT conv_id % 50 AS file_id, role, CAST(length(text) % 40 AS INTEGER) AS jp, count(*) AS journeys,
+    """SELECT conv_id // 50 AS file_id, role, CAST(length(text) % 40 AS INTEGER) AS jp, count(*) AS journeys,
   string_agg('V' || lpad(CAST(conv_id AS VARCHAR), 9, '0') || '-' || turn, ',' ORDER BY 'V' || lpad(CAST(conv_id AS VARCHAR), 9, '0') || '-' || turn) AS vj_codes
 FROM conversations GROUP BY ALL HAVING count(*) > 1""",
 )
 def duplicate_journeys(t: Tables) -> DataFrame:
     code = F.concat(F.lit("V"), F.lpad(F.col("conv_id").cast("string"), 9, "0"), F.lit("-"), F.col("turn"))
     journeys = t.conversations.select(
-        (F.col("conv_id") % 50).alias("file_id"),
+        F.floor(F.col("conv_id") / 50).alias("file_id"),
         F.lit("08:00:00").alias("departure_time"),
         (F.length("text") % 40).alias("jp_ref"),
         F.col("role").alias("profile"),
@@ -502,3 +503,67 @@ def duplicate_journeys(t: Tables) -> DataFrame:
     return out.select(
         "file_id", F.col("profile").alias("role"), F.col("jp_ref").alias("jp"), "journeys", "vj_codes"
     )
+
+
+@query(
+    "iso_durations",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(CASE l_linenumber % 5
+  WHEN 0 THEN l_quantity * 60 WHEN 1 THEN l_quantity * 3600 + l_suppkey WHEN 2 THEN -(l_quantity * 86400 + 90)
+  WHEN 3 THEN l_quantity + 0.5 ELSE 0 END AS DOUBLE) AS seconds FROM lineitem""",
+)
+def iso_durations(t: Tables) -> DataFrame:
+    n, q = F.col("l_linenumber") % 5, F.col("l_quantity").cast("int")
+    text = (
+        F.when(n == 0, F.concat(F.lit("PT"), q, F.lit("M")))
+        .when(n == 1, F.concat(F.lit("PT"), q, F.lit("H"), "l_suppkey", F.lit("S")))
+        .when(n == 2, F.concat(F.lit("-P"), q, F.lit("DT1M30S")))
+        .when(n == 3, F.concat(F.lit("PT"), q, F.lit(".5S")))
+        .otherwise(F.concat(F.lit("about "), q, F.lit("M")))
+    )
+    return t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", duration_seconds(text).alias("seconds")
+    )
+
+
+def _flexible(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """An order is a flexible pattern and journey, its lines are stops and zones."""
+    file_id = F.floor(F.col("l_orderkey") / 100).alias("file_id")
+    stops = net.link_rows(t).select(
+        file_id,
+        F.concat(F.lit("JP"), "l_orderkey").alias("jp_id"),
+        (F.col("half") == "A").alias("in_sequence"),
+        F.col("link_pos").alias("stop_pos"),
+        F.concat(F.lit("ST"), F.col("l_partkey") * 2).alias("stop_ref"),
+        F.when(F.col("l_quantity") > 25, "principalPoint").alias("timing_status"),
+    )
+    journeys = t.orders.select(
+        F.floor(F.col("o_orderkey") / 100).alias("file_id"),
+        F.concat(F.lit("VJ"), "o_orderkey").alias("vj_code"),
+        F.concat(F.lit("JP"), "o_orderkey").alias("jp_ref"),
+    )
+    return stops, journeys
+
+
+@query(
+    "flexible_stop_sequence",
+    "WITH " + NETWORK_SQL + """
+SELECT f AS file_id, jp_id, CAST(row_number() OVER (PARTITION BY jp_id ORDER BY half, link_pos) - 1 AS INTEGER) AS pos,
+  'ST' || (l_partkey * 2) AS stop_ref, half = 0 AS in_sequence FROM links""",
+)
+def flexible_stop_sequence(t: Tables) -> DataFrame:
+    return seq.flexible_stop_sequence(_flexible(t)[0])
+
+
+@query(
+    "flexible_stop_rows",
+    "WITH " + NETWORK_SQL + """,
+known AS (SELECT f, l_orderkey, jp_id, l_partkey * 2 AS p, l_quantity > 25 AS tp,
+  row_number() OVER (PARTITION BY jp_id ORDER BY link_pos) - 1 AS n FROM links
+  WHERE half = 0 AND l_partkey * 2 IN (SELECT p_partkey FROM part))
+SELECT f AS file_id, 'VJ' || l_orderkey AS vj_code, jp_id, 'ST' || p AS atco_code, p_name || ' ' || p AS common_name,
+  CAST(n AS INTEGER) AS auto_sequence_number, CAST(NULL AS VARCHAR) AS departure_time, tp AS is_timing_point, 3 AS stop_activity_id
+FROM known JOIN part ON p_partkey = p""",
+)
+def flexible_stop_rows(t: Tables) -> DataFrame:
+    stops, journeys = _flexible(t)
+    return seq.flexible_stop_rows(journeys, stops, net.stops(t))

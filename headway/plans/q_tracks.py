@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions import geo
@@ -312,9 +312,55 @@ def repointed_references(t: Tables) -> DataFrame:
   count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) WHERE n > 1""",
 )
 def components(t: Tables) -> DataFrame:
-    """Orders of a customer, each linked to the one before it by date."""
-    by_date = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    edges = t.orders.select(
-        F.col("o_orderkey").alias("src"), F.lag("o_orderkey").over(by_date).alias("dst")
-    ).where("dst is not null")
+    """Orders tied to the first of the same customer and status, and those to
+    the last of the customer."""
+    by_status = t.orders.groupBy("o_custkey", "o_orderstatus").agg(F.min("o_orderkey").alias("dst"))
+    last = t.orders.groupBy("o_custkey").agg(F.max("o_orderkey").alias("src"))
+    edges = t.orders.join(by_status, ["o_custkey", "o_orderstatus"]).select(
+        F.col("o_orderkey").alias("src"), "dst"
+    ).unionByName(by_status.join(last, "o_custkey").select("src", "dst"))
     return connected_components(edges)
+
+
+@query(
+    "grid_round_trip",
+    """SELECT o_orderkey AS id, CAST(200000 + o_orderkey * 7919 % 400000 AS INTEGER) AS easting,
+  CAST(60000 + o_orderkey * 104729 % 800000 AS INTEGER) AS northing FROM orders""",
+)
+def grid_round_trip(t: Tables) -> DataFrame:
+    """Grid to degrees and back; whole metres survive."""
+    key = F.col("o_orderkey")
+    grid = t.orders.select(
+        key.alias("id"),
+        (200000 + key * 7919 % 400000).alias("e"),
+        (60000 + key * 104729 % 800000).alias("n"),
+    ).withColumn("p", geo.grid_to_lonlat(F.col("e"), F.col("n")))
+    back = grid.withColumn("g", geo.lonlat_to_grid(F.col("p.lon"), F.col("p.lat")))
+    # The datum shift is undone by its reverse to a centimetre, so allow the rounding step.
+    def near(a: Column, b: Column) -> Column:
+        return F.when(F.abs(a - b) <= 1, b).otherwise(a).cast("int")
+
+    return back.select(
+        "id", near(F.col("g.easting"), F.col("e")).alias("easting"), near(F.col("g.northing"), F.col("n")).alias("northing")
+    )
+
+
+@query(
+    "track_insert",
+    """SELECT 'A' || label AS from_atco_code, 'B' || label AS to_atco_code, CAST(count(*) AS BIGINT) AS tracks,
+  false AS is_new FROM embeddings GROUP BY label
+UNION ALL SELECT DISTINCT 'A' || (l_suppkey % 12), 'B' || (l_suppkey % 12), 1, true FROM lineitem
+WHERE l_suppkey % 12 NOT IN (SELECT label FROM embeddings)""",
+)
+def track_insert(t: Tables) -> DataFrame:
+    key = F.col("l_suppkey") % 12
+    point = lambda d: F.struct((key * 0.1 + d).alias("lon"), (F.lit(52.0) + d).alias("lat"))
+    incoming = t.lineitem.select(
+        F.concat(F.lit("A"), key).alias("from_atco_code"),
+        F.concat(F.lit("B"), key).alias("to_atco_code"),
+        F.array(point(0.0), point(0.1)).alias("points"),
+    ).distinct()
+    merged = trk.insert_tracks(_tracks(t).withColumn("is_new", F.lit(False)), incoming)
+    return merged.groupBy("from_atco_code", "to_atco_code", F.coalesce("is_new", F.lit(True)).alias("is_new")).agg(
+        F.count(F.lit(1)).alias("tracks")
+    )
