@@ -24,7 +24,7 @@ from headway.rules.runner import (
     present,
     violation_rows,
 )
-from headway.session import staged
+from headway.session import checkpoint, staged
 from headway.sources import timetables as src
 from headway.sources.documents import child_names
 from headway.sources.timetables import stop_uses
@@ -555,7 +555,8 @@ def unrelated_lines(line_patterns: DataFrame, line_features: DataFrame, lines: D
     Related means: every two lines share a journey pattern, or every two lines
     that have any share a feature (stop, stop area or locality). A pattern or
     feature common to all lines settles a file at once; only the others have
-    their connected pairs counted against n(n-1)/2.
+    their connected pairs counted against n(n-1)/2. Rows of both bridges are
+    distinct.
     """
     total = lines.select("file_id", "line_id").distinct().groupBy("file_id").agg(
         F.count(F.lit(1)).alias("n")
@@ -563,7 +564,7 @@ def unrelated_lines(line_patterns: DataFrame, line_features: DataFrame, lines: D
     many = lines.groupBy("file_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("file_id")
 
     def connected(bridge: DataFrame, feature: str, size: DataFrame) -> DataFrame:
-        rows = bridge.select("file_id", "line_id", feature).distinct()
+        rows = bridge.select("file_id", "line_id", feature)
         spread = rows.groupBy("file_id", feature).agg(F.count(F.lit(1)).alias("k")).join(size, "file_id")
         common = spread.where("k = n").select("file_id").distinct()
         open_rows = rows.join(common, "file_id", "left_anti")
@@ -593,14 +594,19 @@ def unrelated_lines(line_patterns: DataFrame, line_features: DataFrame, lines: D
 
 
 def lines_related(docs: DataFrame, stops: DataFrame | None = None, **_: DataFrame) -> DataFrame:
-    """The lines of a file are related. ``stops(atco_code, stop_areas)`` is the register."""
+    """The lines of a file are related. ``stops(atco_code, stop_areas)`` is the register.
+
+    Files with one line pass, so only the others are read. The two bridges are
+    used several times over and are small next to the documents: checkpointed.
+    """
+    docs = docs.where(F.size(each(_services(), lambda s: s["Lines"]["Line"])) > 1)
     lines = src.lines(docs).select("file_id", "line_id")
     journeys = src.vehicle_journeys(docs)
     patterns = journey_reference_chain(journeys)
-    line_patterns = (
+    line_patterns = checkpoint(
         journeys.select("file_id", "vj_code", F.col("line_ref").alias("line_id"))
         .join(patterns.where("jp_ref is not null"), ["file_id", "vj_code"])
-        .join(lines.distinct(), ["file_id", "line_id"], "left_semi")
+        .join(lines, ["file_id", "line_id"], "left_semi")
         .select("file_id", "line_id", "jp_ref")
         .distinct()
     )
@@ -644,7 +650,7 @@ def lines_related(docs: DataFrame, stops: DataFrame | None = None, **_: DataFram
         features = features.unionByName(
             line_stops.join(areas, ["file_id", "stop_ref"]).select("file_id", "line_id", "feature")
         )
-    bad = unrelated_lines(line_patterns, features, lines)
+    bad = unrelated_lines(line_patterns, checkpoint(features.distinct()), lines)
     groups = docs.select("file_id", F.posexplode(F.filter(
         F.transform(_services(), lambda s: s["Lines"]), lambda l: l.isNotNull()
     )).alias("ordinal", "l"))
