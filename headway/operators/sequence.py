@@ -8,7 +8,7 @@ journey's overriding links.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,12 +90,17 @@ def overriding_links(vj_links: DataFrame) -> DataFrame:
     )
 
 
-def _known(activity: Column) -> Column:
-    return F.coalesce(activity.isin(*STOP_ACTIVITIES), F.lit(False))
+def _known(activity: Column, activities: Mapping[str, int] = STOP_ACTIVITIES) -> Column:
+    return F.coalesce(activity.isin(*activities), F.lit(False))
 
 
 def _timeline(
-    links: DataFrame, keys: list[str], order: list[str], blocked: bool, carry: Sequence[str] = ()
+    links: DataFrame,
+    keys: list[str],
+    order: list[str],
+    blocked: bool,
+    carry: Sequence[str] = (),
+    activities: Mapping[str, int] = STOP_ACTIVITIES,
 ) -> DataFrame:
     """Stops met along each sequence, with seconds since its start.
 
@@ -106,7 +111,8 @@ def _timeline(
     if blocked:
         links = links.withColumn("_block", F.floor(F.col("link_pos") / BLOCK_LINKS))
         block = ["section_pos", "_block"]
-    from_ok, to_ok = _known(F.col("from.activity")), _known(F.col("to.activity"))
+    from_ok = _known(F.col("from.activity"), activities)
+    to_ok = _known(F.col("to.activity"), activities)
     met_to = F.col("is_last") & to_ok
 
     # The first stop is the first one with a known activity. Links up to it
@@ -212,6 +218,7 @@ def stop_times(
     timing_links: DataFrame,
     vj_links: DataFrame,
     blocked: bool = False,
+    activities: Mapping[str, int] = STOP_ACTIVITIES,
 ) -> DataFrame:
     """Departure of every journey at every stop it serves.
 
@@ -219,7 +226,8 @@ def stop_times(
     that follow their pattern only join them, so the large journey x stop
     result is never sorted. Journeys with overriding links get a scan of their
     own. Departures wrap at midnight; a journey without a readable start keeps
-    null departures.
+    null departures. ``activities`` names the known stop activities and their
+    ids; stops with another activity are left out.
     """
     order = LINK_ORDER
     links = pattern_links(journey_patterns, timing_links)
@@ -233,7 +241,9 @@ def stop_times(
     changed = overrides.select("file_id", "vj_code").distinct()
 
     plain = journeys.join(changed, ["file_id", "vj_code"], "left_anti")
-    shared = _timeline(_with_waits(links), ["file_id", "jp_id"], order, blocked)
+    shared = _timeline(
+        _with_waits(links), ["file_id", "jp_id"], order, blocked, activities=activities
+    )
     by_pattern = plain.join(shared, ["file_id", "jp_id"])
 
     own = journeys.join(changed, ["file_id", "vj_code"], "left_semi")
@@ -241,10 +251,12 @@ def stop_times(
         overrides, ["file_id", "vj_code", "link_id"], "left"
     )
     keys = ["file_id", "vj_code", "jp_id"]
-    by_journey = _timeline(_with_overrides(own_links), keys, order, blocked, carry=["start"])
+    by_journey = _timeline(
+        _with_overrides(own_links), keys, order, blocked, ["start"], activities
+    )
 
     departure = F.pmod(F.col("start") + F.col("offset"), F.lit(DAY_SECONDS))
-    activity_ids = F.create_map(*[F.lit(x) for kv in STOP_ACTIVITIES.items() for x in kv])
+    activity_ids = F.create_map(*[F.lit(x) for kv in activities.items() for x in kv])
     columns = [*keys, "start", *[c for c in shared.columns if c not in ("file_id", "jp_id")]]
     return (
         by_pattern.select(*columns)
@@ -345,19 +357,22 @@ def flexible_stop_rows(
 ) -> DataFrame:
     """Stop rows of flexible journeys: no departure, fixed activity.
 
-    Only stops in sequence that the stop table knows are kept; numbering runs
-    over the kept rows.
+    Stops in sequence come first, then zone stops. Stops the stop table does not
+    know are dropped; numbering runs over the kept rows. Only fixed stops can be
+    timing points.
     """
-    known = flexible_stops.where("in_sequence").join(
+    known = flexible_stops.join(
         stops.select(F.col("atco_code").alias("stop_ref"), "common_name"), "stop_ref"
     )
-    order = Window.partitionBy("file_id", "jp_id").orderBy("stop_pos")
+    part = F.when(F.col("in_sequence"), 0).otherwise(1)
+    order = Window.partitionBy("file_id", "jp_id").orderBy(part, "stop_pos")
+    principal = F.coalesce(F.col("timing_status"), F.lit("")) == "principalPoint"
     rows = known.select(
         "file_id",
         "jp_id",
         F.col("stop_ref").alias("atco_code"),
         (F.row_number().over(order) - 1).alias("auto_sequence_number"),
-        (F.coalesce(F.col("timing_status"), F.lit("")) == "principalPoint").alias("is_timing_point"),
+        (~F.col("is_flexible") & principal).alias("is_timing_point"),
         "common_name",
     )
     journeys = vehicle_journeys.select("file_id", "vj_code", F.col("jp_ref").alias("jp_id"))

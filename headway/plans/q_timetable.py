@@ -535,6 +535,7 @@ def _flexible(t: Tables) -> tuple[DataFrame, DataFrame]:
         F.col("link_pos").alias("stop_pos"),
         F.concat(F.lit("ST"), F.col("l_partkey") * 2).alias("stop_ref"),
         F.when(F.col("l_quantity") > 25, "principalPoint").alias("timing_status"),
+        ((F.col("half") == "B") | (F.col("l_returnflag") == "R")).alias("is_flexible"),
     )
     journeys = t.orders.select(
         F.floor(F.col("o_orderkey") / 100).alias("file_id"),
@@ -557,9 +558,9 @@ def flexible_stop_sequence(t: Tables) -> DataFrame:
 @query(
     "flexible_stop_rows",
     "WITH " + NETWORK_SQL + """,
-known AS (SELECT f, l_orderkey, jp_id, l_partkey * 2 AS p, l_quantity > 25 AS tp,
-  row_number() OVER (PARTITION BY jp_id ORDER BY link_pos) - 1 AS n FROM links
-  WHERE half = 0 AND l_partkey * 2 IN (SELECT p_partkey FROM part))
+known AS (SELECT f, l_orderkey, jp_id, l_partkey * 2 AS p, l_quantity > 25 AND half = 0 AND l_returnflag <> 'R' AS tp,
+  row_number() OVER (PARTITION BY jp_id ORDER BY half, link_pos) - 1 AS n FROM links
+  WHERE l_partkey * 2 IN (SELECT p_partkey FROM part))
 SELECT f AS file_id, 'VJ' || l_orderkey AS vj_code, jp_id, 'ST' || p AS atco_code, p_name || ' ' || p AS common_name,
   CAST(n AS INTEGER) AS auto_sequence_number, CAST(NULL AS VARCHAR) AS departure_time, tp AS is_timing_point, 3 AS stop_activity_id
 FROM known JOIN part ON p_partkey = p""",
