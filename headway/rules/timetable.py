@@ -372,6 +372,7 @@ def observations(today: Column) -> list[Observation]:
     must, flex = "Mandatory Element", "Flexible Service"
     day_names = [d.capitalize() for d in WEEKDAYS]
     o = Observation
+    # Numbers, categories and references of the observations.
     return [
         o(8, notes, "2.5", "private_notes", "Private", [lambda t: ~is_true(t)]),
         o(10, orgs, "3.2", "organisations", "ServicedOrganisation", [
