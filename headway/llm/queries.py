@@ -5,10 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from headway.llm.leaks import find_leaks
 from headway.llm.packing import pack_documents
 from headway.llm.quality import quality
 from headway.llm.registry import ORACLES, QUERIES, query  # noqa: F401
+from headway.llm.simhash import near_duplicates
 from headway.llm.tokens import token_counts
+from headway.llm.toxicity import toxicity
 from headway.llm.urls import UrlRule, judge, rule_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -75,3 +78,29 @@ def token_counts_query(t):
 def best_fit_packing(t):
     packed = pack_documents(t.documents, public_tokenizers.path(TOKENIZER))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op3_toxicity")
+def toxicity_query(t):
+    scored = toxicity(t.documents.select("doc_id", "text"), t.labels)
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+
+
+@query("op9_decontamination")
+def decontamination_query(t):
+    found = find_leaks(t.documents.select("doc_id", "text"), t.benchmark)
+    hit = F.aggregate("leak_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("leak_items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "leak_items").cast("binary"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+@query("op10_simhash")
+def simhash_query(t):
+    found = near_duplicates(t.documents)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
