@@ -26,10 +26,10 @@ def document_key(id_col: str, text_col: str) -> list[Column]:
     """``(did, th)``: two longs that name a document in joins.
 
     Rows that repeat id and text are one document. Rows that share an id but not
-    the text are different documents. A null id is an id of its own.
+    the text are different documents. A null id is an id of its own, after all others.
     """
     return [
-        F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("did"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("did"),
         F.xxhash64(F.col(id_col).isNull(), F.col(text_col).isNull(), F.col(text_col)).alias("th"),
     ]
 

@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from headway.llm.leaks import find_leaks
+from headway.llm.lines import drop_repeated_runs
 from headway.llm.packing import pack_documents
 from headway.llm.quality import quality
 from headway.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from headway.llm.simhash import near_duplicates
+from headway.llm.substrings import remove_repeats
 from headway.llm.tokens import token_counts
 from headway.llm.toxicity import toxicity
 from headway.llm.urls import UrlRule, judge, rule_table
@@ -104,3 +106,46 @@ def decontamination_query(t):
 def simhash_query(t):
     found = near_duplicates(t.documents)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op6_recompression")
+def recompression_query(t):
+    kept = remove_repeats(t.documents)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query(
+    "op4_line_runs",
+    """
+    WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+    lines AS (
+        SELECT doc_id, pos, parts[pos] AS line
+        FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS pos FROM split)
+        WHERE regexp_matches(parts[pos], '[^\\x20\\x09-\\x0D]')),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS idx FROM lines),
+    runs AS (
+        SELECT doc_id, idx, [line, lead(line, 1) OVER w, lead(line, 2) OVER w] AS run, lead(idx, 2) OVER w AS last
+        FROM numbered WINDOW w AS (PARTITION BY doc_id ORDER BY idx)),
+    heads AS (SELECT run, min({'d': doc_id, 'i': idx}) AS head FROM runs WHERE last IS NOT NULL GROUP BY run),
+    later AS (
+        SELECT r.doc_id, r.idx FROM runs r JOIN heads h ON r.run = h.run
+        WHERE last IS NOT NULL AND (r.doc_id <> h.head.d OR r.idx <> h.head.i)),
+    gone AS (
+        SELECT DISTINCT n.doc_id, n.pos
+        FROM (SELECT doc_id, unnest(range(idx, idx + 3)) AS idx FROM later) l
+        JOIN numbered n ON n.doc_id = l.doc_id AND n.idx = l.idx),
+    left_over AS (
+        SELECT a.doc_id, string_agg(a.line, chr(10) ORDER BY a.pos) AS kept
+        FROM (SELECT doc_id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS line FROM split) a
+        LEFT JOIN gone g ON g.doc_id = a.doc_id AND g.pos = a.pos
+        WHERE g.pos IS NULL GROUP BY a.doc_id)
+    SELECT s.doc_id,
+        (SELECT count(*) FROM lines l WHERE l.doc_id = s.doc_id) AS n_lines,
+        (SELECT count(*) FROM gone g WHERE g.doc_id = s.doc_id) AS n_removed,
+        CASE WHEN s.text IS NULL THEN NULL ELSE md5(coalesce(k.kept, '')) END AS kept_md5
+    FROM split s LEFT JOIN left_over k ON k.doc_id = s.doc_id
+    """,
+)
+def line_runs(t):
+    kept = drop_repeated_runs(t.documents.select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("kept_md5"))

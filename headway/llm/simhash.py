@@ -171,8 +171,7 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     one stays. Columns are those of ``docs``.
     """
     found = staged(near_duplicates(docs, id_col, text))
-    order = F.struct(F.col(id_col).isNull().alias("none"), F.col("did"), F.col("th"))
-    first = found.groupBy("root").agg(F.min(order).alias("o")).select("o.did", "o.th")
+    first = found.groupBy("root").agg(F.min(F.struct("did", "th")).alias("o")).select("o.did", "o.th")
     keyed = docs.withColumns(dict(zip(("_did", "_th"), document_key(id_col, text), strict=True)))
     first = first.select(F.col("did").alias("_did"), F.col("th").alias("_th"))
     return keyed.join(first, ["_did", "_th"], "left_semi").dropDuplicates(["_did", "_th"]).select(*[F.col(f"`{c}`") for c in docs.columns])
