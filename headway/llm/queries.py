@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from headway.llm.html import main_text
 from headway.llm.leaks import find_leaks
 from headway.llm.lines import drop_repeated_runs
 from headway.llm.packing import pack_documents
@@ -149,3 +150,8 @@ def recompression_query(t):
 def line_runs(t):
     kept = drop_repeated_runs(t.documents.select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
+@query("op2_main_text")
+def main_text_query(t):
+    return main_text(t.pages).select("page_id", "url", "text", "n_chars")
