@@ -34,10 +34,14 @@ def document_key(id_col: str, text_col: str) -> list[Column]:
     ]
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate folder through Spark's own file system layer."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
 
 
 def texts_of(column: pa.Array) -> list[bytes]:

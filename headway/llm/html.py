@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import per_row, shards, texts_of
+from headway.llm.common import per_row, shards, texts_of, unused
 from headway.llm.urls import host_of
 from headway.session import staged
 
@@ -288,15 +288,16 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url: str = "url", marku
     kept = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in new or c == markup])
     host = host_of(F.col(f"`{url}`"))
     learnt = staged(templates(pages.select(host.alias("host"), F.xxhash64(id_col, url).alias("page_key"), F.col(markup).alias("html"))))
-    rows = kept.withColumn("_host", host).join(learnt.withColumnRenamed("host", "_host").withColumnRenamed("template", "_template"), "_host", "left")
+    own_host, own_template = unused(pages, "_host", "_template")
+    rows = kept.withColumn(own_host, host).join(learnt.toDF(own_host, own_template), own_host, "left")
 
     def work(part: pa.RecordBatch) -> dict[str, pa.Array]:
-        known: dict[tuple, frozenset[int]] = {}
+        known: dict[str, frozenset[int]] = {}
         texts = []
-        for host_name, raw, tokens in zip(part.column("_host").to_pylist(), texts_of(part.column(markup)), part.column("_template"), strict=True):
-            if host_name not in known:
-                known[host_name] = frozenset(t % (1 << 64) for t in tokens.as_py() or ())
-            texts.append("\n".join(main_blocks(parse(raw.decode("utf-8", "replace")), known[host_name])))
+        for name, raw, tokens in zip(part.column(own_host).to_pylist(), texts_of(part.column(markup)), part.column(own_template), strict=True):
+            if name not in known:
+                known[name] = frozenset(t % (1 << 64) for t in tokens.as_py() or ())
+            texts.append("\n".join(main_blocks(parse(raw.decode("utf-8", "replace")), known[name])))
         return {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}
 
-    return per_row(rows, work, "text string, n_chars long", markup).drop("_host", "_template")
+    return per_row(rows, work, "text string, n_chars long", markup).drop(own_host, own_template)

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import document_key, in_spread
+from headway.llm.common import document_key, in_spread, unused
 from headway.session import staged
 
 
@@ -98,11 +98,12 @@ def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     """
     new = ("n_lines", "n_removed")
     did, th = document_key(id_col, text)
+    own_did, own_th, own_lines, own_removed = unused(docs, "_did", "_th", "_lines", "_removed")
     keyed = docs.select(
         *[F.col(f"`{c}`") for c in docs.columns if c not in (text, *new)],
-        did.alias("_did"),
-        th.alias("_th"),
-        F.split(F.col(f"`{text}`"), "\n", -1).alias("_lines"),
+        did.alias(own_did),
+        th.alias(own_th),
+        F.split(F.col(f"`{text}`"), "\n", -1).alias(own_lines),
     )
     hashed = F.filter(
         F.transform(
@@ -125,17 +126,17 @@ def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     removed = (
         first.drop("rank")
         .join(covered, ["did", "th", "idx"])
-        .groupBy(F.col("did").alias("_did"), F.col("th").alias("_th"))
-        .agg(F.collect_set("pos").alias("_removed"))
+        .groupBy(F.col("did").alias(own_did), F.col("th").alias(own_th))
+        .agg(F.collect_set("pos").alias(own_removed))
     )
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_removed"))
-    out = keyed.join(removed, ["_did", "_th"], "left").withColumns(
+    kept = F.array_except(F.sequence(F.lit(0), F.size(own_lines) - 1), F.col(own_removed))
+    out = keyed.join(removed, [own_did, own_th], "left").withColumns(
         {
-            text: F.when(F.col("_removed").isNull(), F.array_join("_lines", "\n")).otherwise(
-                F.array_join(F.transform(kept, lambda i: F.col("_lines")[i]), "\n")
+            text: F.when(F.col(own_removed).isNull(), F.array_join(own_lines, "\n")).otherwise(
+                F.array_join(F.transform(kept, lambda i: F.col(own_lines)[i]), "\n")
             ),
-            "n_lines": F.coalesce(F.size(F.filter("_lines", has_word)), F.lit(0)).cast("long"),
-            "n_removed": F.coalesce(F.size("_removed"), F.lit(0)).cast("long"),
+            "n_lines": F.coalesce(F.size(F.filter(own_lines, has_word)), F.lit(0)).cast("long"),
+            "n_removed": F.coalesce(F.size(own_removed), F.lit(0)).cast("long"),
         }
     )
     order = [c for c in docs.columns if c not in new] + list(new)

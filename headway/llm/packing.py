@@ -186,4 +186,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col
     are packed each; rows without an id too. An empty table gives no rows.
     """
     pieces = staged(piece_table(docs, tokenizer, capacity, id_col, text, end))
-    return pack(pieces, capacity, [id_col, "piece", "start", "length", "ids_crc32"])
+    columns = [id_col, "piece", "start", "length", "ids_crc32"]
+    return pack(pieces, capacity, columns).select(*columns, "sequence_id", "offset")

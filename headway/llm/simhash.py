@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import document_key, per_row, texts_of
+from headway.llm.common import document_key, per_row, texts_of, unused
 from headway.operators.components import connected_components
 from headway.session import staged
 
@@ -172,8 +172,8 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     """
     found = staged(near_duplicates(docs, id_col, text))
     first = found.groupBy("root").agg(F.min(F.struct("did", "th")).alias("o")).select("o.did", "o.th")
-    keyed = docs.withColumns(dict(zip(("_did", "_th"), document_key(id_col, text), strict=True)))
-    first = first.select(F.col("did").alias("_did"), F.col("th").alias("_th"))
-    return keyed.join(first, ["_did", "_th"], "left_semi").dropDuplicates(["_did", "_th"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = unused(docs, "_did", "_th")
+    keyed = docs.withColumns(dict(zip(own, document_key(id_col, text), strict=True)))
+    return keyed.join(first.toDF(*own), own, "left_semi").dropDuplicates(own).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm.common import per_row, texts_of
+from headway.llm.common import per_row, texts_of, unused
 from headway.session import shared_folder
 
 # Texts outside these characters, or with a very long run without a break, are
@@ -130,8 +130,9 @@ def token_counts(docs: DataFrame, tokenizer: str, text: str = "text", cache: str
 
     per_row(misses, work, "n_tokens long", "text").select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache)
     counts = open_cache(spark, cache).where(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "n_tokens"]).withColumn("_digest", digest)
-    return rows.join(counts.withColumnRenamed("digest", "_digest"), "_digest").drop("_digest")
+    (own,) = unused(docs, "_digest")
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "n_tokens"]).withColumn(own, digest)
+    return rows.join(counts.withColumnRenamed("digest", own), own).drop(own)
 
 
 def piece_table(docs: DataFrame, tokenizer: str, capacity: int, id_col: str = "doc_id", text: str = "text", end: int = 0, with_ids: bool = False) -> DataFrame:

@@ -117,11 +117,11 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
             *[pages[f"`{c}`"] for c in pages.columns],
             *([] if url == "host" else [host_of(pages[url]).alias("host")]),
             *([] if url == "path" else [path_of(pages[url]).alias("path")]),
-            F.col("literal.rule").alias("rule"),
-            F.when(F.col("literal").isNotNull(), F.col("literal.action"))
-            .when(F.col("pattern").isNotNull(), F.lit("block"))
+            chosen["literal"]["rule"].alias("rule"),
+            F.when(chosen["literal"].isNotNull(), chosen["literal"]["action"])
+            .when(chosen["pattern"].isNotNull(), F.lit("block"))
             .otherwise(F.lit(default))
             .alias("verdict"),
-            F.col("pattern.rule").alias("blocked_by"),
+            chosen["pattern"]["rule"].alias("blocked_by"),
         )
     )
