@@ -19,11 +19,27 @@ def fill_patterns(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int
     """Ways to fill a sequence, with how often each is used; together they use up ``counts``.
 
     Works on the counts per length, so its cost depends on ``capacity`` alone.
-    Lengths are taken from the largest down. For each, the gap it leaves is
-    looked up among the lengths still available, then among the sums of two and
-    of three of them, and a combination is consumed as often as all its parts
-    last. What finds no exact complement is packed best fit, largest first.
+    Exact fills of up to three more pieces are tried first; where that leaves more
+    sequences than the total calls for, shorter fills are tried too and the plan
+    with the fewest sequences is taken (of equals the one with longer fills).
     """
+    least = -(-sum(length * n for length, n in counts.items()) // capacity)
+    best: list[tuple[tuple[int, ...], int]] = []
+    for parts in (3, 2, 1, 0):
+        plan = _plan(counts, capacity, parts)
+        if not best or sum(n for _, n in plan) < sum(n for _, n in best):
+            best = plan
+        if sum(n for _, n in best) <= least:
+            break
+    return best
+
+
+def _plan(counts: dict[int, int], capacity: int, parts: int) -> list[tuple[tuple[int, ...], int]]:
+    """Lengths are taken from the largest down. For each, the gap it leaves is
+    looked up among the lengths still available, then among the sums of two and
+    of three of them (as far as ``parts`` goes), and a combination is consumed as
+    often as all its parts last. What finds no exact complement is packed best
+    fit, largest first."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -34,7 +50,7 @@ def fill_patterns(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int
     lengths = np.arange(capacity + 1)
     for a in range(capacity - 1, 0, -1):
         while left[a]:
-            rest = _complement(left, lengths, a, capacity - a)
+            rest = _complement(left, lengths, a, capacity - a, parts)
             if rest is None:
                 break
             pattern = (a, *rest)
@@ -45,15 +61,15 @@ def fill_patterns(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int
     return patterns + _best_fit(left, capacity)
 
 
-def _complement(left: np.ndarray, lengths: np.ndarray, a: int, gap: int) -> tuple[int, ...] | None:
+def _complement(left: np.ndarray, lengths: np.ndarray, a: int, gap: int, parts: int) -> tuple[int, ...] | None:
     """One, two or three available lengths that sum to ``gap`` once an ``a`` is taken."""
     have = left[: gap + 1].copy()
     if a <= gap:
         have[a] -= 1
-    if have[gap]:
+    if parts and have[gap]:
         return (gap,)
-    pair = _pair(have, lengths, gap)
-    if pair:
+    pair = _pair(have, lengths, gap) if parts > 1 else None
+    if pair or parts < 3:
         return pair
     there = (have > 0).astype(np.float32)
     sums = np.rint(np.convolve(there, there)[: gap + 1])
