@@ -70,10 +70,6 @@ def geodesic_length(points: Column) -> Column:
     return F.floor(_line_sum(points, segment_length)).cast("int")
 
 
-def haversine_length(points: Column) -> Column:
-    return _line_sum(points, haversine)
-
-
 def _meridian_arc(phi: Column) -> Column:
     n = (AIRY_A - AIRY_B) / (AIRY_A + AIRY_B)
     d, s = phi - GRID_LAT0, phi + GRID_LAT0

@@ -72,9 +72,9 @@ def xml_name(name: Column) -> Column:
     return F.when(F.lower(name).endswith(".xml"), name).otherwise(F.concat(name, F.lit(".xml")))
 
 
-def sequence_key(values: Column) -> Column:
-    """Repeatable key of an ordered list of text values."""
-    return F.sha2(F.concat_ws("\x1f", values), 256)
+def sequence_key(owner: Column, values: Column) -> Column:
+    """Repeatable key of an owner's ordered list of text values."""
+    return F.sha2(F.concat(owner.cast("string"), F.lit("\x1f"), F.concat_ws("\x1f", values)), 256)
 
 
 def area_codes(stop_ids: Column) -> Column:

@@ -11,10 +11,7 @@ from pyspark.sql import functions as F
 from headway.functions.binding import let
 
 DAY_SECONDS = 86400
-_DURATION = r"(?s)^(-)?P(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:\.\d+)?)S)?)?.*$"
 _SINGLE = r"^PT\d{1,9}[HMS]$"
-_SEPARATOR = "\x1f"
-_PARTS = _SEPARATOR.join(f"${i}" for i in range(1, 6))
 _CLOCK = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
 
 
@@ -22,8 +19,7 @@ def duration_seconds(text: Column) -> Column:
     """ISO-8601 duration to seconds; null or unreadable text gives 0.
 
     A single number and unit, by far the most usual form, is read with plain
-    string functions. Other forms take one regular expression that sets the
-    parts side by side; an unreadable text has none.
+    string functions. Other forms are read designator by designator.
     """
     unit = F.substring(text, -1, 1)
     factor = F.when(unit == "M", 60.0).when(unit == "S", 1.0).otherwise(3600.0)
@@ -32,16 +28,34 @@ def duration_seconds(text: Column) -> Column:
 
 
 def _any_duration(text: Column) -> Column:
-    parts = F.split(F.regexp_replace(text, _DURATION, _PARTS), _SEPARATOR)
+    """Sign, ``P``, days, then behind ``T`` hours, minutes and seconds in this order.
+
+    Each part is optional. What follows the last readable part is ignored; a time
+    counts only right behind ``P`` or the days. Years, months and weeks have no
+    fixed length here and are not read.
+    """
+    negative = F.startswith(text, F.lit("-"))
+    body = F.when(negative, F.substr(text, F.lit(2))).otherwise(text)
+    halves = F.split(F.substr(body, F.lit(2)), "T", 2)
 
     def total(p: Column) -> Column:
-        def part(i: int) -> Column:
-            return F.coalesce(F.get(p, F.lit(i)).try_cast("double"), F.lit(0.0))
+        date, time = F.get(p, F.lit(0)), F.coalesce(F.get(p, F.lit(1)), F.lit(""))
+        whole_date = date.rlike("^([0-9]+D)?$")
+        seconds = _amount(date, "D") * DAY_SECONDS + F.when(whole_date, _clock_part(time)).otherwise(0.0)
+        return F.when(negative, -seconds).otherwise(seconds)
+
+    return F.when(F.startswith(body, F.lit("P")), let(halves, total)).otherwise(0.0)
+
+
+def _amount(part: Column, designator: str, number: str = "[0-9]+") -> Column:
+    """The number that stands before the designator at the start, else 0."""
+    return F.coalesce(F.regexp_extract(part, f"^({number}){designator}", 1).try_cast("double"), F.lit(0.0))
 
-        sign = F.when(F.get(p, F.lit(0)) == "-", -1.0).otherwise(1.0)
-        return sign * (part(1) * DAY_SECONDS + part(2) * 3600 + part(3) * 60 + part(4))
 
-    return let(parts, total)
+def _clock_part(time: Column) -> Column:
+    after_hours = F.regexp_replace(time, "^[0-9]+H", "")
+    after_minutes = F.regexp_replace(after_hours, "^[0-9]+M", "")
+    return _amount(time, "H") * 3600 + _amount(after_hours, "M") * 60 + _amount(after_minutes, "S", "[0-9]+(?:[.][0-9]+)?")
 
 
 def seconds_of_day(text: Column) -> Column:

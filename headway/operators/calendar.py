@@ -94,12 +94,13 @@ def exceptions(profiles: DataFrame, services: DataFrame, bank_holidays: DataFram
     )
 
 
-def operating_days(journeys: DataFrame, exception_days: DataFrame) -> DataFrame:
+def operating_days(journeys: DataFrame, exception_days: DataFrame, horizon: Column) -> DataFrame:
     """Every day each journey runs.
 
     Regular weekdays within the service period, plus operating exceptions,
     minus non-operating ones. ``journeys`` has days, start_date and end_date,
-    one row per journey.
+    one row per journey. A service without an end runs on; its days are given up
+    to ``horizon``.
 
     Exceptions are gathered per journey (a calendar bounds them) and the days
     are worked out as arrays, so journeys are shuffled, not journey days.
@@ -115,7 +116,7 @@ def operating_days(journeys: DataFrame, exception_days: DataFrame) -> DataFrame:
     regular = let(
         weekday_numbers(F.col("days")),
         lambda numbers: F.filter(
-            day_range(F.col("start_date"), F.col("end_date")),
+            day_range(F.col("start_date"), F.coalesce(F.col("end_date"), horizon)),
             lambda d: F.array_contains(numbers, weekday(d)),
         ),
     )

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from headway.session import checkpoint
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest reachable id per node, as ``(id, component)``.
 
     Alternating star operations. A large star ties every larger neighbour of a
     node to the node's smallest neighbour, a small star does so for the smaller
     ones. Both are a min per node (partial aggregation, so a hub is reduced
     before its shuffle) and a join back. The edge set never grows, and it ends
-    as one star per component, in O(log^2 n) rounds. Only two numbers per round
-    reach the driver.
+    as one star per component, in O(log^2 n) rounds; rounds go on until the edge
+    set stands still. Only two numbers per round reach the driver.
     """
     current = checkpoint(
         edges.select("src", "dst").where("src <> dst").select(
@@ -24,12 +24,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         ).distinct()
     )
     signature = _signature(current)
-    for _ in range(max_rounds):
+    before = None
+    while signature != before:
         current = checkpoint(_small_star(_large_star(current)))
-        now = _signature(current)
-        if now == signature:
-            break
-        signature = now
+        before, signature = signature, _signature(current)
     members = current.select(F.col("src").alias("id"), F.col("dst").alias("component"))
     roots = current.select(F.col("dst").alias("id"), F.col("dst").alias("component")).distinct()
     return members.unionByName(roots)

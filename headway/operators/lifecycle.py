@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,11 +21,13 @@ def latest_by_name(files: DataFrame, keys: Sequence[str] = ("revision_id", "file
 
 def supersession(
     files: DataFrame,
-    key: str = "service_code",
+    keys: Sequence[str] = ("revision_id", "service_code"),
     revision: str = "revision_number",
     start: str = "operating_period_start_date",
 ) -> DataFrame:
-    """Flag files that a higher revision of the same service code supersedes.
+    """Flag files that a higher revision number of the same service code supersedes.
+
+    Files meet within one upload (``revision_id``) only.
 
     Kept are all files at the highest revision, and lower ones that start
     before the latest start found there (all lower ones if none is given
@@ -31,16 +36,17 @@ def supersession(
     adaptive plan can split.
     """
     # max over (revision, start) gives the top revision and its latest start.
-    top = files.groupBy(F.col(key).alias("_key")).agg(
+    top = files.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
         F.max(F.struct(F.col(revision).alias("revision"), F.col(start).alias("start"))).alias("_top")
     )
-    joined = files.join(top, F.col(key).eqNullSafe(F.col("_key")))
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    joined = files.join(top, reduce(and_, same))
     kept = (
         (F.col(revision) == F.col("_top.revision"))
         | F.col("_top.start").isNull()
         | (F.col(start) < F.col("_top.start"))
     )
-    return joined.withColumn("superseded", ~F.coalesce(kept, F.lit(False))).drop("_key", "_top")
+    return joined.withColumn("superseded", ~F.coalesce(kept, F.lit(False))).drop(*[f"_key_{k}" for k in keys], "_top")
 
 
 def file_counts(flagged: DataFrame) -> DataFrame:
@@ -61,40 +67,43 @@ def hot_pairs(tracks: DataFrame, keys: Sequence[str] = ("from_atco_code", "to_at
     )
 
 
-def batches(
-    df: DataFrame, by: str, keys: Sequence[str], size: int, spread: int = 1024
-) -> DataFrame:
-    """Number rows into batches of ``size``, highest ``by`` first.
+def batches(df: DataFrame, by: str, keys: Sequence[str], size: int) -> DataFrame:
+    """Number rows into batches of ``size``, highest ``by`` (a whole number, 0 or more) first.
 
     Rows that tie on ``by`` have no order of their own, so they are spread over
-    hash buckets and numbered there; each bucket starts after the rows of the
-    buckets before it. Only bucket counts are ever put in one order.
+    hash buckets and numbered there. Rows ahead of a bucket are summed up in
+    three steps: over ranges of ``by``, over the values of one range, over the
+    buckets of one value. Each step orders about the square root of what there is.
     """
+    n, top = df.agg(F.count(F.lit(1)), F.max(by)).first()
+    spread, width = math.ceil(math.sqrt(n or 1)), math.ceil(math.sqrt((top or 0) + 1))
     bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(spread)))
     counts = bucketed.groupBy(by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = (
-        Window.orderBy(F.desc(by), "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = counts.select(
-        by, "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
-    )
+    values = counts.groupBy(by).agg(F.sum("_n").alias("_n")).withColumn("_range", F.floor(F.col(by) / width))
+    ranges = values.groupBy("_range").agg(F.sum("_n").alias("_n"))
+    in_ranges = F.sum("_n").over(Window.orderBy(F.desc("_range"))) - F.col("_n")
+    in_values = F.sum("_n").over(Window.partitionBy("_range").orderBy(F.desc(by))) - F.col("_n")
+    in_buckets = F.sum("_n").over(Window.partitionBy(by).orderBy("_bucket")) - F.col("_n")
+    ahead = values.select(by, "_range", in_values.alias("_b")).join(ranges.select("_range", in_ranges.alias("_a")), "_range")
+    offsets = counts.select(by, "_bucket", in_buckets.alias("_c")).join(ahead, by)
     row = F.row_number().over(Window.partitionBy(by, "_bucket").orderBy(*keys)) - 1
+    place = F.col("_row") + F.col("_a") + F.col("_b") + F.col("_c")
     return (
         bucketed.withColumn("_row", row)
-        .join(offsets, [by, "_bucket"])
-        .withColumn("batch_id", F.floor((F.col("_row") + F.col("_offset")) / size))
-        .drop("_row", "_offset", "_bucket")
+        .join(offsets.drop("_range"), [by, "_bucket"])
+        .withColumn("batch_id", F.floor(place / size))
+        .drop("_row", "_a", "_b", "_c", "_bucket")
     )
 
 
 def unchanged_files(corpus: DataFrame, live: DataFrame) -> DataFrame:
-    """Files whose content is already live."""
-    return corpus.join(live.select("sha1").distinct(), "sha1", "left_semi")
+    """Files whose content is already live in their own dataset."""
+    return corpus.join(live.select("dataset_id", "sha1").distinct(), ["dataset_id", "sha1"], "left_semi")
 
 
 def changed_files(corpus: DataFrame, live: DataFrame) -> DataFrame:
-    """Files still to be processed: content not live yet."""
-    return corpus.join(live.select("sha1").distinct(), "sha1", "left_anti")
+    """Files still to be processed: content not live in their dataset yet."""
+    return corpus.join(live.select("dataset_id", "sha1").distinct(), ["dataset_id", "sha1"], "left_anti")
 
 
 def without_violations(file_attributes: DataFrame, violations: DataFrame) -> DataFrame:
@@ -106,8 +115,8 @@ def without_violations(file_attributes: DataFrame, violations: DataFrame) -> Dat
 def revision_moves(draft: DataFrame, live: DataFrame) -> DataFrame:
     """Draft files whose revision number does not move as it should.
 
-    Live files with the same service code and line set are read by ascending
-    revision, then id. The first decisive one settles it: same modification
+    Live files of the same dataset with the same service code and line set are
+    read by ascending revision, then id. The first decisive one settles it: same modification
     time needs the same revision; otherwise a live revision not below the
     draft's is a violation.
 
@@ -116,10 +125,11 @@ def revision_moves(draft: DataFrame, live: DataFrame) -> DataFrame:
     another time than that one's. So a draft meets at most one row per revision
     number of its service, however many files the service has.
     """
-    key = ["service_code", "_lines"]
+    key = ["dataset_id", "service_code", "_lines"]
     lines = F.array_sort("line_names")
     modified, place = F.col("modification_datetime"), F.struct("revision", "id")
     rows = live.select(
+        "dataset_id",
         "service_code",
         lines.alias("_lines"),
         F.col("modification_datetime").alias("modified"),
@@ -151,8 +161,9 @@ def revision_moves(draft: DataFrame, live: DataFrame) -> DataFrame:
     )
     judged = (
         drafts.join(
-            same_time.withColumnRenamed("service_code", "_code").withColumnRenamed("_lines", "_live_lines"),
-            (F.col("service_code") == F.col("_code"))
+            same_time.withColumnsRenamed({"dataset_id": "_dataset", "service_code": "_code", "_lines": "_live_lines"}),
+            (F.col("dataset_id") == F.col("_dataset"))
+            & (F.col("service_code") == F.col("_code"))
             & (F.col("_lines") == F.col("_live_lines"))
             & F.col("modified").eqNullSafe(modified),
             "left",

@@ -33,9 +33,9 @@ def majority(df: DataFrame, keys: Sequence[str], value: str, ordinal: str) -> Da
 def service_pattern_bridge(journey_patterns: DataFrame, sequence: DataFrame) -> DataFrame:
     """Journey pattern to service pattern.
 
-    Patterns of a file with the same stops share one service pattern, whose id
-    takes the service code of the first of them and a content hash, so ids
-    repeat on re-runs.
+    Patterns of a file with the same stops share one service pattern. Its id is
+    the service code of the first of them and the hash of file id and stops, so
+    ids repeat on re-runs and differ between files, hence between revisions.
     """
     stops = sequence.groupBy("file_id", "jp_id").agg(
         F.transform(
@@ -47,7 +47,7 @@ def service_pattern_bridge(journey_patterns: DataFrame, sequence: DataFrame) ->
     )
     keyed = keyed.withColumn("stops", F.coalesce("stops", F.array().cast("array<string>"))).select(
         "*",
-        sequence_key(F.col("stops")).alias("sequence_key"),
+        sequence_key(F.col("file_id"), F.col("stops")).alias("sequence_key"),
         F.size("stops").alias("num_stops"),
     )
     first = keyed.groupBy("file_id", "sequence_key").agg(
@@ -58,7 +58,7 @@ def service_pattern_bridge(journey_patterns: DataFrame, sequence: DataFrame) ->
         "jp_id",
         "ordinal",
         "service_code",
-        F.concat_ws("-", "first_service", F.substring("sequence_key", 1, 16)).alias(
+        F.concat_ws("-", "first_service", "sequence_key").alias(
             "service_pattern_id"
         ),
         "num_stops",

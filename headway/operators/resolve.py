@@ -126,7 +126,7 @@ def journey_pattern_of(vehicle_journeys: DataFrame, bridge: DataFrame) -> DataFr
     )
 
 
-def journey_reference_chain(vehicle_journeys: DataFrame, max_rounds: int = 64) -> DataFrame:
+def journey_reference_chain(vehicle_journeys: DataFrame) -> DataFrame:
     """Journey pattern of each journey, following journey references to any depth.
 
     Pointer jumping: each round doubles the distance looked at, so a chain of
@@ -147,9 +147,7 @@ def journey_reference_chain(vehicle_journeys: DataFrame, max_rounds: int = 64) -
     is_open = F.col("jp_ref").isNull() & F.col("next").isNotNull()
     settled, waiting = state.where(~is_open), state.where(is_open)
     left = waiting.count()
-    for _ in range(max_rounds):
-        if left == 0:
-            break
+    while left:
         targets = settled.unionByName(waiting).select(
             "file_id",
             F.col("vj_code").alias("next"),
@@ -169,11 +167,6 @@ def journey_reference_chain(vehicle_journeys: DataFrame, max_rounds: int = 64) -
     return settled.unionByName(waiting).select("file_id", "vj_code", "jp_ref")
 
 
-def emitted_journeys(vehicle_journeys: DataFrame) -> DataFrame:
-    """Journeys without their own pattern reference count, but give no rows."""
-    return vehicle_journeys.where(F.col("jp_ref").isNotNull())
-
-
 def journeys_by_line(vehicle_journeys: DataFrame, lines: DataFrame) -> DataFrame:
     return vehicle_journeys.join(
         lines.select("file_id", F.col("line_id").alias("line_ref"), "line_name"),
@@ -264,13 +257,6 @@ def organisation_working_days(links: DataFrame, organisations: DataFrame) -> Dat
     return links.join(days, ["file_id", "code"])
 
 
-def track_lookup(tracks: DataFrame) -> DataFrame:
-    """One track per (file, from, to): the last one in the document."""
-    return tracks.groupBy("file_id", "from_atco_code", "to_atco_code").agg(
-        F.max_by("track", "ordinal").alias("track")
-    )
-
-
 # Interfaces whose registrations map to a region by area code.
 AREA_CODE_API_TYPES = ("WECA", "EP")
 

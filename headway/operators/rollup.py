@@ -21,11 +21,6 @@ METADATA_MARK = "UK_PI_METADATA"
 DEFAULT_FARES_VERSION = "1.1"
 
 
-def sorted_set(column: Column | str) -> Column:
-    """Distinct values in a fixed order, nulls left out."""
-    return F.array_sort(F.collect_set(column))
-
-
 def distinct_per_revision(bridge: DataFrame, patterns: DataFrame, column: str) -> DataFrame:
     """Distinct localities or admin areas per revision."""
     return (
@@ -37,21 +32,23 @@ def distinct_per_revision(bridge: DataFrame, patterns: DataFrame, column: str) -
 
 
 def insert_or_ignore(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Append rows whose key is not stored yet."""
-    fresh = incoming.dropDuplicates(list(keys)).join(
-        existing.select(*keys), list(keys), "left_anti"
-    )
+    """Append rows whose key is not stored yet; of several with one key the smallest."""
+    body = [c for c in incoming.columns if c not in keys]
+    single = incoming.groupBy(*keys).agg(F.min(F.struct(*body)).alias("_r")).select(*keys, "_r.*") if body else incoming.distinct()
+    fresh = single.join(existing.select(*keys), list(keys), "left_anti")
     return existing.unionByName(fresh)
 
 
 def insert_or_update(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """Stored rows with the newest incoming row per key replacing them."""
+    """Stored rows with the newest incoming row per key replacing them; of equally
+    new ones the largest, column by column."""
     body = [c for c in existing.columns if c not in keys]
-    both = existing.withColumn("_rank", F.struct(F.lit(0).alias("p"), F.col(version).alias("v"))).unionByName(
-        incoming.withColumn("_rank", F.struct(F.lit(1).alias("p"), F.col(version).alias("v")))
+    row = F.struct(F.col(version).alias("v"), F.struct(*body).alias("r"))
+    both = existing.select(*keys, F.struct(F.lit(0).alias("p"), row.alias("x")).alias("_rank")).unionByName(
+        incoming.select(*keys, F.struct(F.lit(1).alias("p"), row.alias("x")).alias("_rank"))
     )
-    best = both.groupBy(*keys).agg(F.max_by(F.struct(*body), "_rank").alias("r"))
-    return best.select(*keys, "r.*").select(*existing.columns)
+    best = both.groupBy(*keys).agg(F.max("_rank").alias("_rank"))
+    return best.select(*keys, "_rank.x.r.*").select(*existing.columns)
 
 
 def revision_file_stats(files: DataFrame) -> DataFrame:

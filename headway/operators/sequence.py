@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.time import DAY_SECONDS, clock, duration_seconds, seconds_of_day
 from headway.operators.scan import scan
+from headway.operators.tracks import track_lookup
 
 # Stop activities and their ids in the output tables.
 STOP_ACTIVITIES = {"pickUp": 1, "setDown": 2, "pickUpAndSetDown": 3, "pass": 4}
@@ -219,9 +220,12 @@ def stop_times(
     vj_links: DataFrame,
     blocked: bool = False,
     activities: Mapping[str, int] = STOP_ACTIVITIES,
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """Departure of every journey at every stop it serves.
 
+    ``links`` may hand over ``pattern_links`` worked out before.
+
     Offsets from the start are worked out once per journey pattern; journeys
     that follow their pattern only join them, so the large journey x stop
     result is never sorted. Journeys with overriding links get a scan of their
@@ -230,7 +234,8 @@ def stop_times(
     ids; stops with another activity are left out.
     """
     order = LINK_ORDER
-    links = pattern_links(journey_patterns, timing_links)
+    if links is None:
+        links = pattern_links(journey_patterns, timing_links)
     journeys = vehicle_journeys.where(F.col("jp_ref").isNotNull()).select(
         "file_id",
         "vj_code",
@@ -413,11 +418,7 @@ def distinct_pairs(route_links: DataFrame) -> DataFrame:
 def track_sequence(pairs: DataFrame, tracks: DataFrame) -> DataFrame:
     """Tracks along a sequence. Pairs are numbered first, then those without a
     track fall out, so numbers keep gaps. ``pairs`` carries its own keys."""
-    lookup = tracks.select(
-        F.col("from_atco_code").alias("from_stop"),
-        F.col("to_atco_code").alias("to_stop"),
-        F.col("id").alias("tracks_id"),
-    )
+    lookup = track_lookup(tracks, ["id"]).withColumnRenamed("id", "tracks_id")
     return pairs.join(lookup, ["from_stop", "to_stop"])
 
 

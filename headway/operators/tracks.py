@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from headway.functions.geo import (
 from headway.operators.components import connected_components
 
 DEFAULT_THRESHOLD = 20.0
+SNAP_METRES = 15.0
 DEGREE = 3.141592653589793 / 180 * EARTH_RADIUS
 BOUNDS = ("lon_min", "lon_max", "lat_min", "lat_max")
 
@@ -53,18 +56,32 @@ def with_track_id(tracks: DataFrame) -> DataFrame:
     return tracks.withColumn("id", F.xxhash64("from_atco_code", "to_atco_code", "points"))
 
 
+def track_lookup(tracks: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """One track per stop pair (and ``keys``): the last one, by document order where
+    there is one, then by id, then by its points."""
+    order = [c for c in ("ordinal", "id", "points") if c in tracks.columns]
+    chosen = tracks.groupBy(
+        *keys, F.col("from_atco_code").alias("from_stop"), F.col("to_atco_code").alias("to_stop")
+    ).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_t"))
+    return chosen.select(*keys, "from_stop", "to_stop", "_t.*")
+
+
 def file_track_sequence(pairs: DataFrame, tracks: DataFrame) -> DataFrame:
     """Tracks along each pattern, out of the tracks of its own file; pairs
     without a track leave gaps in the numbers."""
-    lookup = tracks.select(
-        "file_id",
-        F.col("from_atco_code").alias("from_stop"),
-        F.col("to_atco_code").alias("to_stop"),
-        F.col("id").alias("tracks_id"),
-    )
+    lookup = track_lookup(tracks, ["id"], ["file_id"]).withColumnRenamed("id", "tracks_id")
     return pairs.join(lookup, ["file_id", "from_stop", "to_stop"])
 
 
+def journey_tracks(journeys: DataFrame, pattern_tracks: DataFrame) -> DataFrame:
+    """Tracks along each journey, numbered as along its pattern.
+
+    ``journeys(file_id, vj_code, jp_id)``; journeys without a pattern have none.
+    """
+    along = pattern_tracks.select("file_id", "jp_id", "sequence_number", "tracks_id")
+    return journeys.select("file_id", "vj_code", "jp_id").join(along, ["file_id", "jp_id"]).drop("jp_id")
+
+
 def missing_pairs(wanted: DataFrame, tracks: DataFrame) -> DataFrame:
     """Distinct stop pairs that no stored track covers yet."""
     have = tracks.select(F.col("from_atco_code").alias("from_stop"), F.col("to_atco_code").alias("to_stop"))
@@ -72,8 +89,10 @@ def missing_pairs(wanted: DataFrame, tracks: DataFrame) -> DataFrame:
 
 
 def insert_tracks(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Append tracks for pairs not stored yet, so re-runs add no duplicates."""
-    fresh = with_track_id(incoming).join(
+    """Append one track per pair not stored yet, so re-runs add no duplicates."""
+    body = [c for c in incoming.columns if c not in ("from_atco_code", "to_atco_code")]
+    single = track_lookup(incoming, body).withColumnsRenamed({"from_stop": "from_atco_code", "to_stop": "to_atco_code"})
+    fresh = with_track_id(single).join(
         existing.select("from_atco_code", "to_atco_code"),
         ["from_atco_code", "to_atco_code"],
         "left_anti",
@@ -97,14 +116,10 @@ def pattern_line(pattern_stops: DataFrame) -> DataFrame:
 
 
 def _paired_tracks(pairs: DataFrame, tracks: DataFrame) -> DataFrame:
-    lookup = tracks.select(
-        F.col("from_atco_code").alias("from_stop"),
-        F.col("to_atco_code").alias("to_stop"),
-        "points",
-        "distance",
-        "coord_distance",
-    )
-    return pairs.join(lookup, ["from_stop", "to_stop"], "left")
+    """Each pair with its one track; tracks that name a file serve that file only."""
+    keys = [k for k in ("file_id",) if k in tracks.columns]
+    lookup = track_lookup(tracks, ["points", "distance", "coord_distance"], keys)
+    return pairs.join(lookup, [*keys, "from_stop", "to_stop"], "left")
 
 
 def sufficient_tracks(pairs: DataFrame, tracks: DataFrame) -> DataFrame:
@@ -127,13 +142,14 @@ def pattern_distance(
     Track sums when every pair has track data, else a routed distance when one
     is supplied, else the great-circle sum over the stops.
     """
+    own = [k for k in ("file_id",) if k in stop_points.columns]
     a = stop_points.select(
-        F.col("atco_code").alias("from_stop"), F.col("lon").alias("lon1"), F.col("lat").alias("lat1")
+        *own, F.col("atco_code").alias("from_stop"), F.col("lon").alias("lon1"), F.col("lat").alias("lat1")
     )
     b = stop_points.select(
-        F.col("atco_code").alias("to_stop"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2")
+        *own, F.col("atco_code").alias("to_stop"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2")
     )
-    rows = _paired_tracks(pairs, tracks).join(a, "from_stop", "left").join(b, "to_stop", "left")
+    rows = _paired_tracks(pairs, tracks).join(a, [*own, "from_stop"], "left").join(b, [*own, "to_stop"], "left")
     hop = haversine(F.col("lon1"), F.col("lat1"), F.col("lon2"), F.col("lat2"))
     sums = rows.groupBy("file_id", "jp_id").agg(
         F.bool_and(F.coalesce(F.size("points") >= 3, F.lit(False))).alias("sufficient"),

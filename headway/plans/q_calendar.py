@@ -150,7 +150,7 @@ def calendar_exceptions(t: Tables) -> DataFrame:
     "operating_days",
     "WITH " + _EXCEPTIONS_SQL + """,
 regular AS (SELECT file_id, vj_code, date FROM (
-    SELECT file_id, vj_code, pr, unnest(generate_series(d, d + 60, INTERVAL 1 DAY))::DATE AS date FROM profile) x
+    SELECT file_id, vj_code, pr, unnest(generate_series(d, CASE WHEN k % 7 = 0 THEN greatest(DATE '1999-01-01', d) ELSE d + 60 END, INTERVAL 1 DAY))::DATE AS date FROM profile) x
   WHERE EXISTS (SELECT 1 FROM weekday w WHERE w.pr = x.pr AND w.dow = isodow(x.date)))
 SELECT file_id, vj_code, count(*) AS days, min(date) AS first_day, max(date) AS last_day,
   CAST(sum(date - DATE '1990-01-01') AS BIGINT) AS day_sum
@@ -160,8 +160,10 @@ GROUP BY ALL""",
 )
 def operating_days(t: Tables) -> DataFrame:
     journeys = _effective(t).withColumn("start_date", F.col("special_operation")[0]["start"])
-    journeys = journeys.withColumn("end_date", F.date_add("start_date", 60))
-    days = cal.operating_days(journeys, _exceptions(t))
+    number = F.substring("vj_code", 3, 20).cast("long")
+    journeys = journeys.withColumn("end_date", F.when(number % 7 != 0, F.date_add("start_date", 60)))
+    horizon = F.greatest(F.lit("1999-01-01").cast("date"), F.col("start_date"))
+    days = cal.operating_days(journeys, _exceptions(t), horizon)
     epoch = F.lit("1990-01-01").cast("date")
     return days.groupBy("file_id", "vj_code").agg(
         F.count(F.lit(1)).alias("days"),

@@ -55,9 +55,10 @@ def fares_rules(t: Tables) -> DataFrame:
 @query(
     "fares_document_metadata",
     """SELECT p_partkey AS file_id, CASE WHEN p_partkey % 2 = 0 THEN '1.1' ELSE '1.10' END AS schema_version,
-  1 AS num_of_lines, CASE WHEN p_partkey % 22 <> 1 THEN 1 ELSE 0 END AS num_of_fare_zones,
+  1 AS num_of_lines, CASE WHEN p_partkey % 22 <> 1 AND p_partkey % 24 <> 1 THEN 1 ELSE 0 END AS num_of_fare_zones,
   CASE WHEN p_partkey % 46 <> 1 THEN 1 ELSE 0 END AS num_of_sales_offer_packages,
-  1 + CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 8 = 0 THEN 1 ELSE 0 END AS num_of_fare_products,
+  1 + CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 8 = 0 THEN 1 ELSE 0 END
+    + CASE WHEN p_partkey % 5 = 0 THEN 2 ELSE 0 END AS num_of_fare_products,
   CASE WHEN p_partkey % 32 <> 1 THEN 1 ELSE 0 END AS num_of_user_profiles,
   CASE WHEN p_partkey % 39 <> 1 AND p_partkey % 4 < 2 THEN 1 ELSE 0 END AS num_of_pass_products,
   CASE WHEN p_partkey % 39 <> 1 AND p_partkey % 4 = 2 THEN 1 ELSE 0 END AS num_of_trip_products,
@@ -98,7 +99,7 @@ def fares_table_cells(t: Tables) -> DataFrame:
 @query(
     "fares_zone_stop_refs",
     """SELECT p_partkey AS file_id, 'fz' AS zone_id, CASE WHEN c = 0 THEN 'ST' || p_partkey END AS atco_code,
-  CASE WHEN c = 1 THEN 'N' || p_partkey END AS naptan_code FROM part, (VALUES (0), (1)) v(c) WHERE p_partkey % 22 <> 1""",
+  CASE WHEN c = 1 THEN 'N' || p_partkey END AS naptan_code FROM part, (VALUES (0), (1)) v(c) WHERE p_partkey % 22 <> 1 AND p_partkey % 24 <> 1""",
 )
 def fares_zone_stop_refs(t: Tables) -> DataFrame:
     return far.zone_stop_refs(_fares(t))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from headway.plans.registry import Tables, query
 from headway.plans.timetable_job import References, process
 from headway.plans.xml_orders import timetable_documents
-from headway.session import shared_folder
+from headway.session import shared_folder, staged
 from headway.sources.documents import parse_timetables, surviving_files
 from headway.sources import tables as tab
 from headway.streaming import feeds
@@ -36,14 +36,16 @@ def _references(t: Tables) -> References:
 
 
 def _job(t: Tables):
-    return process(parse_timetables(timetable_documents(t)), _references(t))
+    """Seven uploads share service codes."""
+    docs = staged(parse_timetables(timetable_documents(t)).withColumn("revision_id", F.col("file_id") % 7))
+    return process(docs, _references(t))
 
 
 _ACTIVE_SQL = """
 doc AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, o_orderkey % 3 AS rev,
   CASE WHEN o_orderkey % 13 = 0 THEN 'bad code' ELSE 'PD' || o_orderkey END AS code FROM orders WHERE o_orderkey % 30 <> 0),
-top AS (SELECT *, max(rev) OVER (PARTITION BY code) AS m FROM doc),
-latest AS (SELECT *, max(CASE WHEN rev = m THEN d END) OVER (PARTITION BY code) AS s FROM top),
+top AS (SELECT *, max(rev) OVER (PARTITION BY k % 7, code) AS m FROM doc),
+latest AS (SELECT *, max(CASE WHEN rev = m THEN d END) OVER (PARTITION BY k % 7, code) AS s FROM top),
 active AS (SELECT k, d FROM latest WHERE rev = m OR d < s),
 pattern AS (SELECT k, d, k % 2 AS i FROM active WHERE k % 20 NOT IN (1, 4) AND k % 24 <> 0 AND k % 4 <> 1 AND k % 29 <> 1
   AND k % 26 <> 1 AND k % 28 <> 1 AND k % 37 <> 0)
@@ -68,7 +70,9 @@ SELECT k AS file_id, vj AS vj_code, 'JP' || i AS jp_id, 'ST' || (a % 7) AS atco_
 )
 def job_stop_times(t: Tables) -> DataFrame:
     out = _job(t)["stop_times"]
-    return out.withColumn("departure_seconds", F.col("departure_seconds").cast("bigint")).drop("departure_time")
+    return out.withColumn("departure_seconds", F.col("departure_seconds").cast("bigint")).drop(
+        "departure_time", "service_pattern_id", "naptan_stop_id", "common_name"
+    )
 
 
 @query(
@@ -212,8 +216,7 @@ def feed_archive_latest(t: Tables) -> DataFrame:
     )
     run = feeds.archive_feed(snapshots, f"{base}/archive", f"{base}/latest", f"{base}/state", availableNow=True)
     run.awaitTermination()
-    last = run.lastProgress["batchId"] if run.lastProgress else 0
-    return feeds.current_latest(t.spark, f"{base}/latest", last)
+    return feeds.current_latest(t.spark, f"{base}/latest")
 
 
 @query(

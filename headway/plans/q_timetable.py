@@ -243,7 +243,7 @@ keyed AS (
     ON s.jp_id = 'JP' || o_orderkey),
 bridge AS (
   SELECT file_id, jp_id, ordinal, service_code, o_orderstatus, num_stops,
-    min_by(service_code, ordinal) OVER (PARTITION BY file_id, stops) || '-' || substr(sha256(stops), 1, 16) AS service_pattern_id
+    min_by(service_code, ordinal) OVER (PARTITION BY file_id, stops) || '-' || sha256(file_id || chr(31) || stops) AS service_pattern_id
   FROM keyed)
 """
 

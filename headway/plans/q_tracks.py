@@ -118,7 +118,7 @@ def _pattern_tracks(t: Tables) -> DataFrame:
 
     mid = at((a + b) / 2, 0.001)
     points = F.when(key % 9 == 0, F.array(at(a, 0.0), at(b, 0.0))).otherwise(F.array(at(a, 0.0), mid, at(b, 0.0)))
-    return net.supplier_pairs(t).select(
+    chosen = net.supplier_pairs(t).select(
         key,
         F.concat(F.lit("ST"), a).alias("from_atco_code"),
         F.concat(F.lit("ST"), b).alias("to_atco_code"),
@@ -126,6 +126,12 @@ def _pattern_tracks(t: Tables) -> DataFrame:
         F.when(key % 4 != 0, (key * 10).cast("int")).alias("distance"),
         (key * 11).cast("int").alias("coord_distance"),
     )
+    # An older track for every other pair: it is stored too, and must not count.
+    older = chosen.where(key % 2 == 0).select(
+        (-key).alias("id"), "from_atco_code", "to_atco_code",
+        F.reverse("points").alias("points"), F.lit(1).alias("distance"), F.lit(1).alias("coord_distance"),
+    )
+    return chosen.unionByName(older)
 
 
 _PAIRS_SQL = STOP_SEQUENCE_SQL + """,

@@ -1,14 +1,17 @@
-"""The whole timetable job: parsed documents to output tables.
+"""The whole timetable job: staged documents to output tables.
 
-All files of all revisions go through together. Documents are staged once as
-Parquet, section tables are read from there, rows that fail admission are kept
-apart, superseded files give their service row only.
+All files of all revisions go through together; ``revision_id`` (one upload)
+and ``dataset_id`` stand beside each file. Documents are staged as Parquet once
+by the caller (``headway.sources.documents.stage``), section tables are read
+from there, rows that fail admission are kept apart, superseded files give their
+service row only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +28,7 @@ from headway.sources import timetables as src
 from headway.sources.admission import admit_sections
 
 STOP_COLUMNS = ("atco_code", "id", "common_name", "lon", "lat", "locality_id", "admin_area_id")
+MEASURES = ("num_stops", "journey_patterns", "vehicle_journeys")
 
 
 @dataclass(frozen=True)
@@ -36,67 +40,218 @@ class References:
     routed: DataFrame | None = None
 
 
+class TimetableJob(Mapping[str, DataFrame]):
+    """Output tables by name, worked out when asked for.
+
+    What several tables need (which files count, links, stop sequences, the
+    pattern bridge) is written once to the shared folder and read from there.
+    """
+
+    def __init__(self, documents: DataFrame, references: References, violations: DataFrame | None, divisions: list[str] | None):
+        self.documents, self.references = documents, references
+        self.violations, self.divisions = violations, divisions
+        self.sections, self.rejected = admit_sections(src.sections(documents))
+        self._tables = {
+            "file_attributes": lambda: self.flagged,
+            "services": self._services,
+            "service_patterns": lambda: self.bridge,
+            "flexible_service_patterns": lambda: self.flexible_bridge,
+            "service_pattern_links": self._service_links,
+            "pattern_members": lambda: pat.pattern_members(self.bridge, self.journey_map),
+            "pattern_directions": lambda: pat.pattern_direction(self.bridge, self.live("journey_patterns")),
+            "pattern_lines": lambda: pat.pattern_line(self.journey_map, self.live("vehicle_journeys")),
+            "pattern_metadata": self._metadata,
+            "pattern_localities": lambda: pat.pattern_localities(self.pattern_stops, self.references.stops),
+            "pattern_admin_areas": lambda: pat.pattern_admin_areas(self.pattern_stops, self.references.stops),
+            "pattern_geometry": self._geometry,
+            "pattern_distances": self._distances,
+            "run_statistics": lambda: rollup.run_statistics(self["pattern_members"], MEASURES),
+            "vehicle_journeys": lambda: rollup.vehicle_journey_rows(self.live("vehicle_journeys"), self.live("journey_patterns")),
+            "stop_times": self._stop_times,
+            "flexible_stop_rows": lambda: seq.flexible_stop_rows(
+                self.live("flexible_journeys"), self.live("flexible_stops"), self.references.stops
+            ),
+            "flexible_operation_periods": lambda: cal.flexible_operation_periods(self.live("flexible_journeys")),
+            "booking_arrangements": lambda: pat.booking_arrangements(self.live("bookings")),
+            "operating_profiles": lambda: cal.weekday_rows(self.profiles),
+            "calendar_exceptions": lambda: cal.exceptions(
+                self.profiles, self.live("services"), self.references.bank_holidays, self.divisions
+            ),
+            "serviced_organisation_journeys": lambda: self.organisation_links,
+            "serviced_organisation_working_days": lambda: res.organisation_working_days(
+                self.organisation_links, self.live("serviced_organisations").where("working_days is not null")
+            ),
+            "tracks": lambda: self.tracks,
+            "pattern_tracks": lambda: self.pattern_tracks,
+            "vehicle_journey_tracks": self._journey_tracks,
+            "rejected_rows": lambda: self.rejected,
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._tables[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+    def by_revision(self, name: str) -> DataFrame:
+        """A table with revision and dataset of its file, to be replaced by revision."""
+        return self[name].join(self.flagged.select("file_id", "revision_id", "dataset_id"), "file_id")
+
+    # Parts that several tables share.
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        """Attribute rows of the files that count, one per revision and file name."""
+        s = self.sections
+        keys = [c for c in ("revision_id", "dataset_id") if c in self.documents.columns]
+        files = self.documents.select("file_id", *keys)
+        for missing in {"revision_id", "dataset_id"} - set(keys):
+            files = files.withColumn(missing, F.lit(0).cast("long"))
+        attributes = rollup.file_attributes(s["metadata"], s["services"], s["lines"], s["operators"]).join(files, "file_id")
+        if self.violations is not None:
+            attributes = attributes.join(self.violations.select("file_id").distinct(), "file_id", "left_anti")
+        named = life.latest_by_name(attributes.withColumn("id", F.col("file_id"))).drop("id")
+        return staged(life.supersession(named))
+
+    def live(self, name: str) -> DataFrame:
+        return self.sections[name].join(self.flagged.where("not superseded").select("file_id"), "file_id", "left_semi")
+
+    @cached_property
+    def links(self) -> DataFrame:
+        return staged(seq.pattern_links(self.live("journey_patterns"), self.live("timing_links")))
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        return res.resolve_stops(self.live("stop_points"), self.references.stops)
+
+    @cached_property
+    def sequence(self) -> DataFrame:
+        return staged(seq.stop_sequence(self.links, res.placeholders(self.resolved)))
+
+    @cached_property
+    def bridge(self) -> DataFrame:
+        return staged(pat.service_pattern_bridge(self.live("journey_patterns"), self.sequence))
+
+    @cached_property
+    def flexible_bridge(self) -> DataFrame:
+        stops = seq.flexible_stop_sequence(self.live("flexible_stops"))
+        return staged(pat.service_pattern_bridge(self.live("flexible_patterns"), stops.drop("in_sequence")))
+
+    @cached_property
+    def journey_map(self) -> DataFrame:
+        """Standard and flexible journeys with their service pattern."""
+        standard = res.journey_pattern_of(self.live("vehicle_journeys"), self.bridge)
+        flexible = self.live("flexible_journeys").withColumn("vj_ref", F.lit(None).cast("string"))
+        return standard.unionByName(res.journey_pattern_of(flexible, self.flexible_bridge))
+
+    @cached_property
+    def pattern_stops(self) -> DataFrame:
+        flexible = seq.flexible_stop_sequence(self.live("flexible_stops")).drop("in_sequence")
+        return (
+            self.bridge.join(self.sequence, ["file_id", "jp_id"])
+            .unionByName(self.flexible_bridge.join(flexible, ["file_id", "jp_id"]))
+            .select("file_id", "service_pattern_id", "stop_ref")
+        )
+
+    @cached_property
+    def profiles(self) -> DataFrame:
+        return res.effective_profiles(self.live("vehicle_journeys"), self.live("operating_profiles"))
+
+    @cached_property
+    def organisation_links(self) -> DataFrame:
+        return res.serviced_organisation_journeys(self.profiles, self.live("serviced_organisations"))
+
+    @cached_property
+    def tracks(self) -> DataFrame:
+        return trk.with_track_id(trk.track_rows(self.live("route_links")))
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return seq.consecutive_pairs(self.sequence, ["file_id", "jp_id"], ["pos"])
+
+    @cached_property
+    def pattern_tracks(self) -> DataFrame:
+        return trk.file_track_sequence(self.pairs, self.tracks)
+
+    @cached_property
+    def representatives(self) -> DataFrame:
+        """The first journey pattern of each service pattern stands for its stops."""
+        return self.bridge.groupBy("file_id", "service_pattern_id").agg(
+            F.min_by(F.struct("jp_id", "service_code"), "ordinal").alias("r")
+        ).select("file_id", "service_pattern_id", "r.*")
+
+    # Tables.
+
+    def _services(self) -> DataFrame:
+        known = self.flagged.select("file_id", "superseded")
+        services = self.sections["services"].join(known, "file_id", "left_semi")
+        return rollup.service_rows(services, self.sections["lines"], known)
+
+    def _service_links(self) -> DataFrame:
+        both = self.bridge.unionByName(self.flexible_bridge)
+        return pat.patterns_of_service(both, both)
+
+    def _stop_times(self) -> DataFrame:
+        """Stop rows with their service pattern, the register's id and the stop's name."""
+        rows = seq.stop_times(
+            self.live("vehicle_journeys"), self.live("journey_patterns"), self.live("timing_links"), self.live("vj_links"), links=self.links
+        )
+        stops = self.resolved.select("file_id", "atco_code", "naptan_stop_id", "common_name").dropDuplicates(["file_id", "atco_code"])
+        patterns = self.bridge.select("file_id", "jp_id", "service_pattern_id")
+        return rows.join(patterns, ["file_id", "jp_id"], "left").join(stops, ["file_id", "atco_code"], "left")
+
+    def _metadata(self) -> DataFrame:
+        names = self.resolved.groupBy("file_id", "atco_code").agg(F.max("common_name").alias("name"))
+        ends = self.sequence.groupBy("file_id", "jp_id").agg(
+            F.min_by("stop_ref", "pos").alias("first_stop"), F.max_by("stop_ref", "pos").alias("last_stop")
+        )
+        first = names.select("file_id", F.col("atco_code").alias("first_stop"), F.col("name").alias("first_stop_name"))
+        last = names.select("file_id", F.col("atco_code").alias("last_stop"), F.col("name").alias("last_stop_name"))
+        keys = ["file_id", "service_pattern_id"]
+        patterns = (
+            self.representatives.join(ends, ["file_id", "jp_id"], "left")
+            .join(first, ["file_id", "first_stop"], "left")
+            .join(last, ["file_id", "last_stop"], "left")
+            .join(self["pattern_directions"], keys, "left")
+            .join(self["pattern_lines"].withColumnRenamed("line_ref", "line_id"), keys, "left")
+        )
+        return pat.pattern_metadata(patterns, self.live("services"), self.live("lines"))
+
+    def _geometry(self) -> DataFrame:
+        """Line of each service pattern: its tracks where all pairs have one, else its stops."""
+        spots = self.resolved.select("file_id", F.col("atco_code").alias("stop_ref"), "lon", "lat").dropDuplicates(["file_id", "stop_ref"])
+        along_stops = trk.pattern_line(self.sequence.join(spots, ["file_id", "stop_ref"]).withColumn("k", F.lit(0)))
+        enough = trk.sufficient_tracks(self.pairs, self.tracks).where("sufficient")
+        along_tracks = trk.pattern_geometry(self.pairs.join(enough, ["file_id", "jp_id"], "left_semi"), self.tracks, trk.SNAP_METRES)
+        shapes = along_stops.withColumnRenamed("points", "stop_points").join(
+            along_tracks.withColumnRenamed("points", "track_points"), ["file_id", "jp_id"], "full"
+        )
+        return self.representatives.join(shapes, ["file_id", "jp_id"]).select(
+            "file_id", "service_pattern_id", F.coalesce("track_points", "stop_points").alias("points")
+        )
+
+    def _distances(self) -> DataFrame:
+        spots = self.resolved.select("file_id", "atco_code", "lon", "lat").dropDuplicates(["file_id", "atco_code"])
+        found = trk.pattern_distance(self.pairs, self.tracks, spots, self.references.routed)
+        return self.representatives.join(found, ["file_id", "jp_id"]).select("file_id", "service_pattern_id", *[c for c in found.columns if c not in ("file_id", "jp_id")])
+
+    def _journey_tracks(self) -> DataFrame:
+        journeys = self.journey_map.join(self.representatives, ["file_id", "service_pattern_id"])
+        return trk.journey_tracks(journeys, self.pattern_tracks)
+
+
 def process(
     documents: DataFrame,
     references: References,
     violations: DataFrame | None = None,
     divisions: list[str] | None = None,
-) -> Mapping[str, DataFrame]:
-    """Output tables by name. Files named in ``violations`` are left out."""
-    docs = staged(documents)
-    sections, rejected = admit_sections(src.sections(docs))
-    attributes = rollup.file_attributes(
-        sections["metadata"], sections["services"], sections["lines"], sections["operators"]
-    )
-    if violations is not None:
-        attributes = attributes.join(violations.select("file_id").distinct(), "file_id", "left_anti")
-    flagged = life.supersession(attributes)
-    known = flagged.select("file_id", "superseded")
-    active = known.where("not superseded").select("file_id")
-
-    def live(name: str) -> DataFrame:
-        return sections[name].join(active, "file_id", "left_semi")
-
-    document_stops = live("stop_points")
-    resolved = res.resolve_stops(document_stops, references.stops)
-    journey_patterns, journeys = live("journey_patterns"), live("vehicle_journeys")
-    links = seq.pattern_links(journey_patterns, live("timing_links"))
-    sequence = seq.stop_sequence(links, res.placeholders(resolved))
-    bridge = pat.service_pattern_bridge(journey_patterns, sequence)
-    journey_map = res.journey_pattern_of(journeys, bridge)
-    profiles = res.effective_profiles(journeys, live("operating_profiles"))
-    track_table = trk.with_track_id(trk.track_rows(live("route_links")))
-    pairs = seq.consecutive_pairs(sequence, ["file_id", "jp_id"], ["pos"])
-    pattern_stops = bridge.join(sequence, ["file_id", "jp_id"]).select(
-        "file_id", "service_pattern_id", "stop_ref"
-    )
-    services = sections["services"].join(known, "file_id", "left_semi")
-    organisations = live("serviced_organisations")
-    organisation_links = res.serviced_organisation_journeys(profiles, organisations)
-    flexible = live("flexible_journeys")
-    return {
-        "file_attributes": flagged,
-        "services": rollup.service_rows(services, sections["lines"], known),
-        "service_patterns": bridge,
-        "pattern_members": pat.pattern_members(bridge, journey_map),
-        "pattern_directions": pat.pattern_direction(bridge, journey_patterns),
-        "pattern_lines": pat.pattern_line(journey_map, journeys),
-        "pattern_localities": pat.pattern_localities(pattern_stops, references.stops),
-        "pattern_admin_areas": pat.pattern_admin_areas(pattern_stops, references.stops),
-        "vehicle_journeys": rollup.vehicle_journey_rows(journeys, journey_patterns),
-        "stop_times": seq.stop_times(
-            journeys, journey_patterns, live("timing_links"), live("vj_links")
-        ),
-        "flexible_stop_rows": seq.flexible_stop_rows(flexible, live("flexible_stops"), references.stops),
-        "flexible_operation_periods": cal.flexible_operation_periods(flexible),
-        "booking_arrangements": pat.booking_arrangements(live("bookings")),
-        "operating_profiles": cal.weekday_rows(profiles),
-        "calendar_exceptions": cal.exceptions(profiles, live("services"), references.bank_holidays, divisions),
-        "serviced_organisation_journeys": organisation_links,
-        "serviced_organisation_working_days": res.organisation_working_days(
-            organisation_links, organisations.where("working_days is not null")
-        ),
-        "tracks": track_table,
-        "pattern_tracks": trk.file_track_sequence(pairs, track_table),
-        "rejected_rows": rejected,
-    }
+) -> TimetableJob:
+    """Output tables by name. Files named in ``violations`` are left out.
+
+    ``documents`` are staged ones, with ``file_id`` and, where there is more than
+    one upload, ``revision_id`` and ``dataset_id``.
+    """
+    return TimetableJob(documents, references, violations, divisions)

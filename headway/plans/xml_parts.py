@@ -70,11 +70,12 @@ def fares_documents(t: Tables) -> DataFrame:
     carnet = when(k % 3 == 0, product("AmountOfPriceUnitProduct", tag("ProductType", F.when(k % 9 == 0, "other").otherwise("tripCarnet")), F.lit(True)))
     rule = tag("cappingRules", tag("CappingRule", tag("Name", "cap"), tag("CappingPeriod", "day"), ref("ValidableElementRef", "v")))
     capped = F.when(k % 16 == 8, tag("CappedDiscountRight", rule)).when(k % 16 == 0, tag("CappedDiscountRight", rule, id="cap")).otherwise("")
+    others = when(k % 5 == 0, "<SupplementProduct id='x'><Name>n</Name></SupplementProduct><UsageDiscountRight/>")
     packages = when(k % 46 != 1, tag("salesOfferPackages", tag("SalesOfferPackage",
         tag("distributionAssignments", tag("DistributionAssignment", when(k % 42 != 1, tag("DistributionChannelType", "onBoard")), when(k % 43 != 1, tag("PaymentMethods", "cash")))),
         tag("salesOfferPackageElements", tag("SalesOfferPackageElement", when(k % 44 != 1, ref("TypeOfTravelDocumentRef", "d")), when(k % 45 != 1, ref("PreassignedFareProductRef", "p")))), id="s")))
     products = tag("FareFrame", ref("TypeOfFrameRef", F.when(k % 25 == 1, "UK_PI_OTHER").otherwise("fxc:UK_PI_FARE_PRODUCT:1")),
-        tag("tariffs", tariff), tag("fareProducts", plain, carnet, capped), packages, id="epd:UK_PI_FARE_PRODUCT:1", version="1")
+        tag("tariffs", tariff), tag("fareProducts", plain, carnet, capped, others), packages, id="epd:UK_PI_FARE_PRODUCT:1", version="1")
     cells = F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), k % 3), lambda i: tag("Cell",
         join('<ColumnRef ref="c0"/><RowRef ref="r', i, '"/>'), tag("Amount", join(i + k % 20, ".5")), id="c")), "")
     rows = F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), k % 3), lambda i: tag("FareTableRow", tag("Name", "r"), id=join("r", i), order=i + 1)), "")

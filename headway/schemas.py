@@ -334,6 +334,7 @@ _FARE_FRAME = struct(
     tariffs=struct(Tariff=array(_TARIFF)),
     fareProducts=array(
         struct(
+            xs_any=TEXTS,
             PreassignedFareProduct=array(_PRODUCT),
             AmountOfPriceUnitProduct=array(_PRODUCT),
             CappedDiscountRight=array(

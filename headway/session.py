@@ -69,3 +69,27 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _located(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, system = _located(spark, path)
+    return system.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder the caller owns, if it is there."""
+    place, system = _located(spark, path)
+    system.delete(place, True)
+
+
+def release(df: DataFrame) -> None:
+    """Delete a staged table once nothing reads it any more."""
+    folders = {f.rpartition("/")[0] for f in df.inputFiles()}
+    for folder in folders:
+        if "/staged-" in folder:
+            remove(df.sparkSession, folder)

@@ -12,6 +12,11 @@ OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorrupt
 TIMETABLE_ROOT, FARES_ROOT = "TransXChange", "PublicationDelivery"
 
 
+def file_id() -> Column:
+    """Id of the file a row was read from, the same for every reader."""
+    return F.xxhash64("_metadata.file_path")
+
+
 def scan_corpus(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
     """Files under a path with name, size and content hash."""
     raw = (
@@ -21,8 +26,8 @@ def scan_corpus(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataF
         .load(path)
     )
     return raw.select(
-        F.xxhash64("path").alias("file_id"),
-        "path",
+        file_id().alias("file_id"),
+        F.col("_metadata.file_path").alias("path"),
         base_name(F.col("path")).alias("name"),
         F.col("length").alias("size"),
         F.sha1("content").alias("sha1"),
@@ -54,7 +59,7 @@ def _read(spark: SparkSession, path: str, root: str, schema: str, xsd: str | Non
         # Name of a schema file given to the executors with addFile.
         reader = reader.option("rowValidationXSDPath", xsd)
     docs = reader.schema(schema).load(path)
-    return docs.withColumn("path", F.input_file_name()).withColumn("file_id", F.xxhash64("path"))
+    return docs.withColumns({"path": F.col("_metadata.file_path"), "file_id": file_id()})
 
 
 def read_timetables(spark: SparkSession, path: str, xsd: str | None = None) -> DataFrame:
@@ -97,12 +102,15 @@ def schema_violations(documents: DataFrame) -> DataFrame:
 def safety_violations(corpus: DataFrame, expected_root: str, versions: tuple[str, ...]) -> DataFrame:
     """Files that may not be processed, with an error code each.
 
-    Checks in order: suffix, declarations, root element, version.
+    Checks in order: suffix, declarations, well-formedness, root element,
+    version. A text is well-formed if the XML reader takes it to its end.
     """
     text = F.col("text")
+    corpus = corpus.withColumn("_read", F.from_xml(text, f"_read string, {CORRUPT} string", OPTIONS)[CORRUPT])
     code = (
         F.when(~F.lower("name").endswith(".xml"), "SUSPICIOUS_FILE")
         .when(is_unsafe_xml(text), "DANGEROUS_XML_ERROR")
+        .when(text.isNull() | F.col("_read").isNotNull(), "XML_SYNTAX_ERROR")
         .when(document_type(text) != expected_root, "XML_SYNTAX_ERROR")
         .when(~F.coalesce(document_version(text).isin(*versions), F.lit(False)), "SCHEMA_VERSION_NOT_SUPPORTED")
     )

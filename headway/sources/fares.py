@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from headway.operators.rollup import METADATA_MARK
 from headway.rules.runner import each
+from headway.sources.admission import REQUIRED, admit
 
 
 def composites() -> Column:
@@ -55,11 +56,12 @@ def composite_frames(docs: DataFrame) -> DataFrame:
     )
 
 
-# Product elements a fare frame may hold, all of which count.
-PRODUCT_KINDS = ("PreassignedFareProduct", "AmountOfPriceUnitProduct", "CappedDiscountRight")
+# Product elements with columns of their own; ``xs_any`` holds all other children.
+PRODUCT_KINDS = ("PreassignedFareProduct", "AmountOfPriceUnitProduct", "CappedDiscountRight", "xs_any")
 
 
 def fare_frames(docs: DataFrame) -> DataFrame:
+    """Fare frames; every child of their products counts as one."""
     products = F.col("e.fareProducts")
     total = F.lit(0)
     for kind in PRODUCT_KINDS:
@@ -77,7 +79,8 @@ def _kind(products: Column, kind: str) -> Column:
     return each(products, lambda p: p[kind])
 
 
-def fare_zones(docs: DataFrame) -> DataFrame:
+def zone_rows(docs: DataFrame) -> DataFrame:
+    """Every zone element, complete or not."""
     zones = each(each(frames("FareFrame"), lambda f: f["fareZones"]), lambda z: z["FareZone"])
     return _rows(docs, zones).select(
         "file_id",
@@ -89,6 +92,27 @@ def fare_zones(docs: DataFrame) -> DataFrame:
     )
 
 
+def fare_zones(docs: DataFrame) -> DataFrame:
+    """Zones with id, version and name; others are rejected (``rejected_zones``)."""
+    return admit(zone_rows(docs), REQUIRED["fare_zones"])[0]
+
+
+def rejected_zones(docs: DataFrame) -> DataFrame:
+    left = admit(zone_rows(docs), REQUIRED["fare_zones"])[1]
+    return left.select("file_id", F.lit("fare_zones").alias("section"), "reason")
+
+
+def failed_files(docs: DataFrame) -> DataFrame:
+    """Files with a structure element that lacks id or version: nothing of them is read."""
+    bad = F.exists(
+        _structure_elements(),
+        lambda e: (F.coalesce(e["_id"], F.lit("")) == "") | (F.coalesce(e["_version"], F.lit("")) == ""),
+    )
+    return docs.where(bad).select(
+        "file_id", F.lit("FARES_ETL_ERROR").alias("error_code"), F.lit("FareStructureElement without id or version").alias("message")
+    )
+
+
 def zone_stop_refs(docs: DataFrame) -> DataFrame:
     """Stops named by fare zones, by code type."""
     members = fare_zones(docs).select("file_id", "zone_id", F.explode("members").alias("m"))

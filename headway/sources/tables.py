@@ -58,15 +58,15 @@ def stop_register(rows: DataFrame) -> DataFrame:
 
 def load_stops(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Keyed upsert: incoming stops replace stored ones; of several incoming
-    rows with one code the last modified counts."""
+    rows with one code the last modified counts, of these the largest row."""
     body = [c for c in existing.columns if c != "atco_code"]
     aligned = incoming.select(
         "atco_code", *[F.col(c) if c in incoming.columns else F.lit(None).alias(c) for c in body]
     )
-    rank = F.struct(F.col("_incoming"), F.col("modified_at"))
+    ranked = F.struct("_incoming", "modified_at", F.struct(*body).alias("r"))
     both = existing.withColumn("_incoming", F.lit(0)).unionByName(aligned.withColumn("_incoming", F.lit(1)))
-    best = both.groupBy("atco_code").agg(F.max_by(F.struct(*body), rank).alias("r"))
-    return best.select("atco_code", "r.*").select(*existing.columns)
+    best = both.groupBy("atco_code").agg(F.max(ranked).alias("b"))
+    return best.select("atco_code", "b.r.*").select(*existing.columns)
 
 
 def refresh_ids(stops: DataFrame, ids: DataFrame) -> DataFrame:

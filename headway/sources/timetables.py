@@ -128,7 +128,7 @@ def journey_patterns(docs: DataFrame) -> DataFrame:
     return rows.select(
         "file_id",
         F.col("j._id").alias("jp_id"),
-        (F.col("service_pos") * 1000000 + F.col("jp_pos")).alias("ordinal"),
+        F.struct("service_pos", "jp_pos").alias("ordinal"),
         "service_code",
         _first(F.col("j.Direction")).alias("direction"),
         F.col("j.DestinationDisplay").alias("destination_display"),
@@ -205,7 +205,7 @@ def route_links(docs: DataFrame) -> DataFrame:
         F.col("l.To.StopPointRef").alias("to_stop"),
         F.col("l.Distance").cast("int").alias("distance"),
         located.alias("points"),
-        (F.col("section_ord") * 1000000 + F.col("link_pos")).alias("ordinal"),
+        F.struct("section_ord", "link_pos").alias("ordinal"),
     )
 
 
@@ -332,18 +332,27 @@ def vj_links(docs: DataFrame) -> DataFrame:
     )
 
 
+# An optional name space prefix.
+PREFIX = r"(?:[\w.-]+:)?"
+
+
+def _inner(xml: Column, name: str) -> Column:
+    """Text of the first element of that name, whatever its prefix and attributes."""
+    return _text(F.regexp_extract(xml, rf"<{PREFIX}{name}(?:\s[^>]*)?>\s*([^<]*?)\s*</{PREFIX}{name}\s*>", 1))
+
+
 def flexible_journeys(docs: DataFrame) -> DataFrame:
     times = F.regexp_extract_all(
         "e.FlexibleServiceTimes",
-        F.lit(r"(?s)<AllDayService\s*/?>|<ServicePeriod>.*?</ServicePeriod>"),
+        F.lit(rf"(?s)<{PREFIX}AllDayService\b[^>]*>|<{PREFIX}ServicePeriod\b[^>]*>.*?</{PREFIX}ServicePeriod\s*>"),
         0,
     )
     parsed = F.transform(
         times,
         lambda x: F.struct(
-            x.startswith("<AllDay").alias("all_day"),
-            _text(F.regexp_extract(x, r"<StartTime>\s*([^<]*?)\s*</StartTime>", 1)).alias("start"),
-            _text(F.regexp_extract(x, r"<EndTime>\s*([^<]*?)\s*</EndTime>", 1)).alias("end"),
+            x.rlike(rf"^<{PREFIX}AllDay").alias("all_day"),
+            _inner(x, "StartTime").alias("start"),
+            _inner(x, "EndTime").alias("end"),
         ),
     )
     complete = F.forall(
@@ -439,7 +448,7 @@ def flexible_patterns(docs: DataFrame) -> DataFrame:
     return _flexible_patterns(docs).select(
         "file_id",
         F.col("j._id").alias("jp_id"),
-        (F.col("service_pos") * 1000000 + F.col("jp_pos")).alias("ordinal"),
+        F.struct("service_pos", "jp_pos").alias("ordinal"),
         "service_code",
         _first(F.col("j.Direction")).alias("direction"),
     )
@@ -449,15 +458,15 @@ def stop_uses(inner: Column) -> Column:
     """Stop uses in document order from a sequence's or zone's inner XML."""
     uses = F.regexp_extract_all(
         inner,
-        F.lit(r"(?s)<(?:Fixed|Flexible)StopUsage(?:\s[^>]*)?>.*?</(?:Fixed|Flexible)StopUsage>"),
+        F.lit(rf"(?s)<{PREFIX}(?:Fixed|Flexible)StopUsage\b[^>]*>.*?</{PREFIX}(?:Fixed|Flexible)StopUsage\s*>"),
         0,
     )
     read = F.transform(
         uses,
         lambda u: F.struct(
-            u.startswith("<Flexible").alias("is_flexible"),
-            _text(F.regexp_extract(u, r"<StopPointRef>\s*([^<]*?)\s*</StopPointRef>", 1)).alias("stop_ref"),
-            _text(F.regexp_extract(u, r"<TimingStatus>\s*([^<]*?)\s*</TimingStatus>", 1)).alias("timing_status"),
+            u.rlike(rf"^<{PREFIX}Flexible").alias("is_flexible"),
+            _inner(u, "StopPointRef").alias("stop_ref"),
+            _inner(u, "TimingStatus").alias("timing_status"),
         ),
     )
     return F.coalesce(
@@ -487,7 +496,7 @@ def bookings(docs: DataFrame) -> DataFrame:
     rows = _flexible_patterns(docs).select(
         "file_id",
         "service_code",
-        (F.col("service_pos") * 1000000 + F.col("jp_pos")).alias("ordinal"),
+        F.struct("service_pos", "jp_pos").alias("ordinal"),
         F.col("j.BookingArrangements")[0].alias("b"),
     ).where("b is not null")
     return rows.select(

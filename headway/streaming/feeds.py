@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.functions.text import base_name
+from headway.session import exists, remove
 
 
 def latest_archives(archive: DataFrame) -> DataFrame:
@@ -34,42 +35,45 @@ def archive_feed(
 ) -> StreamingQuery:
     """Archive feed snapshots and keep a pointer to the latest of each format.
 
-    Each micro-batch overwrites its own folder, named by batch id, so a batch
-    that is run again leaves the same files. The pointer is worked out from the
-    archive itself, one row per format.
+    Each micro-batch overwrites its own folder, named by the stream (its id is
+    kept in its checkpoint) and the batch id: a batch that is run again leaves
+    the same files, and a stream started anew replaces nothing of an older one.
+    The pointer of a batch is worked out from it and the pointers before it; of
+    each stream the last two are kept.
     """
     spark = snapshots.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        run = f"run={stream_id(spark, checkpoint)}"
         named = batch.withColumn("file", archive_name(F.col("data_format"), F.col("received_at")))
-        named.write.mode("overwrite").partitionBy("data_format").parquet(
-            f"{archive_path}/batch={batch_id}"
-        )
-        # Only this batch and the pointer before it are read, never the archive.
-        done = spark.read.schema(named.schema).parquet(f"{archive_path}/batch={batch_id}")
-        done = done.select("data_format", "file", "received_at")
-        previous = f"{pointer_path}/batch={batch_id - 1}"
-        if batch_id > 0:
-            before = spark.read.parquet(previous)
-            now = merge_latest(before, done)
-        else:
-            now = latest_archives(done)
-        now.write.mode("overwrite").parquet(f"{pointer_path}/batch={batch_id}")
+        target = f"{archive_path}/{run}/batch={batch_id}"
+        named.write.mode("overwrite").partitionBy("data_format").parquet(target)
+        # Only this batch and the pointers before it are read, never the archive.
+        done = spark.read.schema(named.schema).parquet(target).select("data_format", "file", "received_at")
+        now = latest_archives(done)
+        if exists(spark, pointer_path):
+            others = pointers(spark, pointer_path).where((F.col("run") != run.removeprefix("run=")) | (F.col("batch") < batch_id))
+            now = merge_latest(others, done)
+        now.write.mode("overwrite").parquet(f"{pointer_path}/{run}/batch={batch_id}")
+        remove(spark, f"{pointer_path}/{run}/batch={batch_id - 2}")
 
     writer = snapshots.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "1 minute"})).start()
 
 
-def current_latest(spark: SparkSession, pointer_path: str, batch_id: int) -> DataFrame:
-    """Pointer table as of one batch, or the newest batch before it that wrote."""
-    newest = (
-        spark.read.option("basePath", pointer_path)
-        .parquet(f"{pointer_path}/batch=*")
-        .where(F.col("batch") <= batch_id)
-    )
-    return newest.groupBy("data_format").agg(
-        F.max_by("file", "batch").alias("file"), F.max_by("last_updated", "batch").alias("last_updated")
-    )
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of a stream as kept in its checkpoint: the same after a restart."""
+    return spark.read.json(f"{checkpoint}/metadata", schema="id string").first()["id"]
+
+
+def pointers(spark: SparkSession, pointer_path: str) -> DataFrame:
+    schema = "data_format string, file string, last_updated timestamp, run string, batch long"
+    return spark.read.schema(schema).parquet(pointer_path)
+
+
+def current_latest(spark: SparkSession, pointer_path: str) -> DataFrame:
+    """Pointer table over all streams that wrote to it."""
+    return latest_archives(pointers(spark, pointer_path).withColumnRenamed("last_updated", "received_at"))
 
 
 def arrivals(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:

@@ -95,9 +95,23 @@ def test_names_and_types(spark):
 
 
 def test_sequence_key_keeps_order(spark):
-    key = lambda *v: one(spark, text.sequence_key(F.array(*[F.lit(x) for x in v])))
+    key = lambda *v, owner="f": one(spark, text.sequence_key(F.lit(owner), F.array(*[F.lit(x) for x in v])))
     assert key("a", "b") != key("b", "a")
     assert key("a", "b") != key("ab")
+    assert key("a", "b") != key("a", "b", owner="g")
+    assert len(key("a")) == 64
+
+
+@pytest.mark.parametrize(
+    ("text_value", "seconds"),
+    [
+        ("PT5M", 300), ("PT0S", 0), ("PT1H30M", 5400), ("PT1H1M1.5S", 3661.5), ("P1DT2H", 93600), ("P2D", 172800), ("-PT10S", -10),
+        ("-P1DT1S", -86401), ("PT", 0), ("P", 0), ("", 0), ("5M", 0), ("P1Y", 0), ("P1YT5M", 0), ("PT5X", 0), ("PT1M2H", 60), ("PT10S5M", 10),
+        ("P5M", 0), ("PT1.5H", 0), ("P1DX", 86400), ("P1DXT5M", 86400), ("PT3M tail", 180), (None, 0),
+    ],
+)
+def test_durations_part_by_part(spark, text_value, seconds):
+    assert one(spark, time.duration_seconds(F.lit(text_value).cast("string"))) == seconds
 
 
 def vincenty(lon1, lat1, lon2, lat2):

@@ -145,6 +145,7 @@ FILES = "id int, revision_id int, service_code string, revision_number int, oper
         ([(1, 1, "a", 2, D(2024, 1, 5)), (2, 1, "a", 1, None)], {1}),
         ([(1, 1, "a", 2, D(2024, 1, 1)), (2, 1, "a", 2, D(2024, 3, 1)), (3, 1, "a", 1, D(2024, 2, 1))], {1, 2, 3}),
         ([(1, 1, "a", 2, D(2024, 1, 1)), (2, 1, "b", 1, D(2024, 3, 1))], {1, 2}),
+        ([(1, 10, "a", 1, D(2024, 1, 5)), (2, 20, "a", 5, D(2024, 1, 1))], {1, 2}),
         ([(1, 1, None, 2, D(2024, 1, 1)), (2, 1, None, 1, D(2024, 3, 1))], {1}),
         ([], set()),
     ],
@@ -156,7 +157,7 @@ def test_supersession(spark, files, kept):
 
 
 def test_revision_moves_first_decisive_row(spark):
-    schema = "id int, revision_id int, filename string, service_code string, line_names array<string>, revision_number int, modification_datetime timestamp"
+    schema = "id int, revision_id int, filename string, service_code string, line_names array<string>, revision_number int, modification_datetime timestamp, dataset_id int"
     t = datetime.datetime
     live = [(1, 9, "x", "a", ["1", "2"], 3, t(2024, 1, 1)), (2, 9, "y", "a", ["2", "1"], 5, t(2024, 2, 1))]
     draft = [
@@ -166,8 +167,11 @@ def test_revision_moves_first_decisive_row(spark):
         (14, 1, "other lines", "a", ["1"], 1, t(2024, 3, 1)),
         (15, 1, "same time", "a", ["1", "2"], 9, t(2024, 2, 1)),
     ]
-    got = life.revision_moves(spark.createDataFrame(draft, schema), spark.createDataFrame(live, schema))
+    own = [(*r, 7) for r in draft]
+    got = life.revision_moves(spark.createDataFrame(own, schema), spark.createDataFrame([(*r, 7) for r in live], schema))
     assert {r.filename for r in got.collect()} == {"stuck", "same time"}
+    other = life.revision_moves(spark.createDataFrame(own, schema), spark.createDataFrame([(*r, 8) for r in live], schema))
+    assert other.count() == 0
 
 
 def test_pattern_dedup_and_majority(spark):
@@ -251,7 +255,7 @@ class TestCalendar:
     def test_operating_days(self, spark):
         j = spark.createDataFrame([("f", "v", WEEKDAYS, D(2024, 3, 1), D(2024, 3, 8))], f"file_id string, vj_code string, {PROFILE.split(', ', 4)[4].split(', special')[0]}, start_date date, end_date date")
         ex = spark.createDataFrame([("f", "v", D(2024, 3, 2), True), ("f", "v", D(2024, 3, 4), False)], "file_id string, vj_code string, date date, operates boolean")
-        got = [r.date.day for r in cal.operating_days(j, ex).orderBy("date").collect()]
+        got = [r.date.day for r in cal.operating_days(j, ex, F.lit("2024-12-31").cast("date")).orderBy("date").collect()]
         assert got == [1, 2, 5, 6, 7, 8]
 
     def test_organisation_flags(self, spark):
@@ -378,3 +382,52 @@ def test_revision_status(spark):
     repack = spark.createDataFrame([(3, "failed")], "revision_id int, status string")
     got = {r.revision_id: (r.status, r.error_code) for r in life.revision_status(status, repack).collect()}
     assert got == {1: ("success", None), 2: ("error", "NO_VALID_FILE_TO_PROCESS"), 3: ("error", "SYSTEM_ERROR")}
+
+
+def test_open_ended_service_runs_to_the_horizon(spark):
+    days = PROFILE.split(', ', 4)[4].split(', special')[0]
+    j = spark.createDataFrame([("f", "v", WEEKDAYS, D(2024, 3, 1), None)], f"file_id string, vj_code string, {days}, start_date date, end_date date")
+    none = spark.createDataFrame([], "file_id string, vj_code string, date date, operates boolean")
+    got = [r.date for r in cal.operating_days(j, none, F.lit("2024-03-08").cast("date")).orderBy("date").collect()]
+    assert got == [D(2024, 3, d) for d in (1, 4, 5, 6, 7, 8)]
+
+
+def test_one_track_per_pair(spark):
+    short, long = [(0, 50), (0, 50.05), (0, 50.1)], [(0, 50), (0.1, 50.05), (0, 50.1)]
+    stored = spark.createDataFrame([track(1, *short), track(2, *long)], TRACKS).withColumns(
+        {"distance": F.col("id").cast("int") * 10 + 90, "coord_distance": F.col("id").cast("int")}
+    )
+    pairs = spark.createDataFrame([("f", "j", 0, "A", "B")], "file_id string, jp_id string, sequence_number int, from_stop string, to_stop string")
+    stops = spark.createDataFrame([("A", 0.0, 50.0), ("B", 0.0, 50.1)], "atco_code string, lon double, lat double")
+    assert trk.pattern_distance(pairs, stored, stops).first()["distance"] == 110
+    assert [tuple(p) for p in trk.pattern_geometry(pairs, stored).first()["points"]] == long
+    assert rows(seq.track_sequence(pairs, stored), "tracks_id") == [(2,)]
+    assert trk.insert_tracks(spark.createDataFrame([], TRACKS), spark.createDataFrame([track(1, *short), track(2, *long)], TRACKS)).count() == 1
+
+
+def test_pattern_ids_differ_between_files(spark):
+    jps = spark.createDataFrame([(f, "j1", 0, "c1", "inbound", ["s"]) for f in ("f", "g")], JPS)
+    links = spark.createDataFrame([(f, *link("s", 0, use("A"), use("B"))[1:]) for f in ("f", "g")], LINKS)
+    bridge = pat.service_pattern_bridge(jps, seq.stop_sequence(seq.pattern_links(jps, links)))
+    assert bridge.select("service_pattern_id").distinct().count() == 2
+
+
+def test_ties_are_settled(spark):
+    old = spark.createDataFrame([("a", 1, "stored")], "k string, v int, t string")
+    new = spark.createDataFrame([("b", 2, "x"), ("b", 2, "y"), ("a", 0, "m"), ("a", 0, "n")], "k string, v int, t string")
+    assert rows(rollup.insert_or_update(old, new, ["k"], "v")) == [("a", 0, "n"), ("b", 2, "y")]
+    assert rows(rollup.insert_or_ignore(old, new, ["k"])) == [("a", 1, "stored"), ("b", 2, "x")]
+
+
+def test_batches_without_one_order(spark):
+    df = spark.createDataFrame([(i, i % 7) for i in range(500)], "k int, n int")
+    got = life.batches(df, "n", ["k"], 60).collect()
+    sizes, order = {}, []
+    for r in got:
+        sizes[r.batch_id] = sizes.get(r.batch_id, 0) + 1
+        order.append((r.batch_id, -r.n))
+    assert sizes == {b: 60 if b < 8 else 20 for b in range(9)}
+    highest = {b: min(n for c, n in order if c == b) for b in sizes}
+    lowest = {b: max(n for c, n in order if c == b) for b in sizes}
+    assert all(lowest[b] <= highest[b + 1] for b in range(8))
+    assert life.batches(df.limit(0), "n", ["k"], 60).count() == 0

@@ -103,8 +103,28 @@ def test_scan_and_safety(spark, tmp_path):
     assert ok.sha1 == hashlib.sha1(TIMETABLE.encode()).hexdigest() and ok.size == len(TIMETABLE.encode())
     assert rows(docs.safety_violations(listed, "TransXChange", ("2.4",)), "name", "error_code") == [
         ("dtd.xml", "DANGEROUS_XML_ERROR"), ("fares.xml", "XML_SYNTAX_ERROR"), ("old.xml", "SCHEMA_VERSION_NOT_SUPPORTED")]
-    live = listed.where("name = 'ok.xml'").select("sha1")
-    assert life.changed_files(listed, live).count() == 3 and life.unchanged_files(listed, live).count() == 1
+    owned = listed.withColumn("dataset_id", F.lit(1))
+    live = owned.where("name = 'ok.xml'").select("dataset_id", "sha1")
+    assert life.changed_files(owned, live).count() == 3 and life.unchanged_files(owned, live).count() == 1
+    assert life.changed_files(owned.withColumn("dataset_id", F.lit(2)), live).count() == 4
+
+
+def test_malformed_documents_are_unsafe(spark, tmp_path):
+    path = corpus(tmp_path, cut='<TransXChange SchemaVersion="2.4"><Services></TransXChange>', open='<TransXChange SchemaVersion="2.4">', ok=TIMETABLE)
+    found = docs.safety_violations(docs.scan_corpus(spark, path), "TransXChange", ("2.4",))
+    assert rows(found, "name", "error_code") == [(n, "XML_SYNTAX_ERROR") for n in ("cut.xml", "open.xml")]
+
+
+def test_listing_and_readers_agree_on_file_ids(spark, tmp_path):
+    folder = tmp_path / "a folder"
+    folder.mkdir()
+    (folder / "a b.xml").write_text(TIMETABLE)
+    (folder / "c%20d.xml").write_text(TIMETABLE)
+    listed, read = docs.scan_corpus(spark, str(folder)), docs.read_timetables(spark, str(folder))
+    both = listed.join(read.select("file_id", F.col("path").alias("read_from")), "file_id")
+    assert both.where("path = read_from").count() == 2
+    status = read.select("file_id", F.when(F.col("path").contains("b.xml"), "succeeded").otherwise("failed").alias("status"))
+    assert rows(docs.surviving_files(listed, status), "name") == [("a b.xml",)]
 
 
 def test_schema_validation(spark, tmp_path):
@@ -170,9 +190,21 @@ def test_feed_archive_over_batches(spark, tmp_path):
     run()
     archived = spark.read.parquet(str(tmp_path / "archive"))
     assert archived.count() == 5
-    latest = feeds.current_latest(spark, str(tmp_path / "latest"), 99)
+    latest = feeds.current_latest(spark, str(tmp_path / "latest"))
     assert rows(latest, "data_format", "file") == [("GTFSRT", "gtfsrt_2024-01-01_100300.zip"), ("SIRIVM", "sirivm_2024-01-01_100100.zip")]
 
+    # A stream with a checkpoint of its own keeps what is archived, and pointers do not pile up.
+    arrive(("SIRIVM", stamp(5), "e"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    feeds.archive_feed(stream, str(tmp_path / "archive"), str(tmp_path / "latest"), str(tmp_path / "state 2"), availableNow=True).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "archive")).count() == 5 + 6
+    latest = feeds.current_latest(spark, str(tmp_path / "latest"))
+    assert rows(latest, "file") == [("gtfsrt_2024-01-01_100300.zip",), ("sirivm_2024-01-01_100500.zip",)]
+    for minute in (6, 7, 8):
+        arrive(("SIRIVM", stamp(minute), "f"))
+        run()
+    assert all(len(list(r.glob("batch=*"))) <= 2 for r in (tmp_path / "latest").glob("run=*"))
+
 
 def test_new_arrivals_only(spark, tmp_path):
     (tmp_path / "in").mkdir()
