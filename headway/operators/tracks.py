@@ -205,28 +205,41 @@ def pattern_geometry(
     )
 
 
-def _shapes(tracks: DataFrame) -> DataFrame:
-    """One row per distinct line between two stops, named by its lowest id."""
-    return tracks.groupBy("from_atco_code", "to_atco_code", "points").agg(F.min("id").alias("id"))
+def _outlines(tracks: DataFrame) -> DataFrame:
+    """Every track without its points: two hashes of them and their box."""
+    return tracks.select(
+        "id",
+        "from_atco_code",
+        "to_atco_code",
+        F.xxhash64("points").alias("h1"),
+        F.xxhash64(F.lit(1), "points").alias("h2"),
+        F.array_min(F.transform("points", lambda p: p["lon"])).alias("lon_min"),
+        F.array_max(F.transform("points", lambda p: p["lon"])).alias("lon_max"),
+        F.array_min(F.transform("points", lambda p: p["lat"])).alias("lat_min"),
+        F.array_max(F.transform("points", lambda p: p["lat"])).alias("lat_max"),
+    )
 
 
 def similar_tracks(tracks: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Pairs of tracks between the same stops closer than ``threshold`` metres.
 
-    Copies of one line are tied to the copy with the lowest id, which is all
-    that grouping needs; only distinct lines are compared. Distance is the
-    discrete Hausdorff distance on a flat projection around the pair.
+    Copies of one line (equal in a 128-bit hash of their points) are tied to the
+    copy with the lowest id, which is all that grouping needs; only distinct
+    lines are compared. Distance is the discrete Hausdorff distance on a flat
+    projection around the pair.
 
     Distinct lines meet only inside one (from, to) pair and, within it, in the
     same or a neighbouring cell of a grid over their lower left corner: two
     lines nearer than the threshold have corners nearer than it, so nothing is
-    lost. Bounding boxes that differ by more than the threshold are dropped
-    before the distance is worked out.
+    lost. Ids and bounding boxes meet; boxes that differ by more than the
+    threshold are dropped, and only pairs that are left fetch their points.
     """
-    shapes = _shapes(tracks)
+    outlines = _outlines(tracks)
+    keys = ["from_atco_code", "to_atco_code", "h1", "h2"]
+    shapes = outlines.groupBy(*keys).agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in BOUNDS])
     copies = (
-        tracks.select("from_atco_code", "to_atco_code", "points", F.col("id").alias("track_b"))
-        .join(shapes, ["from_atco_code", "to_atco_code", "points"])
+        outlines.select(*keys, F.col("id").alias("track_b"))
+        .join(shapes.select(*keys, "id"), keys)
         .where(F.col("id") < F.col("track_b"))
         .select(
             "from_atco_code",
@@ -236,24 +249,23 @@ def similar_tracks(tracks: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> D
             F.lit(0.0).alias("distance"),
         )
     )
-    return _similar_shapes(shapes, threshold).unionByName(copies)
+    near = _near_boxes(shapes, threshold)
+    points = tracks.select("id", "points")
+    located = near.join(points.select(F.col("id").alias("track_a"), F.col("points").alias("a_points")), "track_a").join(
+        points.select(F.col("id").alias("track_b"), F.col("points").alias("b_points")), "track_b"
+    )
+    lat0, lon0 = F.col("lat_min"), F.col("lon_min")
+    distance = hausdorff(planar(F.col("a_points"), lat0, lon0), planar(F.col("b_points"), lat0, lon0))
+    compared = located.select("from_atco_code", "to_atco_code", "track_a", "track_b", distance.alias("distance"))
+    return compared.where(F.col("distance") < threshold).unionByName(copies)
 
 
-def _similar_shapes(tracks: DataFrame, threshold: float) -> DataFrame:
-    boxed = tracks.select(
-        "id",
-        "from_atco_code",
-        "to_atco_code",
-        "points",
-        F.array_min(F.transform("points", lambda p: p["lon"])).alias("lon_min"),
-        F.array_max(F.transform("points", lambda p: p["lon"])).alias("lon_max"),
-        F.array_min(F.transform("points", lambda p: p["lat"])).alias("lat_min"),
-        F.array_max(F.transform("points", lambda p: p["lat"])).alias("lat_max"),
-    )
+def _near_boxes(shapes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of lines whose boxes differ by less than the threshold on every side."""
     # Latitude rows are a threshold high. Longitude cells are as wide as the
     # threshold at the row's own poleward edge plus one row, so neighbours reach.
     row_height = threshold / DEGREE
-    boxed = boxed.withColumn("row", F.floor(F.col("lat_min") / row_height))
+    boxed = shapes.withColumn("row", F.floor(F.col("lat_min") / row_height))
 
     def column(row) -> F.Column:
         edge = F.greatest(F.abs(row), F.abs(row + 1)) * row_height
@@ -269,28 +281,14 @@ def _similar_shapes(tracks: DataFrame, threshold: float) -> DataFrame:
         "cell_col", F.explode(F.transform(steps, lambda i: column(F.col("cell_row")) + i))
     )
     keys = ["from_atco_code", "to_atco_code", "cell_row", "cell_col"]
-    other = right.select(*keys, F.col("id").alias("b_id"), F.col("points").alias("b_points"),
-                         *[F.col(c).alias(f"b_{c}") for c in BOUNDS])
-    pairs = left.join(other, keys).where(F.col("id") < F.col("b_id"))
-    lat0, lon0 = F.col("lat_min"), F.col("lon_min")
-    span = F.cos(F.radians(lat0)) * DEGREE
-    near = F.lit(True)
+    other = right.select(*keys, F.col("id").alias("track_b"), *[F.col(c).alias(f"b_{c}") for c in BOUNDS])
+    span = F.cos(F.radians(F.col("lat_min"))) * DEGREE
+    near = F.col("id") < F.col("track_b")
     for c in BOUNDS:
         metres = span if c.startswith("lon") else F.lit(DEGREE)
         near = near & (F.abs(F.col(c) - F.col(f"b_{c}")) * metres < threshold)
-    distance = hausdorff(
-        planar(F.col("points"), lat0, lon0), planar(F.col("b_points"), lat0, lon0)
-    )
-    return (
-        pairs.where(near)
-        .select(
-            "from_atco_code",
-            "to_atco_code",
-            F.col("id").alias("track_a"),
-            F.col("b_id").alias("track_b"),
-            distance.alias("distance"),
-        )
-        .where(F.col("distance") < threshold)
+    return left.join(other, keys).where(near).select(
+        "from_atco_code", "to_atco_code", F.col("id").alias("track_a"), "track_b", "lat_min", "lon_min"
     )
 
 

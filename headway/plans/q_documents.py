@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from headway.operators import calendar as cal
 from headway.operators import rollup
 from headway.plans import xml_parts
+from headway.plans.fares_job import process_fares
 from headway.plans.registry import Tables, query
 from headway.plans.xml_orders import timetable_documents, violations_sql
 from headway.plans.xml_parts import fares_documents
@@ -52,9 +53,7 @@ def fares_rules(t: Tables) -> DataFrame:
     return found.select("file_id", "observation", "element", "ordinal")
 
 
-@query(
-    "fares_document_metadata",
-    """SELECT p_partkey AS file_id, CASE WHEN p_partkey % 2 = 0 THEN '1.1' ELSE '1.10' END AS schema_version,
+_FARES_METADATA_SQL = """SELECT p_partkey AS file_id, CASE WHEN p_partkey % 2 = 0 THEN '1.1' ELSE '1.10' END AS schema_version,
   1 AS num_of_lines, CASE WHEN p_partkey % 22 <> 1 AND p_partkey % 24 <> 1 THEN 1 ELSE 0 END AS num_of_fare_zones,
   CASE WHEN p_partkey % 46 <> 1 THEN 1 ELSE 0 END AS num_of_sales_offer_packages,
   1 + CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 8 = 0 THEN 1 ELSE 0 END
@@ -63,8 +62,10 @@ def fares_rules(t: Tables) -> DataFrame:
   CASE WHEN p_partkey % 39 <> 1 AND p_partkey % 4 < 2 THEN 1 ELSE 0 END AS num_of_pass_products,
   CASE WHEN p_partkey % 39 <> 1 AND p_partkey % 4 = 2 THEN 1 ELSE 0 END AS num_of_trip_products,
   CASE WHEN p_partkey % 26 <> 1 THEN TIMESTAMP '2020-01-01' + to_days(CAST(p_partkey % 28 AS INTEGER)) END AS valid_from,
-  CASE WHEN p_partkey % 26 <> 1 AND p_partkey % 3 <> 0 THEN TIMESTAMP '2030-12-31' END AS valid_to FROM part""",
-)
+  CASE WHEN p_partkey % 26 <> 1 AND p_partkey % 3 <> 0 THEN TIMESTAMP '2030-12-31' END AS valid_to FROM part"""
+
+
+@query("fares_document_metadata", _FARES_METADATA_SQL)
 def fares_document_metadata(t: Tables) -> DataFrame:
     return rollup.fares_file_metadata(far.details(staged(_fares(t))))
 
@@ -87,6 +88,24 @@ def fares_document_catalogue(t: Tables) -> DataFrame:
     return out.withColumns({c: F.array_join(F.col(c).cast("array<string>"), "|") for c in arrays})
 
 
+@query(
+    "job_fares_revisions",
+    f"""WITH m AS ({_FARES_METADATA_SQL}),
+t AS (SELECT p_partkey % 50 AS revision_id, CASE WHEN p_partkey % 32 <> 1 THEN p_partkey % 3 END AS user_type,
+    CASE WHEN p_partkey % 39 <> 1 THEN p_partkey % 4 END AS product FROM part),
+n AS (SELECT revision_id, count(DISTINCT user_type) AS num_of_user_profiles,
+    count(DISTINCT CASE WHEN product < 2 THEN product END) AS num_of_pass_products,
+    count(DISTINCT CASE WHEN product = 2 THEN product END) AS num_of_trip_products FROM t GROUP BY revision_id),
+s AS (SELECT file_id % 50 AS revision_id, CAST(sum(num_of_lines) AS BIGINT) AS num_of_lines, CAST(sum(num_of_fare_zones) AS BIGINT) AS num_of_fare_zones,
+    CAST(sum(num_of_sales_offer_packages) AS BIGINT) AS num_of_sales_offer_packages, CAST(sum(num_of_fare_products) AS BIGINT) AS num_of_fare_products,
+    min(valid_from) AS valid_from, max(valid_to) AS valid_to, min(schema_version) AS schema_version FROM m GROUP BY ALL)
+SELECT s.*, num_of_user_profiles, num_of_pass_products, num_of_trip_products FROM s JOIN n USING (revision_id)""",
+)
+def job_fares_revisions(t: Tables) -> DataFrame:
+    docs = staged(_fares(t).withColumn("revision_id", F.col("file_id") % 50))
+    return process_fares(docs)["revisions"]
+
+
 @query(
     "fares_table_cells",
     """SELECT p_partkey AS file_id, 'ft' AS table_id, CAST(i AS INTEGER) AS pos, 'r' || i AS row_id, 'c0' AS column_id,

@@ -106,7 +106,7 @@ def run_statistics(t: Tables) -> DataFrame:
 
 @query(
     "booking_arrangements",
-    """SELECT conv_id % 20 AS file_id, role AS service_code, substr(text, 1, 2) AS description, CAST(NULL AS VARCHAR) AS email,
+    """SELECT conv_id % 20 AS file_id, role AS service_code, text AS description, CAST(NULL AS VARCHAR) AS email,
   CAST(length(text) % 5 AS VARCHAR) AS phone, CAST(NULL AS VARCHAR) AS web_address, min(conv_id * 1000 + turn) AS ordinal
 FROM conversations GROUP BY ALL""",
 )
@@ -115,7 +115,7 @@ def booking_arrangements(t: Tables) -> DataFrame:
     rows = t.conversations.select(
         (F.col("conv_id") % 20).alias("file_id"),
         F.col("role").alias("service_code"),
-        F.substring("text", 1, 2).alias("description"),
+        F.col("text").alias("description"),
         none.alias("email"),
         (F.length("text") % 5).cast("string").alias("phone"),
         none.alias("web_address"),

@@ -330,11 +330,10 @@ def components(t: Tables) -> DataFrame:
 
 @query(
     "grid_round_trip",
-    """SELECT o_orderkey AS id, CAST(200000 + o_orderkey * 7919 % 400000 AS INTEGER) AS easting,
-  CAST(60000 + o_orderkey * 104729 % 800000 AS INTEGER) AS northing FROM orders""",
+    "SELECT o_orderkey AS id, true AS easting_returns, true AS northing_returns FROM orders",
 )
 def grid_round_trip(t: Tables) -> DataFrame:
-    """Grid to degrees and back; whole metres survive."""
+    """Grid to degrees and back: within the metre that rounding to whole metres costs."""
     key = F.col("o_orderkey")
     grid = t.orders.select(
         key.alias("id"),
@@ -342,12 +341,10 @@ def grid_round_trip(t: Tables) -> DataFrame:
         (60000 + key * 104729 % 800000).alias("n"),
     ).withColumn("p", geo.grid_to_lonlat(F.col("e"), F.col("n")))
     back = grid.withColumn("g", geo.lonlat_to_grid(F.col("p.lon"), F.col("p.lat")))
-    # The datum shift is undone by its reverse to a centimetre, so allow the rounding step.
-    def near(a: Column, b: Column) -> Column:
-        return F.when(F.abs(a - b) <= 1, b).otherwise(a).cast("int")
-
     return back.select(
-        "id", near(F.col("g.easting"), F.col("e")).alias("easting"), near(F.col("g.northing"), F.col("n")).alias("northing")
+        "id",
+        (F.abs(F.col("g.easting") - F.col("e")) <= 1).alias("easting_returns"),
+        (F.abs(F.col("g.northing") - F.col("n")) <= 1).alias("northing_returns"),
     )
 
 

@@ -556,7 +556,8 @@ def unrelated_lines(line_patterns: DataFrame, line_features: DataFrame, lines: D
     Related means: every two lines share a journey pattern, or every two lines
     that have any share a feature (stop, stop area or locality). A pattern or
     feature common to all lines settles a file at once; only the others have
-    their connected pairs counted against n(n-1)/2. Rows of both bridges are
+    their connected pairs counted against n(n-1)/2, over the distinct sets of
+    lines that share a feature. Rows of both bridges are
     distinct.
     """
     total = lines.select("file_id", "line_id").distinct().groupBy("file_id").agg(
@@ -568,13 +569,18 @@ def unrelated_lines(line_patterns: DataFrame, line_features: DataFrame, lines: D
         rows = bridge.select("file_id", "line_id", feature)
         spread = rows.groupBy("file_id", feature).agg(F.count(F.lit(1)).alias("k")).join(size, "file_id")
         common = spread.where("k = n").select("file_id").distinct()
-        open_rows = rows.join(common, "file_id", "left_anti")
-        a = open_rows.select("file_id", feature, F.col("line_id").alias("a"))
-        b = open_rows.select("file_id", feature, F.col("line_id").alias("b"))
+        # Features that the same lines share say the same: one row per set of lines.
+        sets = (
+            rows.join(common, "file_id", "left_anti")
+            .groupBy("file_id", feature)
+            .agg(F.array_sort(F.collect_set("line_id")).alias("lines"))
+            .where(F.size("lines") > 1)
+            .select("file_id", "lines")
+            .distinct()
+        )
         pairs = (
-            a.join(b, ["file_id", feature])
-            .where("a < b")
-            .select("file_id", "a", "b")
+            sets.select("file_id", "lines", F.explode("lines").alias("a"))
+            .select("file_id", "a", F.explode(F.filter("lines", lambda b: b > F.col("a"))).alias("b"))
             .distinct()
             .groupBy("file_id")
             .agg(F.count(F.lit(1)).alias("pairs"))
