@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.session import checkpoint
+from headway.session import release, staged
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     as one star per component, in O(log^2 n) rounds; rounds go on until the edge
     set stands still. Only two numbers per round reach the driver.
     """
-    current = checkpoint(
+    current = staged(
         edges.select("src", "dst").where("src <> dst").select(
             F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")
         ).distinct()
@@ -26,7 +26,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     signature = _signature(current)
     before = None
     while signature != before:
-        current = checkpoint(_small_star(_large_star(current)))
+        moved = staged(_small_star(_large_star(current)))
+        release(current)
+        current = moved
         before, signature = signature, _signature(current)
     members = current.select(F.col("src").alias("id"), F.col("dst").alias("component"))
     roots = current.select(F.col("dst").alias("id"), F.col("dst").alias("component")).distinct()

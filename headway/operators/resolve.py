@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.session import checkpoint
+from headway.session import staged
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -134,7 +134,7 @@ def journey_reference_chain(vehicle_journeys: DataFrame) -> DataFrame:
     only cycles and dangling references are left; those stay null.
     """
     ref = F.nullif(F.col("vj_ref"), F.lit(""))
-    state = checkpoint(
+    state = staged(
         vehicle_journeys.groupBy("file_id", "vj_code")
         .agg(
             F.min_by(
@@ -154,7 +154,7 @@ def journey_reference_chain(vehicle_journeys: DataFrame) -> DataFrame:
             F.col("jp_ref").alias("t_jp"),
             F.col("next").alias("t_next"),
         )
-        moved = checkpoint(
+        moved = staged(
             waiting.join(targets, ["file_id", "next"], "left").select(
                 "file_id", "vj_code", F.col("t_jp").alias("jp_ref"), F.col("t_next").alias("next")
             )

@@ -18,7 +18,7 @@ from headway.session import staged
 from headway.sources import fares as far
 from headway.sources import timetables as src
 from headway.sources.admission import REQUIRED, admit, admit_sections
-from headway.sources.documents import parse_fares, parse_timetables, safety_violations
+from headway.sources.documents import parse_fares, parse_timetables, safety_violations, unreadable_files
 
 
 def _docs(t: Tables) -> DataFrame:
@@ -36,7 +36,7 @@ def timetable_rules(t: Tables) -> DataFrame:
         F.when(F.col("n_nationkey") % 2 == 0, "BCT").otherwise("RLY").alias("stop_type"),
         F.lit("FLX").alias("bus_stop_type"),
     )
-    found = timetable_violations(_docs(t), F.lit("2026-01-01").cast("date"), regions, stops)
+    found = timetable_violations(staged(_docs(t)), F.lit("2026-01-01").cast("date"), regions, stops)
     return found.select("file_id", "observation", "element", "ordinal")
 
 
@@ -203,6 +203,25 @@ def document_profiles(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "document_special_days",
+    """SELECT o_orderkey AS file_id, 'VJ0' AS owner_id, CAST(o_orderdate AS DATE) + 1 AS first_day, CAST(o_orderdate AS DATE) + 3 AS last_day
+FROM orders WHERE o_orderkey % 4 = 3""",
+)
+def document_special_days(t: Tables) -> DataFrame:
+    profiles = src.operating_profiles(_docs(t))
+    return profiles.select("file_id", "owner_id", F.explode("special_operation").alias("r")).select(
+        "file_id", "owner_id", F.col("r.start").alias("first_day"), F.col("r.end").alias("last_day")
+    )
+
+
+@query("unreadable_files", "SELECT o_orderkey AS file_id, 'XML_SYNTAX_ERROR' AS error_code FROM orders WHERE o_orderkey % 17 = 0")
+def unreadable(t: Tables) -> DataFrame:
+    """Every seventeenth document breaks off before its end."""
+    cut = F.when(F.col("file_id") % 17 == 0, F.expr("left(text, length(text) - 20)")).otherwise(F.col("text"))
+    return unreadable_files(parse_timetables(timetable_documents(t).withColumn("text", cut)))
+
+
 @query(
     "document_stops",
     """SELECT o_orderkey AS file_id, 'ST' || n AS atco_code, true AS is_reference, 'Stop ' || n AS common_name, 'Town' AS locality_name, NULL::DOUBLE AS lon

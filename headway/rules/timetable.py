@@ -24,7 +24,7 @@ from headway.rules.runner import (
     present,
     violation_rows,
 )
-from headway.session import checkpoint, staged
+from headway.session import staged
 from headway.sources import timetables as src
 from headway.sources.documents import child_names
 from headway.sources.timetables import stop_uses
@@ -604,13 +604,13 @@ def lines_related(docs: DataFrame, stops: DataFrame | None = None, **_: DataFram
     """The lines of a file are related. ``stops(atco_code, stop_areas)`` is the register.
 
     Files with one line pass, so only the others are read. The two bridges are
-    used several times over and are small next to the documents: checkpointed.
+    used several times over and are small next to the documents: staged.
     """
     docs = docs.where(F.size(each(_services(), lambda s: s["Lines"]["Line"])) > 1)
     lines = src.lines(docs).select("file_id", "line_id")
     journeys = src.vehicle_journeys(docs)
     patterns = journey_reference_chain(journeys)
-    line_patterns = checkpoint(
+    line_patterns = staged(
         journeys.select("file_id", "vj_code", F.col("line_ref").alias("line_id"))
         .join(patterns.where("jp_ref is not null"), ["file_id", "vj_code"])
         .join(lines, ["file_id", "line_id"], "left_semi")
@@ -657,7 +657,7 @@ def lines_related(docs: DataFrame, stops: DataFrame | None = None, **_: DataFram
         features = features.unionByName(
             line_stops.join(areas, ["file_id", "stop_ref"]).select("file_id", "line_id", "feature")
         )
-    bad = unrelated_lines(line_patterns, checkpoint(features.distinct()), lines)
+    bad = unrelated_lines(line_patterns, staged(features.distinct()), lines)
     groups = docs.select("file_id", F.posexplode(F.filter(
         F.transform(_services(), lambda s: s["Lines"]), lambda l: l.isNotNull()
     )).alias("ordinal", "l"))
@@ -781,7 +781,7 @@ def timetable_violations(
 ) -> DataFrame:
     """All violations of the timetable catalogue.
 
-    The parsed documents are staged once: the joining rules read a dozen
-    section tables from them, each its own columns only.
+    ``docs`` should be staged ones (``headway.sources.documents.stage``): the
+    joining rules read a dozen section tables from them, each its own columns only.
     """
-    return catalogue(today).run(staged(docs), service_type(), regions=regions, stops=stops)
+    return catalogue(today).run(docs, service_type(), regions=regions, stops=stops)

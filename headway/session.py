@@ -54,17 +54,12 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def staged(df: DataFrame) -> DataFrame:
     """Write a table once to the shared folder and read it back.
 
-    For results that are dear to work out and read several times: later reads
-    take only their own columns, and a lost executor costs no recomputation.
+    Cuts lineage, and serves results that are dear to work out and read several
+    times: later reads take only their own columns, and a lost executor costs no
+    recomputation. ``release`` deletes it.
     """
     path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)

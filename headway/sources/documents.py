@@ -89,6 +89,11 @@ def corrupt_documents(documents: DataFrame) -> DataFrame:
     return documents.where(F.col(CORRUPT).isNotNull() & asked)
 
 
+def unreadable_files(documents: DataFrame) -> DataFrame:
+    """Error table of the files an inventory cannot read."""
+    return corrupt_documents(documents).select("file_id", F.lit("XML_SYNTAX_ERROR").alias("error_code"))
+
+
 def schema_violations(documents: DataFrame) -> DataFrame:
     """Documents that did not conform to the XSD they were read with.
 
