@@ -34,19 +34,22 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 SCOPES = frozenset("table ul ol dl article section div main nav aside header footer form body td th blockquote select menu".split())
 NOT_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog alert".split())
 # Words of class names and ids that mark what is not the article.
-COMMENT_WORDS = frozenset("comment comments reply replies respond disqus discussion".split())
-NOT_TEXT_WORDS = COMMENT_WORDS | frozenset(
-    "ad ads adslot advert adverts advertisement advertising banner breadcrumb breadcrumbs consent cookie cookies copyright disclaimer footer "
-    "gdpr hidden login masthead menu modal nav navbar navigation newsletter notice notices notification outbrain overlay pager pagination "
-    "paywall popup promo promoted promotion recommended related sharing share sidebar signup skip social sponsor sponsored subscribe "
-    "subscription taboola toc toolbar widget widgets".split()
+COMMENT_WORDS = frozenset("comment comments commentlist commenter reply replies respond disqus discussion".split())
+NOT_TEXT_WORDS = frozenset(
+    "ad ads adbox adslot adunit advert adverts advertisement advertising banner breadcrumb breadcrumbs consent cookie cookies cookiebar copyright "
+    "disclaimer footer gdpr hidden login masthead menu modal nav navbar navigation newsletter notice notices notification notifications outbrain "
+    "overlay pager pagination paywall popup promo promoted promotion recommended related sharing share sidebar sidenav signup sitefooter siteheader "
+    "skip social sponsor sponsored subnav subscribe subscription taboola toc toolbar topnav widget widgets".split()
 )
+# How surely an element is not the article: by a class or id word, which an
+# article inside it outweighs, or by its element, role, or as reader comments.
+MAYBE, SURELY = 1, 2
 
 
 class Open(NamedTuple):
     name: str
     path: str
-    skipped: bool
+    skipped: int
     article: bool
     main: bool
     holders: tuple[int, ...]
@@ -71,21 +74,23 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[0].lower(): html.unescape(m[1] or m[2] or m[3]) for m in ATTRIBUTE.findall(raw)} if raw.strip() else {}
 
 
-def _not_text(name: str, attributes: dict[str, str]) -> bool:
+def _not_text(name: str, attributes: dict[str, str]) -> int:
     if name in NOT_TEXT or attributes.get("role", "").lower() in NOT_TEXT_ROLES:
-        return True
+        return SURELY
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in attributes.get("style", "").lower().replace(" ", ""):
-        return True
+        return SURELY
     if name in ("html", "body", "main"):
-        return False
+        return 0
     words = {w.lower() for k in ("class", "id") for w in NAME_WORD.findall(attributes.get(k, ""))}
-    return bool(words & (COMMENT_WORDS if name == "article" else NOT_TEXT_WORDS))
+    if words & COMMENT_WORDS:
+        return SURELY
+    return MAYBE if name != "article" and words & NOT_TEXT_WORDS else 0
 
 
 def parse(markup: str) -> Page:
     """Tolerant reading: end tags close what they match, unclosed blocks end with what holds them."""
     page = Page([], [], [], [], [], [])
-    stack = [Open("", "", False, False, False, ())]
+    stack = [Open("", "", 0, False, False, ())]
     buffer: list[str] = []
 
     def flush() -> None:
@@ -157,7 +162,9 @@ def parse(markup: str) -> Page:
         page.tokens.append(xxhash.xxh64_intdigest(path))
         if name in VOID or raw.endswith("/") and name in RAW:
             continue
-        skipped = top.skipped or _not_text(name, attributes)
+        is_main = name == "main" or attributes.get("role", "").lower() == "main"
+        outside = 0 if (name == "article" or is_main) and top.skipped == MAYBE and not top.article else top.skipped
+        skipped = max(outside, _not_text(name, attributes))
         if name in RAW:
             over = re.compile(rf"</{re.escape(name)}\s*[^>]*(?:>|\Z)", re.IGNORECASE).search(markup, at)
             at = over.end() if over else end
@@ -168,7 +175,7 @@ def parse(markup: str) -> Page:
                 path,
                 skipped,
                 top.article or name == "article" and not skipped,
-                top.main or (name == "main" or attributes.get("role", "").lower() == "main") and not skipped,
+                top.main or is_main and not skipped,
                 (*top.holders, number) if name in BLOCK else top.holders,
             )
         )

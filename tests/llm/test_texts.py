@@ -174,6 +174,8 @@ HTML = [
     (None, ""),
     ("<nav>only a menu</nav>", ""),
     ("<div hidden><p>no</p></div><main><p>yes</p></main>", "yes"),
+    ("<div class='page has-sidebar'><article><p>yes</p><div class='cookie-notice'>no</div></article><div id='sidebar'>no</div></div>", "yes"),
+    ("<article><p>yes</p></article><section id='comments'><article><p>no</p></article></section>", "yes"),
 ]
 
 
