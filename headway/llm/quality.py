@@ -16,8 +16,9 @@ SPACES = b" \t\n\x0b\x0c\r"
 
 # Marks that end or join sentences, words of site menus, and
 # phrases of notices, licences and calls to act.
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SENTENCE_MARKS = re.compile(r"[.!?…:;,。！？؟।]")
-SEPARATORS = re.compile(r"\s[|»›•·>/]\s|[|»›•]")
+SEPARATORS = re.compile(r"[\x20\x09-\x0D][|»›•·>/][\x20\x09-\x0D]|[|»›•]")
 MENU_WORDS = frozenset(
     "about blog cart checkout contact download faq forum help home login logout menu next newsletter previous "
     "register search settings share sitemap subscribe tags".split()
@@ -41,10 +42,10 @@ def line_fault(line: str) -> str | None:
                  ten words and more stand without one mark of a sentence
     boilerplate  a notice, licence or call phrase, in a line of at most 40 words
     """
-    words = line.split()
+    words = WORD.findall(line)
     n = len(words)
     marks = len(MARKUP.findall(line))
-    if len(SEPARATORS.findall(line)) >= 2 and all(len(x.split()) <= 3 for x in SEPARATORS.split(line)):
+    if len(SEPARATORS.findall(line)) >= 2 and all(len(WORD.findall(x)) <= 3 for x in SEPARATORS.split(line)):
         return "navigation"
     if n <= 4 and not SENTENCE_MARKS.search(line) and any(w.lower() in MENU_WORDS for w in words):
         return "navigation"

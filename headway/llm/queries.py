@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from headway.llm import quality as rules
 from headway.llm.html import main_text
 from headway.llm.leaks import find_leaks
 from headway.llm.lines import drop_repeated_runs
@@ -20,7 +21,52 @@ from headway.llm.urls import UrlRule, judge, rule_table
 TOKENIZER = "byte_bpe_50k.json"
 
 
-@query("op1_line_quality")
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_WORD = _quoted(rules.WORD.pattern)
+_LINE_FAULT = f"""CASE
+    WHEN len(regexp_extract_all(line, {_quoted(rules.SEPARATORS.pattern)})) >= 2
+      AND len(list_filter(regexp_split_to_array(line, {_quoted(rules.SEPARATORS.pattern)}), lambda x: len(regexp_extract_all(x, {_WORD})) > 3)) = 0 THEN true
+    WHEN len(lw) <= 4 AND NOT regexp_matches(line, {_quoted(rules.SENTENCE_MARKS.pattern)})
+      AND len(list_filter(lw, lambda x: lower(x) IN ({', '.join(_quoted(w) for w in sorted(rules.MENU_WORDS))}))) > 0 THEN true
+    WHEN len(regexp_extract_all(line, {_quoted(rules.MARKUP.pattern)})) * 10 > length(line) - len(lw) + 1 THEN true
+    WHEN len(lw) >= 10 AND NOT regexp_matches(line, {_quoted(rules.SENTENCE_MARKS.pattern)}) THEN true
+    ELSE len(lw) <= 40 AND regexp_matches(line, {_quoted('(?i)' + rules.PHRASES.pattern)}) END"""
+
+
+@query(
+    "op1_line_quality",
+    f"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents),
+    windows AS (
+        SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS win
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM texts WHERE len(ws) >= 8)),
+    twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows) WHERE n > 1),
+    covered AS (
+        SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id),
+    lines AS (
+        SELECT doc_id, line, regexp_extract_all(line, {_WORD}) AS lw
+        FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM texts)),
+    judged AS (
+        SELECT doc_id, count(*) - count(DISTINCT line) AS dup, count(*) FILTER (fault) AS failed,
+            coalesce(sum(len(lw)) FILTER (fault), 0) AS lost
+        FROM (SELECT *, {_LINE_FAULT} AS fault FROM lines WHERE len(lw) > 0) GROUP BY doc_id),
+    base AS (
+        SELECT x.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+            length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+            coalesce(c.n, 0) AS n_repeat_words, coalesce(failed, 0) AS n_failed_lines, coalesce(lost, 0) AS lost
+        FROM texts x LEFT JOIN covered c ON c.doc_id = x.doc_id LEFT JOIN judged j ON j.doc_id = x.doc_id)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 100 * lost > 50 * n_words) AS kept,
+        n_failed_lines,
+        CASE WHEN n_words < 20 OR 100 * n_repeat_words > 30 * n_words THEN 'base' WHEN 100 * lost > 50 * n_words THEN 'lost' END AS fault
+    FROM base
+    """,
+)
 def line_quality(t):
     judged = quality(t.documents.select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_failed_lines", "fault")
@@ -89,7 +135,33 @@ def toxicity_query(t):
     return scored.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
 
 
-@query("op9_decontamination")
+_LEAK_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    "op9_decontamination",
+    f"""
+    WITH texts AS (SELECT doc_id, {_LEAK_WORDS} AS ws FROM documents),
+    items AS (SELECT item_id, ws, least(10, len(ws)) AS size FROM (SELECT item_id, {_LEAK_WORDS} AS ws FROM benchmark) WHERE len(ws) > 0),
+    item_windows AS (
+        SELECT DISTINCT item_id, size, array_to_string(ws[i:i + size - 1], ' ') AS win
+        FROM (SELECT *, unnest(range(1, len(ws) - size + 2)) AS i FROM items)),
+    sizes AS (SELECT DISTINCT size FROM item_windows),
+    windows AS (
+        SELECT doc_id, size, i, array_to_string(ws[i:i + size - 1], ' ') AS win
+        FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM texts, sizes WHERE len(ws) >= size)),
+    found AS (SELECT w.doc_id, w.i, w.size, m.item_id FROM windows w JOIN item_windows m ON m.size = w.size AND m.win = w.win),
+    hits AS (
+        SELECT doc_id, count(DISTINCT p) AS n
+        FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
+    leaks AS (
+        SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+    SELECT x.doc_id, len(ws) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(l.n, 0) AS n_items,
+        sha256(coalesce(l.ids, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
+    FROM texts x LEFT JOIN hits h ON h.doc_id = x.doc_id LEFT JOIN leaks l ON l.doc_id = x.doc_id
+    """,
+)
 def decontamination_query(t):
     found = find_leaks(t.documents.select("doc_id", "text"), t.benchmark)
     hit = F.aggregate("leak_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -109,7 +181,26 @@ def simhash_query(t):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-@query("op6_recompression")
+@query(
+    "op6_recompression",
+    f"""
+    WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents),
+    windows AS (
+        SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM texts WHERE len(ws) >= 50)),
+    least AS (SELECT h, min(doc_id) AS d FROM windows GROUP BY h),
+    gone AS (
+        SELECT DISTINCT doc_id, i FROM (
+            SELECT w.doc_id, unnest(range(w.i, w.i + 50)) AS i FROM windows w JOIN least l ON l.h = w.h WHERE w.doc_id > l.d)),
+    words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM texts),
+    kept AS (
+        SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.i) AS t
+        FROM words w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.i = w.i WHERE g.i IS NULL GROUP BY w.doc_id),
+    removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+    SELECT x.doc_id, len(ws) AS n_words, coalesce(r.n, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+    FROM texts x LEFT JOIN kept k ON k.doc_id = x.doc_id LEFT JOIN removed r ON r.doc_id = x.doc_id
+    """,
+)
 def recompression_query(t):
     kept = remove_repeats(t.documents)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
