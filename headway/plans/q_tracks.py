@@ -182,15 +182,26 @@ def pattern_distance(t: Tables) -> DataFrame:
 @query(
     "pattern_geometry",
     _PAIRS_SQL + """,
-g AS (SELECT *, row_number() OVER (PARTITION BY jp_id ORDER BY pos) AS r FROM joined WHERE id IS NOT NULL)
-SELECT file_id, jp_id, CAST(sum(CASE WHEN r = 1 THEN n ELSE n - 1 END) AS INTEGER) AS points,
-  round(sum((CASE WHEN r = 1 THEN ka * 0.01 ELSE 0 END) + CASE WHEN n = 3 THEN (ka + kb) / 2.0 * 0.01 + 0.001 ELSE 0 END + kb * 0.01), 6) AS lon_sum
-FROM g GROUP BY ALL""",
+g AS (SELECT *, row_number() OVER (PARTITION BY jp_id ORDER BY pos) AS r,
+    coalesce(sum(n - 1) OVER (PARTITION BY jp_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM joined WHERE id IS NOT NULL),
+pt AS (SELECT file_id, jp_id, 0 AS i, ka * 0.01 AS lon, ka * 0.005 + 52 AS lat FROM g WHERE r = 1
+  UNION ALL SELECT file_id, jp_id, before + 1, (ka + kb) / 2.0 * 0.01 + 0.001, (ka + kb) / 2.0 * 0.005 + 52 + 0.001 FROM g WHERE n = 3
+  UNION ALL SELECT file_id, jp_id, before + n - 1, kb * 0.01, kb * 0.005 + 52 FROM g)
+SELECT file_id, jp_id, CAST(count(*) AS INTEGER) AS points, round(sum((i + 1) * lon), 6) AS lon_by_place, round(sum((i + 1) * lat), 6) AS lat_by_place
+FROM pt GROUP BY ALL""",
 )
 def pattern_geometry(t: Tables) -> DataFrame:
     lines = trk.pattern_geometry(_pairs(t), _pattern_tracks(t))
-    total = F.aggregate("points", F.lit(0.0), lambda a, p: a + p["lon"])
-    return lines.select("file_id", "jp_id", F.size("points").alias("points"), F.round(total, 6).alias("lon_sum"))
+
+    def by_place(part: str) -> Column:
+        placed = F.transform("points", lambda p, i: (i + 1) * p[part])
+        return F.round(F.aggregate(placed, F.lit(0.0), lambda a, x: a + x), 6)
+
+    return lines.select(
+        "file_id", "jp_id", F.size("points").alias("points"),
+        by_place("lon").alias("lon_by_place"), by_place("lat").alias("lat_by_place"),
+    )
 
 
 @query(

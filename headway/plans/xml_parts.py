@@ -58,16 +58,19 @@ def fares_documents(t: Tables) -> DataFrame:
         when(k % 5 != 1, tag("timeIntervals", when(k % 5 != 2, interval))),
         tag("fareStructureElements", access, eligibility, travel, durations, extra), id="t")
 
-    def product(name: str, kind, complete):
-        return tag(name, when(complete | (k % 36 != 1), tag("Name", join("Product ", k % 40))),
-            when(complete | (k % 37 != 1), tag("ChargingMomentType", "before")), when(complete | (k % 38 != 1), ref("TypeOfFareProductRef", "fxc:x")),
-            when(complete | (k % 40 != 1), tag("validableElements", tag("ValidableElement", tag("fareStructureElements", ref("FareStructureElementRef", "e"))))),
-            when(complete | (k % 41 != 1), tag("accessRightsInProduct", tag("AccessRightInProduct", ref("ValidableElementRef", "v")))),
+    def product(name: str, kind, named, charged, typed, validable, accessible):
+        """A product with the parts whose conditions hold."""
+        return tag(name, when(named, tag("Name", join("Product ", k % 40))),
+            when(charged, tag("ChargingMomentType", "before")), when(typed, ref("TypeOfFareProductRef", "fxc:x")),
+            when(validable, tag("validableElements", tag("ValidableElement", tag("fareStructureElements", ref("FareStructureElementRef", "e"))))),
+            when(accessible, tag("accessRightsInProduct", tag("AccessRightInProduct", ref("ValidableElementRef", "v")))),
             kind, id="p")
 
     types = F.array(*[F.lit(v) for v in ("dayPass", "periodPass", "singleTrip", "other")])
-    plain = product("PreassignedFareProduct", when(k % 39 != 1, tag("ProductType", F.element_at(types, (k % 4 + 1).cast("int")))), F.lit(False))
-    carnet = when(k % 3 == 0, product("AmountOfPriceUnitProduct", tag("ProductType", F.when(k % 9 == 0, "other").otherwise("tripCarnet")), F.lit(True)))
+    plain = product("PreassignedFareProduct", when(k % 39 != 1, tag("ProductType", F.element_at(types, (k % 4 + 1).cast("int")))),
+        k % 36 != 1, k % 37 != 1, k % 38 != 1, k % 40 != 1, k % 41 != 1)
+    carnet = when(k % 3 == 0, product("AmountOfPriceUnitProduct", tag("ProductType", F.when(k % 9 == 0, "other").otherwise("tripCarnet")),
+        F.lit(True), k % 27 != 3, k % 33 != 6, k % 21 != 9, k % 39 != 12))
     rule = tag("cappingRules", tag("CappingRule", tag("Name", "cap"), tag("CappingPeriod", "day"), ref("ValidableElementRef", "v")))
     capped = F.when(k % 16 == 8, tag("CappedDiscountRight", rule)).when(k % 16 == 0, tag("CappedDiscountRight", rule, id="cap")).otherwise("")
     others = when(k % 5 == 0, "<SupplementProduct id='x'><Name>n</Name></SupplementProduct><UsageDiscountRight/>")
@@ -127,6 +130,10 @@ _EXPECTED = [
     (27, "PreassignedFareProduct", 0, f"{_PROD} AND k % 40 = 1"),
     (28, "PreassignedFareProduct", 0, f"{_PROD} AND k % 41 = 1"),
     (29, "PreassignedFareProduct", 0, f"{_PROD} AND k % 39 = 1"),
+    (30, "AmountOfPriceUnitProduct", 0, f"{_PROD} AND k % 33 = 6"),
+    (31, "AmountOfPriceUnitProduct", 0, f"{_PROD} AND k % 27 = 3"),
+    (32, "AmountOfPriceUnitProduct", 0, f"{_PROD} AND k % 21 = 9"),
+    (33, "AmountOfPriceUnitProduct", 0, f"{_PROD} AND k % 39 = 12"),
     (34, "AmountOfPriceUnitProduct", 0, f"{_PROD} AND k % 9 = 0"),
     (35, "FareFrame", 1, f"{_PROD} AND k % 46 = 1"),
     (36, "SalesOfferPackage", 0, f"{_SOLD} AND k % 42 = 1"),

@@ -3,6 +3,7 @@
 import pytest
 
 from headway.plans.timetable_job import References, process
+from headway.rules.fares import fares_violations
 from headway.sources import documents as docs
 from headway.sources import fares
 from headway.sources import timetables as src
@@ -117,6 +118,13 @@ FARES = """<PublicationDelivery version="1.1"><dataObjects><CompositeFrame id="c
 <fareProducts><PreassignedFareProduct id="p"/><SupplementProduct id="s"/><UsageDiscountRight/></fareProducts></FareFrame></frames></CompositeFrame></dataObjects></PublicationDelivery>"""
 
 
+def test_empty_structure_elements_break_their_rule(spark):
+    empty = '<PublicationDelivery version="1.1"><dataObjects><CompositeFrame id="c"><frames><FareFrame id="f"><tariffs><Tariff id="t"><fareStructureElements/></Tariff></tariffs></FareFrame></frames></CompositeFrame></dataObjects></PublicationDelivery>'
+    full = empty.replace("<fareStructureElements/>", '<fareStructureElements><FareStructureElement id="e" version="1"/></fareStructureElements>')
+    read = docs.parse_fares(spark.createDataFrame([(1, empty), (2, full)], "file_id int, text string"))
+    assert rows(fares_violations(read).where("observation = 20"), "file_id", "element") == [(1, "fareStructureElements")]
+
+
 def test_fares_counts_and_admission(spark):
     texts = spark.createDataFrame([(1, FARES.format(version=' version="1"')), (2, FARES.format(version=""))], "file_id int, text string")
     read = docs.parse_fares(texts)
