@@ -47,10 +47,17 @@ class TimetableJob(Mapping[str, DataFrame]):
     pattern bridge) is written once to the shared folder and read from there.
     """
 
-    def __init__(self, documents: DataFrame, references: References, violations: DataFrame | None, divisions: list[str] | None):
+    def __init__(
+        self,
+        documents: DataFrame,
+        references: References,
+        violations: DataFrame | None,
+        divisions: list[str] | None,
+        sections: Mapping[str, DataFrame] | None = None,
+    ):
         self.documents, self.references = documents, references
         self.violations, self.divisions = violations, divisions
-        self.sections, self.rejected = admit_sections(src.sections(documents))
+        self.sections, self.rejected = admit_sections(sections if sections is not None else src.sections(documents))
         self._tables = {
             "file_attributes": lambda: self.flagged,
             "services": self._services,
@@ -248,10 +255,13 @@ def process(
     references: References,
     violations: DataFrame | None = None,
     divisions: list[str] | None = None,
+    sections: Mapping[str, DataFrame] | None = None,
 ) -> TimetableJob:
     """Output tables by name. Files named in ``violations`` are left out.
 
     ``documents`` are staged ones, with ``file_id`` and, where there is more than
-    one upload, ``revision_id`` and ``dataset_id``.
+    one upload, ``revision_id`` and ``dataset_id``. Of files too large for one row,
+    ``sections`` (``headway.sources.large.large_sections``) are read instead, and
+    ``documents`` need those ids only.
     """
-    return TimetableJob(documents, references, violations, divisions)
+    return TimetableJob(documents, references, violations, divisions, sections)

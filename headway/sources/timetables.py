@@ -31,7 +31,12 @@ def _text(column: Column) -> Column:
 
 
 def _explode(df: DataFrame, array: Column, *keep: str, pos: str = "pos") -> DataFrame:
-    return df.select("file_id", *keep, F.posexplode(array).alias(pos, "e"))
+    """Elements with their position; behind the place of their part, where a file
+    was read in parts (``headway.sources.large``)."""
+    if "place" not in df.columns:
+        return df.select("file_id", *keep, F.posexplode(array).alias(pos, "e"))
+    rows = df.select("file_id", "place", *keep, F.posexplode(array).alias(pos, "e"))
+    return rows.withColumn(pos, F.struct("place", F.col(pos).alias("pos"))).drop("place")
 
 
 def metadata(docs: DataFrame) -> DataFrame:
@@ -214,7 +219,7 @@ def routes(docs: DataFrame) -> DataFrame:
     known = F.transform(
         F.coalesce(F.col("RouteSections.RouteSection"), F.array()), lambda s: s["_id"]
     )
-    rows = docs.select("file_id", known.alias("known"), F.posexplode("Routes.Route").alias("route_pos", "e"))
+    rows = _explode(docs.withColumn("known", known), F.col("Routes.Route"), "known", pos="route_pos")
     return rows.select(
         "file_id",
         "route_pos",

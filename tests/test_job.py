@@ -6,6 +6,7 @@ from headway.plans.timetable_job import References, process
 from headway.rules.fares import fares_violations
 from headway.sources import documents as docs
 from headway.sources import fares
+from headway.sources.large import large_sections
 from headway.sources import timetables as src
 from tests.conftest import rows
 
@@ -112,6 +113,19 @@ def test_prefixed_documents_read_alike(spark):
         assert plain and plain == prefixed, name
 
 
+def test_files_read_in_parts_give_the_same_sections(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.xml").write_text(timetable(i, f"{i}.xml", flexible=i == 1))
+    whole, parts = src.sections(docs.read_timetables(spark, str(tmp_path))), large_sections(spark, str(tmp_path))
+    assert set(parts) == set(whole)
+    for name, table in whole.items():
+        positions = [c for c in table.columns if c in ("ordinal", "owner_pos") or c.endswith(("_pos", "_ord")) and c not in ("link_pos", "line_pos", "stop_pos")]
+        plain = [c for c in table.columns if c not in positions]
+        assert rows(parts[name].select(*plain)) == rows(table.select(*plain)), name
+    order = lambda t: [r.vj_code for r in t.orderBy("file_id", "ordinal").collect()]
+    assert order(parts["vehicle_journeys"]) == order(whole["vehicle_journeys"])
+
+
 FARES = """<PublicationDelivery version="1.1"><dataObjects><CompositeFrame id="c"><frames><FareFrame id="f"><fareZones>
 <FareZone id="z1" version="1"><Name>Zone</Name></FareZone><FareZone id="z2" version="1"/><FareZone id="z3"><Name>No version</Name></FareZone></fareZones>
 <tariffs><Tariff id="t"><fareStructureElements><FareStructureElement id="e"{version}/></fareStructureElements></Tariff></tariffs>
