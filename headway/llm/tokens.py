@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm.common import per_row, texts_of, unused
-from headway.session import shared_folder
+from headway.session import shared_folder, staged
 
 # Texts outside these characters, or with a very long run without a break, are
 # left to the tokenizer library: within them both encoders are tested to agree.
@@ -112,7 +112,7 @@ def token_counts(docs: DataFrame, tokenizer: str, text: str = "text", cache: str
     Empty texts count 0. Repeated rows stay. A column named ``n_tokens`` is
     replaced. An empty table gives no rows.
     """
-    spark = docs.sparkSession
+    spark, shared = docs.sparkSession, cache is not None
     cache = cache or f"{shared_folder(spark)}/token-counts-{uuid.uuid4().hex}"
     version = tokenizer_version(tokenizer)
     digest = F.unhex(F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"), 256))
@@ -129,7 +129,11 @@ def token_counts(docs: DataFrame, tokenizer: str, text: str = "text", cache: str
         return {"n_tokens": pa.array([len(encode(t.decode("utf-8", "replace"))) for t in texts_of(part.column("text"))], pa.int64())}
 
     per_row(misses, work, "n_tokens long", "text").select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache)
-    counts = open_cache(spark, cache).where(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    counts = open_cache(spark, cache).where(F.col("version") == version).select("digest", "n_tokens")
+    if shared:
+        # Other jobs may have appended the same digests. Written before the join, so
+        # that the rows of a text with very many copies can be split over tasks.
+        counts = staged(counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
     (own,) = unused(docs, "_digest")
     rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "n_tokens"]).withColumn(own, digest)
     return rows.join(counts.withColumnRenamed("digest", own), own).drop(own)
