@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm.common import settings
-from headway.llm.leaks import cut_leaks, find_leaks
+from headway.llm.leaks import find_leaks
 from headway.llm.lines import drop_repeated_runs
 from headway.llm.packing import pack_documents
 from headway.llm.simhash import one_per_group
@@ -65,7 +65,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return shielded(
         docs,
-        lambda d: rewritten(cut_leaks(find_leaks(d, items)), F.size("leak_spans") > 0),
+        lambda d: rewritten(find_leaks(d, items, cut=True), F.size("leak_spans") > 0),
         "n_words",
         "leak_spans",
         "leak_items",

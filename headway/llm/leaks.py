@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import per_row, texts_of
+from headway.llm.common import per_row, texts_of, unused
 from headway.session import staged
 
 # Words are runs of a-z, 0-9 and everything beyond ASCII, A-Z lower-cased first.
@@ -165,11 +165,13 @@ def occurrences(flat: np.ndarray, owner: np.ndarray, phrases: Phrases) -> tuple[
     return origin[index.locate(rows)], found
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = 4 << 20, blocks_per_pass: int = 4) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = 4 << 20, blocks_per_pass: int = 4, cut: bool = False) -> DataFrame:
     """Append ``n_words, leak_spans, leak_items`` to every document.
 
     Spans are merged ranges of words, items the sorted ids (as text) of the items
-    with an occurring window. Items go out in blocks of about ``block_bytes``
+    with an occurring window. With ``cut`` the text loses the words of its spans: a
+    span goes from the first byte of its first word to the last of its last, the
+    text around it stays, and texts without a span are untouched. Items go out in blocks of about ``block_bytes``
     text, each to all documents; with many blocks, what has been found so far is
     staged every ``blocks_per_pass`` blocks. Documents are indexed in slices of
     a few megabytes, a longer text alone, and are never shuffled.
@@ -184,6 +186,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
     )
     volume = usable.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(volume / block_bytes))
+    (left,) = unused(docs, "_left")
     out = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "leak_spans", "leak_items")]).withColumns(
         {
             "leak_spans": F.array().cast("array<struct<start:int,end:int>>"),
@@ -193,13 +196,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
     for b in range(blocks):
         rows = usable.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()
         phrases = spark.sparkContext.broadcast(Phrases([(r["item"], bytes(r["text"])) for r in rows], window))
-        out = per_row(out, _search_in(phrases, text), "n_words long, leak_spans array<struct<start:int,end:int>>, leak_items array<string>", text)
+        last = cut and b + 1 == blocks
+        made = "n_words long, leak_spans array<struct<start:int,end:int>>, leak_items array<string>" + f", `{left}` string" * last
+        out = per_row(out, _search_in(phrases, text, left if last else None), made, text)
         if b + 1 < blocks and (b + 1) % blocks_per_pass == 0:
             out = staged(out)
-    return out
+    return out.withColumn(text, F.col(left)).drop(left) if cut else out
 
 
-def _search_in(shared: Any, text: str):
+def _search_in(shared: Any, text: str, left: str | None):
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def work(part: pa.RecordBatch) -> dict[str, pa.Array]:
@@ -227,34 +232,25 @@ def _search_in(shared: Any, text: str):
                     own[s["start"] : s["end"]] = True
                 turns = np.flatnonzero(np.diff(np.concatenate([[False], own, [False]]).astype(np.int8)))
                 spans[doc] = [{"start": a, "end": b} for a, b in turns.reshape(-1, 2).tolist()]
-        return {
+        made = {
             "n_words": pa.array(sizes),
             "leak_spans": pa.array(spans, kind),
             "leak_items": pa.array([sorted(x) for x in leaked], pa.list_(pa.string())),
         }
+        if left:
+            texts = part.column(text).cast(pa.binary()).to_pylist()
+            rest = [without_spans(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
+            made[left] = pa.array(rest, pa.binary()).cast(pa.string())
+        return made
 
     return work
 
 
-def cut_leaks(found: DataFrame, text: str = "text") -> DataFrame:
-    """Replace ``text`` by what is left of it without the words of ``leak_spans``.
-
-    A span goes from the first byte of its first word to the last of its last;
-    the text around it stays as it is. Documents without a span are untouched.
-    """
-
-    def work(part: pa.RecordBatch) -> dict[str, pa.Array]:
-        spans = part.column("leak_spans").to_pylist()
-        out = []
-        for raw, cut in zip(part.column(text).cast(pa.binary()).to_pylist(), spans, strict=True):
-            if cut:
-                at = [m.span() for m in _WORD.finditer(raw.translate(_FOLD))]
-                kept, last = [], 0
-                for s in cut:
-                    kept.append(raw[last : at[s["start"]][0]])
-                    last = at[s["end"] - 1][1]
-                raw = b"".join([*kept, raw[last:]])
-            out.append(raw)
-        return {"_cut": pa.array(out, pa.binary()).cast(pa.string())}
-
-    return per_row(found, work, "_cut string", text).withColumn(text, F.col("_cut")).drop("_cut")
+def without_spans(raw: bytes, spans: list[dict[str, int]]) -> bytes:
+    """A text without the words of some spans."""
+    at = [m.span() for m in _WORD.finditer(raw.translate(_FOLD))]
+    kept, last = [], 0
+    for s in spans:
+        kept.append(raw[last : at[s["start"]][0]])
+        last = at[s["end"] - 1][1]
+    return b"".join([*kept, raw[last:]])

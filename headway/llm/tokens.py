@@ -7,7 +7,7 @@ import hashlib
 import json
 import re
 import uuid
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,12 +45,18 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        self.path = path
+        self.fast = self._fast(path)
+
+    @cached_property
+    def library(self):
+        """Loaded when a text first needs it: a worker whose texts are plain never holds it."""
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.fast = self._fast(path)
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        return library
 
     @staticmethod
     def _fast(path: str):

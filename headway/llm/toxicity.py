@@ -19,7 +19,7 @@ from headway.llm.common import per_row, texts_of
 SENTENCE = re.compile(r"[^.!?…\n]+")
 WORD = re.compile(r"\w+")
 BUCKETS = 1 << 18
-WORDS_KEPT = 250_000
+WORDS_KEPT = 100_000
 RATIO = 15.0
 TOXIC_WEIGHT = 4.0
 

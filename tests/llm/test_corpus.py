@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from headway.llm.leaks import FMIndex, cut_leaks, find_leaks, suffix_array
+from headway.llm.leaks import FMIndex, find_leaks, suffix_array
 from headway.llm.lines import drop_repeated_runs
 from headway.llm.packing import fill_patterns, pack, pack_documents, slot_table
 from headway.llm.simhash import byte_choices, linked, near_duplicates, one_per_group
@@ -245,9 +245,9 @@ def test_leaks_equal_plain_search(spark, alphabet):
 def test_leaks_awkward_rows_and_cut(spark):
     docs = spark.createDataFrame(documents(), SCHEMA)
     bench = spark.createDataFrame([(1, "another LINE as it is a third"), (None, "as it is")], "item_id long, text string")
-    found = cut_leaks(find_leaks(docs, bench, window=4))
+    found = find_leaks(docs, bench, window=4, cut=True)
     rows = found.collect()
-    assert len(rows) == len(documents()) and found.columns[: len(docs.columns) - 1] == [c for c in docs.columns if c != "n_words"]
+    assert len(rows) == len(documents()) and set(found.columns) == {*docs.columns, "leak_spans", "leak_items"}
     for r in rows:
         if r["doc_id"] == 5:
             assert r["text"] == "One  fourth one." and r["leak_items"] == ["1"]
