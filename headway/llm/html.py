@@ -58,8 +58,8 @@ class Open(NamedTuple):
 class Page(NamedTuple):
     """Blocks of text with their place, and template tokens in page order.
 
-    A token is a tag with its path or a text outside the article with its path;
-    ``holders`` of a block are the token numbers of the tags open around it.
+    A token is a tag with its path or a text with its path; ``holders`` of a
+    block are the token numbers of the tags open around it.
     """
 
     tokens: list[int]
@@ -98,10 +98,8 @@ def parse(markup: str) -> Page:
         buffer.clear()
         if text:
             top = stack[-1]
-            token = -1
-            if not top.article:
-                token = len(page.tokens)
-                page.tokens.append(xxhash.xxh64_intdigest(f"{top.path}|{text}"))
+            token = len(page.tokens)
+            page.tokens.append(xxhash.xxh64_intdigest(f"{top.path}|{text}"))
             if not top.skipped:
                 page.texts.append(text)
                 page.article.append(top.article)
@@ -186,24 +184,39 @@ def parse(markup: str) -> Page:
 def main_blocks(page: Page, template: frozenset[int]) -> list[str]:
     """Texts of the slots that hold the article.
 
-    Texts of the template are never kept. The article is what stands in article
-    elements, else in main elements, else in that tag of the template which holds
-    the most text in its slots (any block tag where nothing is known of the host).
+    Texts of the template are never kept, in article elements neither, unless they
+    make up half of a page's article and more: then pages are copies. The article
+    is what stands in article elements, else in main elements, and beside it that
+    tag of the template which holds the most text in its slots, if that is all
+    there is or over twice the article. Where nothing is known of the host, flags
+    decide alone, else any block tag.
     """
-    rest = [i for i, token in enumerate(page.text_tokens) if token < 0 or page.tokens[token] not in template]
-    for flags in (page.article, page.main):
-        if any(flags):
-            return [page.texts[i] for i in rest if flags[i]]
-    if not rest:
-        return []
+    volume_of = [len(x) for x in page.texts]
+    known = [page.tokens[token] in template for token in page.text_tokens]
+    flags = next((f for f in (page.article, page.main) if any(f)), [False] * len(known))
+    if 2 * sum(n for n, k, a in zip(volume_of, known, page.article, strict=True) if k and a) >= sum(n for n, a in zip(volume_of, page.article, strict=True) if a):
+        known = [k and not a for k, a in zip(known, page.article, strict=True)]
+    rest = [i for i, k in enumerate(known) if not k]
+    marked = {i for i in rest if flags[i]}
+    others = [i for i in rest if i not in marked]
+    if not others or marked and not template:
+        return [page.texts[i] for i in rest if i in marked]
+    slot = best_slot(page, others, template)
+    if marked and sum(volume_of[i] for i in slot) <= 2 * sum(volume_of[i] for i in marked):
+        slot = set()
+    return [page.texts[i] for i in rest if i in marked or i in slot]
+
+
+def best_slot(page: Page, blocks: list[int], template: frozenset[int]) -> set[int]:
+    """Those of ``blocks`` in the tag of the template that holds the most of their text."""
     volume: Counter[int] = Counter()
     holder = {}
-    for i in rest:
+    for i in blocks:
         known = [h for h in page.holders[i][:-1] if not template or page.tokens[h] in template]
         holder[i] = known[-1] if known else -1
         volume[holder[i]] += len(page.texts[i])
     best = max(volume, key=lambda h: (volume[h], -h))
-    return [page.texts[i] for i in rest if holder[i] == best or best in page.holders[i]]
+    return {i for i in blocks if holder[i] == best or best in page.holders[i]}
 
 
 def nest(classes: list[list[tuple[float, int]]]) -> list[int]:

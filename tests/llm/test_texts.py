@@ -209,6 +209,29 @@ def test_pages_by_template(spark):
         assert got[i] == want
 
 
+def test_template_decides_inside_and_beside_articles(spark):
+    """Repeated texts in articles go, a body beside a teaser stays, copied articles stay whole."""
+    rng = random.Random(6)
+
+    def prose_of(n):
+        return [" ".join(f"w{rng.randrange(900)}" for _ in range(15)) + "." for _ in range(n)]
+
+    def page(paragraphs, tail=""):
+        body = "".join(f"<p>{x}</p>" for x in paragraphs)
+        return f"<html><body><article><div>Told by our own staff</div>{body}<p>Pass this story on to friends.</p></article>{tail}</body></html>"
+
+    made = [(page(x), "\n".join(x)) for x in (prose_of(rng.randrange(2, 5)) for _ in range(9))]
+    story = prose_of(30)
+    made.append((page(["One more story."], "<div class=x>" + "".join(f"<p>{x}</p>" for x in story) + "</div>"), None))
+    copied = page(prose_of(3))
+    rows = [(i, f"http://one.example.com/{i}", h) for i, (h, _) in enumerate(made)] + [(100 + i, f"http://two.example.com/{i}", copied) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, (_, want) in enumerate(made[:-1]):
+        assert got[i] == want
+    assert "\n".join(story) in got[len(made) - 1]
+    assert all(got[100 + i] == "\n".join(re.findall("(?:<p>|<div>)(.*?)<", copied)) for i in range(4))
+
+
 def test_nested_classes():
     outer, inner, crossing = [(0, 1), (10, 2)], [(3, 3), (5, 4)], [(4, 5), (12, 6)]
     assert pages.nest([outer, inner, crossing]) == [1, 2, 3, 4]
