@@ -17,6 +17,7 @@ from headway.llm.toxicity import held_out, learn, score_texts
 from headway.session import apply_defaults, staged
 
 WORD = r"[^\x20\x09-\x0D]"
+PASSAGE_WORDS = 50
 
 
 def prepare(spark: SparkSession) -> None:
@@ -53,6 +54,14 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shielded(docs, lambda d: rewritten(drop_repeated_runs(d), F.col("n_removed") > 0), "n_lines", "n_removed")
 
 
+def dedup_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of runs of one and two lines go too, if they have ``PASSAGE_WORDS`` words."""
+    prepare(spark)
+    return shielded(
+        docs, lambda d: rewritten(drop_repeated_runs(d, min_words=PASSAGE_WORDS), F.col("n_removed") > 0), "n_lines", "n_removed"
+    )
+
+
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of SimHash near-duplicates the document with the smallest id stays."""
     prepare(spark)
@@ -86,14 +95,19 @@ STAGES = [
     ("packing", pack),
 ]
 
+# What the rule of a stage leaves; `run` lets these follow the stage they are named after.
+FOLLOW_UPS = {"line_dedup": dedup_passages}
+
 # Learned scores, fingerprints and token ids have no SQL form; tests hold each
 # stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what one returns is written and read again for the next."""
+    """All stages and follow-ups over ``documents``; what one returns is written and read again for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
+    for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir))
+        if name in FOLLOW_UPS:
+            docs = staged(FOLLOW_UPS[name](spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +37,8 @@ def extend(suffixes: DataFrame, step: int, width: int) -> DataFrame:
     and goes, as does one whose pair of ranks is found once. The others are ranked
     inside their old rank by the rank of the follower: followers are counted per
     pair, summed up per range of ``width`` follower ranks, then inside a range, so
-    that one frequent line does not put all its followers into one task.
+    that one frequent line does not put all its followers into one task. Further
+    columns stay.
     """
     ahead = Window.partitionBy("did", "th").orderBy("idx").rangeBetween(step, step)
     pairs = staged(suffixes.withColumn("second", F.max("rank").over(ahead)).where("second IS NOT NULL"))
@@ -52,7 +54,7 @@ def extend(suffixes: DataFrame, step: int, width: int) -> DataFrame:
         .join(before, ["rank", "bucket"])
         .select("rank", "second", (F.col("rank") + F.col("before") + F.col("inner")).alias("next"))
     )
-    return pairs.join(ranked, ["rank", "second"]).select("did", "th", "idx", F.col("next").alias("rank"))
+    return pairs.join(ranked, ["rank", "second"]).select(*[c for c in suffixes.columns if c != "rank"], F.col("next").alias("rank"))
 
 
 def repeated_suffixes(lines: DataFrame, depth: int) -> DataFrame:
@@ -71,11 +73,40 @@ def repeated_suffixes(lines: DataFrame, depth: int) -> DataFrame:
     return suffixes
 
 
+def later_copies(suffixes: DataFrame, depth: int) -> DataFrame:
+    """``did, th, idx`` of the first ``depth`` lines of every suffix that is not the first of its interval."""
+    place = F.struct("did", "th", "idx")
+    heads = suffixes.groupBy("rank").agg(F.min(place).alias("head"))
+    later = suffixes.join(heads, "rank").where(place != F.col("head"))
+    return later.select("did", "th", F.explode(F.sequence("idx", F.col("idx") + F.lit(depth - 1))).alias("idx"))
+
+
+def long_copies(lines: DataFrame, min_lines: int, min_words: int) -> DataFrame:
+    """Lines of later copies of runs of ``min_lines`` lines, or of fewer with ``min_words`` words.
+
+    ``lines`` has ``did, th, idx, rank, words``. Rounds add one line each; words
+    are the same all over an interval, so an interval counts as a whole or not.
+    """
+    width = in_spread(lines.count())
+    ahead = Window.partitionBy("did", "th").orderBy("idx")
+    totals = {f"words_{d}": F.sum("words").over(ahead.rangeBetween(0, d - 1)) for d in range(1, min_lines)}
+    suffixes = staged(lines.withColumns(totals).drop("words")) if totals else lines.drop("words")
+    covered = []
+    for depth in range(1, min_lines + 1):
+        if depth > 1:
+            suffixes = staged(extend(suffixes, 1, width))
+        enough = suffixes.where(F.col(f"words_{depth}") >= min_words) if depth < min_lines else suffixes
+        covered.append(later_copies(enough, depth))
+    return reduce(DataFrame.union, covered)
+
+
 def has_word(line: Column) -> Column:
     return line.rlike(r"[^\x20\x09-\x0D]")
 
 
-def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_lines: int = 3) -> DataFrame:
+def drop_repeated_runs(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_lines: int = 3, min_words: int | None = None
+) -> DataFrame:
     """Delete later copies of repeated line runs.
 
     Documents are sequences of their lines that hold a word (lines are split at
@@ -85,7 +116,8 @@ def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     maximal run is a union of runs of ``min_lines`` lines and a longer one has a
     copy exactly where all of these have, so the suffix array is sorted to that
     depth, and each interval with a longest common prefix of ``min_lines`` keeps
-    its first suffix.
+    its first suffix. With ``min_words``, a run of fewer lines counts too if it has
+    so many words, down to a single line (``long_copies``).
 
     Returns ``docs`` with ``text`` replaced by what is left (wordless lines stay)
     and ``n_lines`` (lines with a word), ``n_removed``. A null text stays null
@@ -105,26 +137,31 @@ def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
         th.alias(own_th),
         F.split(F.col(f"`{text}`"), "\n", -1).alias(own_lines),
     )
+    carried = ["words"] if min_words is not None else []
+
+    def counted(line: Column) -> list[Column]:
+        return [F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+")).alias(c) for c in carried]
+
     hashed = F.filter(
         F.transform(
             F.split(F.col(f"`{text}`"), "\n", -1),
-            lambda x, i: F.struct(i.alias("pos"), F.when(has_word(x), F.xxhash64(x)).alias("h1"), F.xxhash64(F.lit(1), x).alias("h2")),
+            lambda x, i: F.struct(
+                i.alias("pos"), F.when(has_word(x), F.xxhash64(x)).alias("h1"), F.xxhash64(F.lit(1), x).alias("h2"), *counted(x)
+            ),
         ),
         lambda s: s["h1"].isNotNull(),
     )
-    lines = staged(
-        docs.select(did, th, F.posexplode(hashed).alias("idx", "line")).select("did", "th", "idx", "line.pos", "line.h1", "line.h2")
-    )
-    first = staged(
-        lines.join(line_ids(lines), ["h1", "h2"]).groupBy("did", "th", "idx").agg(F.min("pos").alias("pos"), F.min("rank").alias("rank"))
-    )
-    suffixes = staged(repeated_suffixes(first.drop("pos"), min_lines))
-    place = F.struct("did", "th", "idx")
-    heads = suffixes.groupBy("rank").agg(F.min(place).alias("head"))
-    later = suffixes.join(heads, "rank").where(place != F.col("head"))
-    covered = later.select("did", "th", F.explode(F.sequence("idx", F.col("idx") + F.lit(min_lines - 1))).alias("idx")).distinct()
+    fields = [f"line.{c}" for c in ("pos", "h1", "h2", *carried)]
+    lines = staged(docs.select(did, th, F.posexplode(hashed).alias("idx", "line")).select("did", "th", "idx", *fields))
+    least = [F.min(c).alias(c) for c in ("pos", "rank", *carried)]
+    first = staged(lines.join(line_ids(lines), ["h1", "h2"]).groupBy("did", "th", "idx").agg(*least))
+    if min_words is None:
+        found = later_copies(staged(repeated_suffixes(first.drop("pos"), min_lines)), min_lines)
+    else:
+        found = long_copies(first.drop("pos"), min_lines, min_words)
+    covered = found.distinct()
     removed = (
-        first.drop("rank")
+        first.select("did", "th", "idx", "pos")
         .join(covered, ["did", "th", "idx"])
         .groupBy(F.col("did").alias(own_did), F.col("th").alias(own_th))
         .agg(F.collect_set("pos").alias(own_removed))

@@ -55,6 +55,36 @@ def test_line_runs_equal_plain_search(spark, m):
         assert got[i]["text"] == "\n".join(kept)
 
 
+def passages_removed(docs, m, words):
+    """Like ``runs_removed``, with runs of fewer lines that have ``words`` words."""
+    gone = defaultdict(set)
+    for d in range(1, m + 1):
+        seen = set()
+        for k, t in docs:
+            lines = [(p, x) for p, x in enumerate((t or "").split("\n")) if WORD.search(x)]
+            for i in range(len(lines) - d + 1):
+                run = tuple(x for _, x in lines[i : i + d])
+                if d < m and sum(len(WORD.findall(x)) for x in run) < words:
+                    continue
+                if run in seen:
+                    gone[k].update(p for p, _ in lines[i : i + d])
+                seen.add(run)
+    return gone
+
+
+@pytest.mark.parametrize(("m", "words"), [(1, 9), (3, 1), (3, 6), (4, 9)])
+def test_long_passages_of_few_lines_go(spark, m, words):
+    rng = random.Random(m)
+    texts = ["".join(x + ("\n" if rng.random() < 0.3 else " ") for x in t.split()) for t in prose(150, 5, 40, 4)]
+    gone = passages_removed(list(enumerate(texts)), m, words)
+    got = {r["doc_id"]: r for r in drop_repeated_runs(frame(spark, texts), min_lines=m, min_words=words).collect()}
+    for i, t in enumerate(texts):
+        assert got[i]["text"] == "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone[i])
+        assert got[i]["n_removed"] == len(gone[i])
+    assert m == 1 or any(gone[i] != runs_removed(list(enumerate(texts)), m)[i] for i in range(len(texts)))
+    assert drop_repeated_runs(frame(spark, texts).limit(0), min_words=words).count() == 0
+
+
 def test_line_runs_awkward_rows(spark):
     docs = spark.createDataFrame(documents(), SCHEMA)
     got = drop_repeated_runs(docs)

@@ -49,6 +49,23 @@ def test_line_stage(spark, docs):
             assert got[i]["text"] == left and got[i]["n_chars"] == len(left)
 
 
+def test_passages_of_one_line_go(spark, monkeypatch):
+    """A repeated line of many words reaches the packing once, a short one each time."""
+    long, short = " ".join(f"w{i}" for i in range(50)), "a short line"
+    texts = [f"{long}\nits own {i * 'end '}\n{short}" for i in range(3)]
+    docs = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(texts)], "doc_id long, text string, n_chars int")
+    reader = type("Reader", (), {"parquet": lambda self, path: docs})()
+    session = type("Session", (), {"read": reader})()
+    seen = []
+    stages = [(n, f if n == "line_dedup" else lambda s, d, _: d) for n, f in corpus_pipeline.STAGES[:-1]]
+    monkeypatch.setattr(corpus_pipeline, "prepare", lambda s: None)
+    monkeypatch.setattr(corpus_pipeline, "FOLLOW_UPS", {"line_dedup": corpus_pipeline.dedup_passages})
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*stages, ("packing", lambda s, d, _: seen.append(d) or d)])
+    got = {r["doc_id"]: r for r in corpus_pipeline.run(session, "none").collect()}
+    assert seen and got[0]["text"] == texts[0]
+    assert all(got[i]["text"] == texts[i].split("\n", 1)[1] and got[i]["n_chars"] == len(got[i]["text"]) for i in (1, 2))
+
+
 def test_near_stage(spark, docs):
     got = {r["doc_id"] for r in stage("near_dedup")(spark, docs, FOLDER).collect()}
     prints = {r["doc_id"]: simhash_of(r["text"]) for r in docs.collect()}
