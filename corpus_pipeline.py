@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from headway.llm.common import settings
 from headway.llm.leaks import find_leaks
 from headway.llm.lines import drop_repeated_runs
+from headway.llm.overlap import drop_near_copies
 from headway.llm.packing import pack_documents
 from headway.llm.simhash import one_per_group
 from headway.llm.toxicity import held_out, learn, score_texts
@@ -68,6 +69,12 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return one_per_group(docs)
 
 
+def dedup_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose five-word shingles overlap those of an earlier one by 80 % or more."""
+    prepare(spark)
+    return drop_near_copies(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words inside benchmark windows are cut out."""
     prepare(spark)
@@ -96,7 +103,7 @@ STAGES = [
 ]
 
 # What the rule of a stage leaves; `run` lets these follow the stage they are named after.
-FOLLOW_UPS = {"line_dedup": dedup_passages}
+FOLLOW_UPS = {"line_dedup": dedup_passages, "near_dedup": dedup_copies}
 
 # Learned scores, fingerprints and token ids have no SQL form; tests hold each
 # stage against a brute-force version.

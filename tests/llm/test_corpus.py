@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.leaks import FMIndex, find_leaks, suffix_array
 from headway.llm.lines import drop_repeated_runs
+from headway.llm.overlap import drop_near_copies
 from headway.llm.packing import fill_patterns, pack, pack_documents, slot_table
 from headway.llm.simhash import byte_choices, linked, near_duplicates, one_per_group
 from headway.llm.substrings import Words, _Names, anchored_blocks, remove_repeats
@@ -391,3 +392,33 @@ def test_near_duplicates_awkward_rows(spark):
     assert near_duplicates(docs.limit(0)).count() == 0 and one_per_group(docs.limit(0)).count() == 0
     empty = spark.createDataFrame([(None, None), (None, "")], "doc_id long, text string")
     assert one_per_group(empty).count() == 1 and near_duplicates(empty).where("component_id IS NOT NULL").count() == 0
+
+
+def test_near_copies_by_shingles_equal_plain_search(spark):
+    rng = random.Random(12)
+    texts = prose(60, 3, 40, 3)
+    for _ in range(40):
+        words = [f"v{rng.randrange(3000)}" for _ in range(rng.randrange(1, 300))]
+        texts.append(" ".join(words))
+        for _ in range(rng.randrange(6)):
+            words[rng.randrange(len(words))] = "changed"
+            texts.append(" ".join(words).upper() if rng.random() < 0.3 else "\n".join(words))
+    rng.shuffle(texts)
+    sets = []
+    for t in texts:
+        words = WORD.findall(t.translate(UPPER))
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    gone = {j for j, b in enumerate(sets) for a in sets[:j] if a and b and 100 * len(a & b) >= 80 * len(a | b)}
+    got = {r["doc_id"] for r in drop_near_copies(frame(spark, texts)).collect()}
+    assert got == set(range(len(texts))) - gone
+    far = [j for j in gone if not any((simhash_of(texts[j]) ^ simhash_of(t)).bit_count() <= 3 for t in texts[:j])]
+    assert far  # the fingerprints alone would leave these
+
+
+def test_near_copies_by_shingles_awkward_rows(spark):
+    docs = spark.createDataFrame(documents(), SCHEMA)
+    kept = drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert {8, 9, 7, -4, 3, 10, 11, 12} <= set(ids) and 5 not in ids and ids.count(3) == 1
+    assert drop_near_copies(docs.limit(0)).count() == 0
