@@ -41,6 +41,9 @@ NOT_TEXT_WORDS = frozenset(
     "overlay pager pagination paywall popup promo promoted promotion recommended related sharing share sidebar sidenav signup sitefooter siteheader "
     "skip social sponsor sponsored subnav subscribe subscription taboola toc toolbar topnav widget widgets".split()
 )
+# Elements that divide a page, and those that hold running text.
+FRAMES = frozenset("html body main article section div center td".split())
+PARAGRAPHS = frozenset("p blockquote pre h1 h2".split())
 # How surely an element is not the article: by a class or id word, which an
 # article inside it outweighs, or by its element, role, or as reader comments.
 MAYBE, SURELY = 1, 2
@@ -59,7 +62,7 @@ class Page(NamedTuple):
     """Blocks of text with their place, and template tokens in page order.
 
     A token is a tag with its path or a text with its path; ``holders`` of a
-    block are the token numbers of the tags open around it.
+    block are the token numbers of the tags open around it, ``elements`` their names.
     """
 
     tokens: list[int]
@@ -68,6 +71,7 @@ class Page(NamedTuple):
     main: list[bool]
     holders: list[tuple[int, ...]]
     text_tokens: list[int]
+    elements: dict[int, str]
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -89,7 +93,7 @@ def _not_text(name: str, attributes: dict[str, str]) -> int:
 
 def parse(markup: str) -> Page:
     """Tolerant reading: end tags close what they match, unclosed blocks end with what holds them."""
-    page = Page([], [], [], [], [], [])
+    page = Page([], [], [], [], [], [], {})
     stack = [Open("", "", 0, False, False, ())]
     buffer: list[str] = []
 
@@ -167,6 +171,8 @@ def parse(markup: str) -> Page:
             over = re.compile(rf"</{re.escape(name)}\s*[^>]*(?:>|\Z)", re.IGNORECASE).search(markup, at)
             at = over.end() if over else end
             continue
+        if name in BLOCK:
+            page.elements[number] = name
         stack.append(
             Open(
                 name,
@@ -186,10 +192,10 @@ def main_blocks(page: Page, template: frozenset[int]) -> list[str]:
 
     Texts of the template are never kept, in article elements neither, unless they
     make up half of a page's article and more: then pages are copies. The article
-    is what stands in article elements, else in main elements, and beside it that
-    tag of the template which holds the most text in its slots, if that is all
-    there is or over twice the article. Where nothing is known of the host, flags
-    decide alone, else any block tag.
+    is what stands in article elements, else in main elements, and beside it the
+    fullest place of the template (``best_slot``), if that is all there is or holds
+    over twice the article. Where nothing is known of the host, flags decide alone,
+    else any dividing tag counts as the template's.
     """
     volume_of = [len(x) for x in page.texts]
     known = [page.tokens[token] in template for token in page.text_tokens]
@@ -208,15 +214,31 @@ def main_blocks(page: Page, template: frozenset[int]) -> list[str]:
 
 
 def best_slot(page: Page, blocks: list[int], template: frozenset[int]) -> set[int]:
-    """Those of ``blocks`` in the tag of the template that holds the most of their text."""
-    volume: Counter[int] = Counter()
-    holder = {}
-    for i in blocks:
-        known = [h for h in page.holders[i][:-1] if not template or page.tokens[h] in template]
-        holder[i] = known[-1] if known else -1
-        volume[holder[i]] += len(page.texts[i])
-    best = max(volume, key=lambda h: (volume[h], -h))
-    return {i for i in blocks if holder[i] == best or best in page.holders[i]}
+    """Those of ``blocks`` in the lowest place of the template that holds the article's text.
+
+    From the whole page it goes down to the dividing tags of one class path that
+    hold three quarters of the text or more; all tags of that path stay together,
+    so an article spread over siblings does. It stops where they hold less and,
+    below the body, where running text stands beside them.
+    """
+    frames = {i: [h for h in page.holders[i] if page.elements[h] in FRAMES and (not template or page.tokens[h] in template)] for i in blocks}
+    kept, level, inside = blocks, 0, ""
+    while True:
+        volume: Counter[int] = Counter()
+        for i in kept:
+            if len(frames[i]) > level:
+                volume[page.tokens[frames[i][level]]] += len(page.texts[i])
+        if not volume:
+            return set(kept)
+        best = max(volume, key=lambda token: volume[token])
+        lower = [i for i in kept if len(frames[i]) > level and page.tokens[frames[i][level]] == best]
+        beside = set(kept) - set(lower)
+        if 4 * volume[best] < 3 * sum(len(page.texts[i]) for i in kept):
+            return set(kept)
+        if inside not in ("", "html", "body") and any(page.elements[page.holders[i][-1]] in PARAGRAPHS for i in beside if page.holders[i]):
+            return set(kept)
+        inside = page.elements[frames[lower[0]][level]]
+        kept, level = lower, level + 1
 
 
 def nest(classes: list[list[tuple[float, int]]]) -> list[int]:

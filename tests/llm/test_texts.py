@@ -232,6 +232,30 @@ def test_template_decides_inside_and_beside_articles(spark):
     assert all(got[100 + i] == "\n".join(re.findall("(?:<p>|<div>)(.*?)<", copied)) for i in range(4))
 
 
+@pytest.mark.parametrize(
+    ("row", "between"),
+    [("<section><p>{}</p></section>", ""), ("<div><div><p>{}</p></div></div>", ""), ("<div class=d{n}><p>{}</p></div>", "<h2>{}</h2>")],
+)
+def test_articles_spread_over_siblings_stay_whole(spark, row, between):
+    rng = random.Random(7)
+
+    def page(i):
+        want, body = [], ""
+        for n in range(3):
+            for shape in (between, row):
+                if shape:
+                    want.append(" ".join(f"w{rng.randrange(900)}" for _ in range(14 + 4 * n)) + ".")
+                    body += shape.format(want[-1], n=n)
+        return f"<html><body><div class=a>Our site</div><div class=b>{body}</div><div class=c>Page {i}</div></body></html>", "\n".join(want)
+
+    made = [page(i) for i in range(10)]
+    rows = [(i, f"http://one.example.com/{i}", h) for i, (h, _) in enumerate(made)] + [(99, "http://alone.example.com/", made[0][0].replace("Our site", ""))]
+    got = {r["page_id"]: r["text"] for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, (_, want) in enumerate(made):
+        assert got[i] == want
+    assert got[99] == made[0][1]
+
+
 def test_nested_classes():
     outer, inner, crossing = [(0, 1), (10, 2)], [(3, 3), (5, 4)], [(4, 5), (12, 6)]
     assert pages.nest([outer, inner, crossing]) == [1, 2, 3, 4]
