@@ -14,6 +14,7 @@ from headway.llm.quality import quality
 from headway.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from headway.llm.simhash import near_duplicates
 from headway.llm.substrings import remove_repeats
+from headway.llm.tokenfiles import token_output
 from headway.llm.tokens import token_counts
 from headway.llm.toxicity import toxicity
 from headway.llm.urls import UrlRule, judge, rule_table
@@ -246,3 +247,8 @@ def line_runs(t):
 @query("op2_main_text")
 def main_text_query(t):
     return main_text(t.pages).select("page_id", "url", "text", "n_chars")
+
+
+@query("op13_token_files")
+def token_files_query(t):
+    return token_output(t.documents.select("doc_id", "text"), public_tokenizers.path(TOKENIZER), end=2)
