@@ -9,6 +9,7 @@ from headway.llm import quality as rules
 from headway.llm.html import main_text
 from headway.llm.leaks import find_leaks
 from headway.llm.lines import drop_repeated_runs
+from headway.llm.negatives import hard_negatives
 from headway.llm.packing import pack_documents
 from headway.llm.quality import quality
 from headway.llm.registry import ORACLES, QUERIES, query  # noqa: F401
@@ -252,3 +253,35 @@ def main_text_query(t):
 @query("op13_token_files")
 def token_files_query(t):
     return token_output(t.documents.select("doc_id", "text"), public_tokenizers.path(TOKENIZER), end=2)
+
+
+@query(
+    "op11_hard_negatives",
+    """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same,
+            CAST(list_dot_product(a.q, o.q) AS BIGINT) AS score
+        FROM v a JOIN v o ON a.vec_id <> o.vec_id WHERE a.vec_id % 100 = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+        FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM scored WHERE same)
+        WHERE n <= 5),
+    fitting AS (
+        SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+            row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+        FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id
+        WHERE NOT same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+    FROM fitting WHERE rank <= 5
+    """,
+)
+def hard_negatives_query(t):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = t.embeddings.select("vec_id", moved.alias("label"), "embedding")
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
