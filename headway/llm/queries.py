@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from headway.llm import quality as rules
+from headway.llm.collocations import collocations
 from headway.llm.html import main_text
 from headway.llm.leaks import find_leaks
 from headway.llm.lines import drop_repeated_runs
@@ -285,3 +286,46 @@ def hard_negatives_query(t):
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = t.embeddings.select("vec_id", moved.alias("label"), "embedding")
     return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+_PHRASES = " UNION ALL ".join(f"SELECT lang, ws[i:i + {k - 1}] AS p, count(*) AS f FROM starts WHERE i + {k - 1} <= len(ws) GROUP BY ALL" for k in range(1, 6))
+
+
+@query(
+    "op12_collocations",
+    f"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents),
+    split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+    starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM split),
+    phrases AS ({_PHRASES}),
+    totals AS (SELECT lang, sum(f) AS n FROM phrases WHERE len(p) = 1 GROUP BY lang),
+    common AS (SELECT * FROM phrases WHERE f >= 100),
+    around AS (
+        SELECT lang, p, max(f) AS most FROM (
+            SELECT lang, p[1:len(p) - 1] AS p, f FROM common WHERE len(p) > 2
+            UNION ALL SELECT lang, p[2:len(p)], f FROM common WHERE len(p) > 2) GROUP BY ALL),
+    kept AS (
+        SELECT c.* FROM common c LEFT JOIN around x ON x.lang = c.lang AND x.p = c.p
+        WHERE len(c.p) > 1 AND (x.most IS NULL OR x.most < c.f)),
+    cuts AS (SELECT *, unnest(range(1, len(p))) AS k FROM kept),
+    scored AS (
+        SELECT c.lang, c.p, c.f AS a, x.f AS l, y.f AS r, t.n, c.k,
+            (1000::HUGEINT * c.f * t.n) // (x.f::HUGEINT * y.f) AS score
+        FROM cuts c JOIN totals t ON t.lang = c.lang
+            JOIN common x ON x.lang = c.lang AND x.p = c.p[1:c.k]
+            JOIN common y ON y.lang = c.lang AND y.p = c.p[c.k + 1:len(c.p)]),
+    least AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS place FROM scored),
+    best AS (
+        SELECT *, array_to_string(p, ' ') AS phrase,
+            row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank
+        FROM least WHERE place = 1)
+    SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+        CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+    FROM best WHERE rank <= 2000
+    """,
+)
+def collocations_query(t):
+    return collocations(t.documents.select("lang", "text"))
