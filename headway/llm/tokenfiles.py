@@ -22,9 +22,13 @@ CLOSING = "\nDACEND\n"
 # Bits of a continuation bitmap that share one directory entry.
 BLOCK = 256
 WORD_BITS = 64
-WIDEST = 24
 
-# Ids worked on at a time, a multiple of eight: memory stays bounded in files of one very long document.
+# Widest chunk: eight of them fit into one machine word. Levels beyond those that
+# the longest id needs.
+WIDEST = 8
+MORE_LEVELS = 1
+
+# Ids worked on at a time: memory stays bounded in files of one very long document.
 STEP = 1 << 20
 
 
@@ -38,31 +42,52 @@ def chunk_widths(counts: np.ndarray) -> list[int]:
     longest = max(1, int(np.flatnonzero(counts).max(initial=0)))
     beyond = np.append(np.cumsum(counts[::-1])[::-1], 0)  # beyond[b]: values of b bits or more
     flag = 1 + 32 / BLOCK
-    cheapest: dict[int, tuple[float, list[int]]] = {longest: (0.0, [])}
+    levels = -(-longest // WIDEST) + MORE_LEVELS
+    cheapest: dict[tuple[int, int], tuple[float, list[int]]] = {(longest, left): (0.0, []) for left in range(levels + 1)}
     for done in range(longest - 1, -1, -1):
         here = float(beyond[done + 1] if done else beyond[0])
-        options = []
-        for width in range(1, min(WIDEST, longest - done) + 1):
-            cost, widths = cheapest[done + width]
-            own = here * (width + (flag if done + width < longest else 0))
-            options.append((cost + own, [width, *widths]))
-        cheapest[done] = min(options)
-    return cheapest[0][1]
+        for left in range(1, levels + 1):
+            options = []
+            for width in range(1, min(WIDEST, longest - done) + 1):
+                if (done + width, left - 1) in cheapest:
+                    cost, widths = cheapest[done + width, left - 1]
+                    options.append((cost + here * (width + (flag if widths else 0)), [width, *widths]))
+            if options:
+                cheapest[done, left] = min(options)
+    return cheapest[0, levels][1]
 
 
 def packed(values: np.ndarray, width: int) -> bytes:
-    """``width`` low bits of each value, one after the other."""
-    parts = []
+    """``width`` low bits of each value, one after the other, up to a multiple of eight values."""
+    shifts, low, parts = np.arange(8, dtype=np.uint64) * np.uint64(width), np.uint64((1 << width) - 1), []
     for a in range(0, len(values), STEP):
-        bits = (values[a : a + STEP, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-        parts.append(np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes())
+        part = values[a : a + STEP].astype(np.uint64) & low
+        part = np.append(part, np.zeros(-len(part) % 8, dtype=np.uint64)).reshape(-1, 8)
+        words = np.bitwise_or.reduce(part << shifts, axis=1).astype("<u8")
+        parts.append(words.view(np.uint8).reshape(-1, 8)[:, :width].tobytes())
     return b"".join(parts)
 
 
+def unpacked(raw: np.ndarray, width: int) -> np.ndarray:
+    """All values of whole groups of eight."""
+    words = np.zeros((len(raw) // width, 8), dtype=np.uint8)
+    words[:, :width] = raw.reshape(-1, width)
+    shifts = np.arange(8, dtype=np.uint64) * np.uint64(width)
+    return ((words.view("<u8") >> shifts) & np.uint64((1 << width) - 1)).astype(np.uint32).ravel()
+
+
 def aligned(raw: bytes) -> bytes:
     return raw + b"\0" * (-len(raw) % 8)
 
 
+def bit_lengths(ids: np.ndarray) -> np.ndarray:
+    """How many values have 0, 1, ... 32 bits."""
+    counts = np.zeros(33, dtype=np.int64)
+    for a in range(0, len(ids), STEP):
+        counts += np.bincount(np.frexp(ids[a : a + STEP].astype(np.float64))[1], minlength=33)
+    return counts
+
+
 def encode_shard(ids: np.ndarray, ends: np.ndarray, doc_ids: np.ndarray, unnamed: np.ndarray) -> bytes:
     """One file: header, document directory, levels.
 
@@ -72,15 +97,12 @@ def encode_shard(ids: np.ndarray, ends: np.ndarray, doc_ids: np.ndarray, unnamed
     that the number of set bits before it gives; the directory holds that number
     for every ``BLOCK`` bits. All parts start at multiples of eight bytes.
     """
-    lengths = np.zeros(len(ids), dtype=np.int64)
     rest = ids.astype(np.uint32)
-    for bit in range(32):
-        lengths += rest >> np.uint32(bit) > 0
-    widths = chunk_widths(np.bincount(lengths, minlength=33))
+    widths = chunk_widths(bit_lengths(rest))
     parts, counts = [], []
     for level, width in enumerate(widths):
         counts.append(len(rest))
-        parts.append(aligned(packed(rest, width) + b"\0\0\0\0"))
+        parts.append(aligned(packed(rest, width) + b"\0"))
         if level == len(widths) - 1:
             break
         rest = rest >> np.uint32(width)
@@ -112,7 +134,7 @@ class Shard:
         self.unnamed = self._take(np.uint8, self.n_docs).astype(bool)
         self.chunks, self.bitmaps, self.directories = [], [], []
         for level, (width, count) in enumerate(zip(self.widths, self.counts, strict=True)):
-            self.chunks.append(self._take(np.uint8, -(-count * width // 8) + 4))
+            self.chunks.append(self._take(np.uint8, -(-count // 8) * width + 1))
             if level < levels - 1:
                 blocks = -(-count // BLOCK)
                 self.bitmaps.append(self._take("<u8", blocks * BLOCK // WORD_BITS))
@@ -127,11 +149,13 @@ class Shard:
         width, raw = self.widths[level], self.chunks[level]
         bit = at * width
         byte = bit >> 3
-        window = raw[byte].astype(np.uint32)
-        for i in range(1, (width + 14) // 8):
-            window |= raw[byte + i].astype(np.uint32) << np.uint32(8 * i)
+        window = raw[byte].astype(np.uint32) | raw[byte + 1].astype(np.uint32) << np.uint32(8)
         return (window >> (bit & 7).astype(np.uint32)) & np.uint32((1 << width) - 1)
 
+    def _run(self, level: int, a: int, b: int) -> np.ndarray:
+        width, first = self.widths[level], a // 8
+        return unpacked(self.chunks[level][first * width : -(-b // 8) * width], width)[a - 8 * first : b - 8 * first]
+
     def _rank(self, level: int, at: np.ndarray) -> np.ndarray:
         """Set bits before each place: the directory's entry and the words of its block."""
         words, word = self.bitmaps[level], at // WORD_BITS
@@ -159,7 +183,27 @@ class Shard:
         return out
 
     def between(self, start: int, stop: int) -> np.ndarray:
-        return np.concatenate([np.zeros(0, dtype=np.uint32), *(self.ids(np.arange(a, min(a + STEP, stop))) for a in range(start, stop, STEP))])
+        """A run of ids: what belongs to it is a run in every level, so only its ends are ranked."""
+        parts = [np.zeros(0, dtype=np.uint32)]
+        for first in range(start, stop, STEP):
+            a, b, shift, rows = first, min(first + STEP, stop), 0, None
+            for level, width in enumerate(self.widths):
+                chunk = self._run(level, a, b)
+                if rows is None:
+                    rows, out = np.arange(b - a), chunk
+                else:
+                    out[rows] |= chunk << np.uint32(shift)
+                if level == len(self.widths) - 1:
+                    break
+                byte = a // 8
+                more = np.unpackbits(self.bitmaps[level].view(np.uint8)[byte : -(-b // 8)], bitorder="little")[a - 8 * byte : b - 8 * byte].astype(bool)
+                rows, shift = rows[more], shift + width
+                if not len(rows):
+                    break
+                a = int(self._rank(level, np.array([a]))[0])
+                b = a + len(rows)
+            parts.append(out)
+        return np.concatenate(parts)
 
     def document(self, i: int) -> np.ndarray:
         return self.between(int(self.ends[i - 1]) if i else 0, int(self.ends[i]))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from headway.llm.queries import QUERIES
-from headway.llm.tokenfiles import BLOCK, CLOSING, Shard, chunk_widths, encode_shard, packed, read_documents, token_output, write_tokens
+from headway.llm.tokenfiles import BLOCK, CLOSING, MORE_LEVELS, WIDEST, Shard, chunk_widths, encode_shard, packed, read_documents, token_output, write_tokens
 from tests.llm.cases import SCHEMA, documents
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -62,8 +62,9 @@ def test_cheapest_widths():
     for _ in range(30):
         counts = np.concatenate([rng.integers(0, 1000, 9) * rng.integers(0, 2, 9), [5]])
         best = chunk_widths(counts)
-        assert sum(best) == 9
-        assert bits(best, counts) == pytest.approx(min(bits(s, counts) for s in splits(9)))
+        assert sum(best) == 9 and max(best) <= WIDEST
+        allowed = [s for s in splits(9) if max(s) <= WIDEST and len(s) <= 2 + MORE_LEVELS]
+        assert bits(best, counts) == pytest.approx(min(bits(s, counts) for s in allowed))
 
 
 def test_packing_in_steps(monkeypatch):
