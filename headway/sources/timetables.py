@@ -214,8 +214,8 @@ def route_links(docs: DataFrame) -> DataFrame:
     )
 
 
-def routes(docs: DataFrame) -> DataFrame:
-    """Routes and their sections in order; references to no section are skipped."""
+def routes(docs: DataFrame, check: bool = True) -> DataFrame:
+    """Routes and their sections in order; references to no section are skipped (unless the caller does so)."""
     known = F.transform(
         F.coalesce(F.col("RouteSections.RouteSection"), F.array()), lambda s: s["_id"]
     )
@@ -225,7 +225,7 @@ def routes(docs: DataFrame) -> DataFrame:
         "route_pos",
         F.col("e._id").alias("route_id"),
         F.coalesce(_text(F.col("e.Description")), F.lit(NO_DESCRIPTION)).alias("description"),
-        F.filter("e.RouteSectionRef", lambda r: F.array_contains(F.col("known"), r)).alias("section_refs"),
+        (F.filter("e.RouteSectionRef", lambda r: F.array_contains(F.col("known"), r)) if check else F.col("e.RouteSectionRef")).alias("section_refs"),
     )
 
 
