@@ -21,6 +21,7 @@ from headway.rules.runner import (
     count,
     each,
     has_text,
+    numbered,
     present,
     violation_rows,
 )
@@ -200,6 +201,21 @@ ROW_SETS = {
 }
 
 
+# Rows that rules with joins count.
+TABLE_ROWS = {
+    "holiday_elements": lambda: _holiday_elements(),
+    "line_groups": lambda: _line_groups(),
+    "stops": lambda: F.col("StopPoints.StopPoint"),
+}
+
+# Row sets that look at one item of a long section at a time; the others need what
+# the skeleton of a large file holds.
+OF_ITEMS = {
+    "routes", "weekday_elements", "day_shifts", "mappings", "timing_links", "link_sections", "layovers", "route_links",
+    "journey_interchanges", "referring_journeys", "link_starts", "link_ends", "journeys", "journey_links",
+}
+
+
 def service_type() -> Column:
     """A file is flexible with a flexible classification or a flexible part."""
     flexible = F.exists(
@@ -445,11 +461,11 @@ def observations(today: Column) -> list[Observation]:
 
 
 def _journey_table(docs: DataFrame) -> DataFrame:
-    return docs.select("file_id", F.posexplode(_journeys()).alias("ordinal", "v"))
+    return numbered(docs, _journeys(), "v")
 
 
 def _pattern_table(docs: DataFrame) -> DataFrame:
-    return docs.select("file_id", F.posexplode(_patterns()).alias("ordinal", "p"))
+    return numbered(docs, _patterns(), "p")
 
 
 def destination_display(docs: DataFrame, **_: DataFrame) -> DataFrame:
@@ -484,7 +500,7 @@ def destination_display(docs: DataFrame, **_: DataFrame) -> DataFrame:
     bad = patterns.join(undisplayed_journey, ["file_id", "jp_id"], "left_semi").join(
         undisplayed_section, ["file_id", "ordinal"], "left_semi"
     )
-    return violation_rows(bad, 47, "Vehicle journeys", "9.1", "JourneyPattern")
+    return violation_rows(bad, 47, "Vehicle journeys", "9.1", "JourneyPattern", "patterns")
 
 
 def run_time(docs: DataFrame, **_: DataFrame) -> DataFrame:
@@ -500,22 +516,17 @@ def run_time(docs: DataFrame, **_: DataFrame) -> DataFrame:
             F.col("l.From").isNotNull() | F.col("l.To").isNotNull(), F.struct("ordinal", "pos")
         ).alias("has_ends")
     )
-    links = docs.select("file_id", F.posexplode(_links()).alias("ordinal", "l"))
+    links = numbered(docs, _links(), "l")
     time_part = F.regexp_replace("l.RunTime", r"^(-?P)[^T]*", "$1")
     bad = (
         links.where(duration_seconds(time_part) != 0)
         .select("file_id", "ordinal", F.col("l._id").alias("link_id"))
         .join(last.where("has_ends"), ["file_id", "link_id"])
     )
-    return violation_rows(bad, 34, "Journey timings on standard services", "8.1", "JourneyPatternTimingLink")
+    return violation_rows(bad, 34, "Journey timings on standard services", "8.1", "JourneyPatternTimingLink", "timing_links")
 
 
-def bank_holidays(docs: DataFrame, regions: DataFrame | None = None, **_: DataFrame) -> DataFrame:
-    """Bank holidays named once each, and exactly the nation's list.
-
-    ``regions(service_ref, is_scottish)`` tells which services are Scottish
-    only; without it all count as English.
-    """
+def _holiday_elements() -> Column:
     def rows(owner: Column, ref: str) -> Column:
         return F.flatten(F.transform(owner, lambda o: F.coalesce(F.transform(
             o["OperatingProfile"]["BankHolidayOperation"],
@@ -525,10 +536,18 @@ def bank_holidays(docs: DataFrame, regions: DataFrame | None = None, **_: DataFr
             ),
         ), F.array().cast("array<struct<service_ref:string,names:array<string>>>"))))
 
-    elements = F.concat(
+    return F.concat(
         rows(_services(), "ServiceCode"), rows(_journeys(), "ServiceRef"), rows(_flexible_journeys(), "ServiceRef")
     )
-    table = docs.select("file_id", F.posexplode(elements).alias("ordinal", "h")).select(
+
+
+def bank_holidays(docs: DataFrame, regions: DataFrame | None = None, **_: DataFrame) -> DataFrame:
+    """Bank holidays named once each, and exactly the nation's list.
+
+    ``regions(service_ref, is_scottish)`` tells which services are Scottish
+    only; without it all count as English.
+    """
+    table = numbered(docs, _holiday_elements(), "h").select(
         "file_id",
         "ordinal",
         "h.service_ref",
@@ -547,7 +566,7 @@ def bank_holidays(docs: DataFrame, regions: DataFrame | None = None, **_: DataFr
     scottish = equals(HOLIDAYS_COMMON + HOLIDAYS_SCOTTISH, HOLIDAYS_ENGLISH)
     once = F.size(F.array_distinct("names")) == F.size("names")
     right = F.when(F.coalesce("is_scottish", F.lit(False)), scottish).otherwise(english)
-    return violation_rows(table.where(~(once & right)), 43, "Vehicle journeys", "9.3.5", "BankHolidayOperation")
+    return violation_rows(table.where(~(once & right)), 43, "Vehicle journeys", "9.3.5", "BankHolidayOperation", "holiday_elements")
 
 
 def unrelated_lines(line_patterns: DataFrame, line_features: DataFrame, lines: DataFrame) -> DataFrame:
@@ -600,13 +619,22 @@ def unrelated_lines(line_patterns: DataFrame, line_features: DataFrame, lines: D
     return many.join(related, "file_id", "left_anti")
 
 
+def _line_groups() -> Column:
+    return F.filter(F.transform(_services(), lambda s: s["Lines"]), lambda l: l.isNotNull())
+
+
 def lines_related(docs: DataFrame, stops: DataFrame | None = None, **_: DataFrame) -> DataFrame:
     """The lines of a file are related. ``stops(atco_code, stop_areas)`` is the register.
 
     Files with one line pass, so only the others are read. The two bridges are
     used several times over and are small next to the documents: staged.
     """
-    docs = docs.where(F.size(each(_services(), lambda s: s["Lines"]["Line"])) > 1)
+    lines_of = F.size(each(_services(), lambda s: s["Lines"]["Line"]))
+    if "place" in docs.columns:
+        several = docs.groupBy("file_id").agg(F.sum(lines_of).alias("n")).where("n > 1")
+        docs = docs.join(several, "file_id", "left_semi")
+    else:
+        docs = docs.where(lines_of > 1)
     lines = src.lines(docs).select("file_id", "line_id")
     journeys = src.vehicle_journeys(docs)
     patterns = journey_reference_chain(journeys)
@@ -658,10 +686,8 @@ def lines_related(docs: DataFrame, stops: DataFrame | None = None, **_: DataFram
             line_stops.join(areas, ["file_id", "stop_ref"]).select("file_id", "line_id", "feature")
         )
     bad = unrelated_lines(line_patterns, staged(features.distinct()), lines)
-    groups = docs.select("file_id", F.posexplode(F.filter(
-        F.transform(_services(), lambda s: s["Lines"]), lambda l: l.isNotNull()
-    )).alias("ordinal", "l"))
-    return violation_rows(groups.join(bad, "file_id", "left_semi"), 23, "Services and Lines", "5.4", "Lines")
+    groups = numbered(docs, _line_groups(), "l")
+    return violation_rows(groups.join(bad, "file_id", "left_semi"), 23, "Services and Lines", "5.4", "Lines", "line_groups")
 
 
 def two_month_stops(docs: DataFrame, **_: DataFrame) -> DataFrame:
@@ -671,7 +697,7 @@ def two_month_stops(docs: DataFrame, **_: DataFrame) -> DataFrame:
     only) to journeys to the dates of their profiles; the first service's
     period stands in for missing dates. No dates at all fails, no profile passes.
     """
-    stop = docs.select("file_id", F.posexplode("StopPoints.StopPoint").alias("ordinal", "s")).select(
+    stop = numbered(docs, F.col("StopPoints.StopPoint"), "s").select(
         "file_id", "ordinal", F.coalesce("s.AtcoCode", F.lit("")).alias("stop_ref")
     )
     route_links = src.route_links(docs).select(
@@ -687,7 +713,7 @@ def two_month_stops(docs: DataFrame, **_: DataFrame) -> DataFrame:
         F.col("p._id").alias("jp_id"),
         F.get(F.col("p.JourneyPatternSectionRefs"), F.lit(0)).alias("section_id"),
     )
-    modes = docs.select("file_id", F.posexplode(_services()).alias("service_pos", "s"))
+    modes = numbered(docs, _services(), "s").withColumnRenamed("ordinal", "service_pos")
     coach = modes.groupBy("file_id", F.col("s.ServiceCode").alias("service_ref")).agg(
         F.min_by(F.lower(F.coalesce("s.Mode", F.lit(""))), "service_pos").alias("mode")
     ).where("mode = 'coach'")
@@ -729,13 +755,15 @@ def two_month_stops(docs: DataFrame, **_: DataFrame) -> DataFrame:
     bad_links = links.join(sections, ["file_id", "section_id"], "left_semi").select("file_id", "route_link")
     bad_stops = route_links.join(bad_links, ["file_id", "route_link"], "left_semi").select("file_id", "stop_ref")
     bad = stop.join(bad_stops, ["file_id", "stop_ref"], "left_semi")
-    return violation_rows(bad, 28, "Stop points and stop areas", "6", "StopPoint")
+    return violation_rows(bad, 28, "Stop points and stop areas", "6", "StopPoint", "stops")
 
 
 def flexible_stop_refs(docs: DataFrame, stops: DataFrame | None = None, **_: DataFrame) -> DataFrame:
     """Every flexible stop of a flexible pattern is a flexible bus stop of the register."""
     flexible = docs.where(service_type() == FLEXIBLE)
-    refs = flexible.select("file_id", F.posexplode(_flexible_patterns()).alias("ordinal", "p")).select(
+    if "place" in docs.columns:
+        flexible = docs.join(flexible.select("file_id").distinct(), "file_id", "left_semi")
+    refs = numbered(flexible, _flexible_patterns(), "p").select(
         "file_id",
         "ordinal",
         F.explode(
@@ -750,7 +778,7 @@ def flexible_stop_refs(docs: DataFrame, stops: DataFrame | None = None, **_: Dat
         known = stops.where("stop_type = 'BCT' and bus_stop_type = 'FLX'").select("atco_code")
     wanted = wanted.join(known, "atco_code", "left_anti")
     bad = wanted.select("file_id", "ordinal").distinct()
-    return violation_rows(bad, 125, "Flexible Service", "10", "FlexibleJourneyPattern")
+    return violation_rows(bad, 125, "Flexible Service", "10", "FlexibleJourneyPattern", "flexible_patterns")
 
 
 TABLE_RULES = [
@@ -763,10 +791,12 @@ TABLE_RULES = [
 ]
 
 
-def catalogue(today: Column | None = None, table_rules: bool = True) -> Catalogue:
+def catalogue(today: Column | None = None, table_rules: bool = True, row_sets: set[str] | None = None) -> Catalogue:
+    """All observations, or those of some row sets."""
     made = Catalogue(ROW_SETS)
     for observation in observations(today if today is not None else F.current_date()):
-        made.add(observation)
+        if row_sets is None or observation.row_set in row_sets:
+            made.add(observation)
     if table_rules:
         for rule in TABLE_RULES:
             made.add_table_rule(rule)
