@@ -4,6 +4,7 @@ from headway.plans import (  # noqa: F401
     q_calendar,
     q_documents,
     q_jobs,
+    q_large,
     q_lifecycle,
     q_rollup,
     q_timetable,
