@@ -13,10 +13,18 @@ from pyspark.sql import functions as F
 from headway.functions.text import has_path_separator
 
 
-def latest_by_name(files: DataFrame, keys: Sequence[str] = ("revision_id", "filename")) -> DataFrame:
-    """Per revision and file name the row with the highest id."""
-    latest = files.groupBy(*keys).agg(F.max("id").alias("id"))
-    return files.join(latest.select("id"), "id", "left_semi")
+def latest_by_name(files: DataFrame, keys: Sequence[str] = ("revision_id", "filename"), order: Sequence[str] = ("id",)) -> DataFrame:
+    """Per revision and file name the row that comes last in ``order``.
+
+    Later columns decide where earlier ones are equal; a null comes before all
+    values. A null name is a name. ``order`` should end in a column that tells rows
+    apart; rows equal in all of it stay together.
+    """
+    place = F.struct(*[F.struct(F.col(c).isNotNull().alias(f"has_{i}"), F.col(c).alias(f"v_{i}")) for i, c in enumerate(order)])
+    last = files.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.max(place).alias("_last"))
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    joined = files.join(last, reduce(and_, same))
+    return joined.where(place == F.col("_last")).drop(*[f"_key_{k}" for k in keys], "_last")
 
 
 def supersession(

@@ -28,6 +28,9 @@ from headway.sources import timetables as src
 from headway.sources.admission import admit_sections
 
 STOP_COLUMNS = ("atco_code", "id", "common_name", "lon", "lat", "locality_id", "admin_area_id")
+# Which of two files of one name in a revision is the later one: by the number or
+# time the caller gives with the documents, else by what the files say of themselves.
+UPLOAD_ORDER = ("modification_datetime", "creation_datetime", "revision_number", "file_id")
 MEASURES = ("num_stops", "journey_patterns", "vehicle_journeys")
 
 
@@ -120,8 +123,12 @@ class TimetableJob(Mapping[str, DataFrame]):
         attributes = rollup.file_attributes(s["metadata"], s["services"], s["lines"], s["operators"]).join(files, "file_id")
         if self.violations is not None:
             attributes = attributes.join(self.violations.select("file_id").distinct(), "file_id", "left_anti")
-        named = life.latest_by_name(attributes.withColumn("id", F.col("file_id"))).drop("id")
-        return staged(life.supersession(named))
+        order = UPLOAD_ORDER
+        if "upload_order" in self.documents.columns:
+            attributes = attributes.join(self.documents.select("file_id", "upload_order"), "file_id")
+            order = ("upload_order", *order)
+        named = life.latest_by_name(attributes, order=order)
+        return staged(life.supersession(named).drop("upload_order"))
 
     def live(self, name: str) -> DataFrame:
         return self.sections[name].join(self.flagged.where("not superseded").select("file_id"), "file_id", "left_semi")
@@ -134,6 +141,16 @@ class TimetableJob(Mapping[str, DataFrame]):
     def resolved(self) -> DataFrame:
         return res.resolve_stops(self.live("stop_points"), self.references.stops)
 
+    @cached_property
+    def stop_rows(self) -> DataFrame:
+        """One row per stop of a file. Where a file names a stop several times, a full
+        description counts before a reference, and of equals the least by id, name and
+        place: the same row for all tables."""
+        fields = ("naptan_stop_id", "common_name", "lon", "lat")
+        rank = F.when(F.col("source") == "document", 0).when(F.col("source") == "register", 1).otherwise(2).alias("rank")
+        first = F.min(F.struct(rank, *fields)).alias("s")
+        return staged(self.resolved.groupBy("file_id", "atco_code").agg(first).select("file_id", "atco_code", *[f"s.{c}" for c in fields]))
+
     @cached_property
     def sequence(self) -> DataFrame:
         return staged(seq.stop_sequence(self.links, res.placeholders(self.resolved)))
@@ -206,12 +223,12 @@ class TimetableJob(Mapping[str, DataFrame]):
         rows = seq.stop_times(
             self.live("vehicle_journeys"), self.live("journey_patterns"), self.live("timing_links"), self.live("vj_links"), links=self.links
         )
-        stops = self.resolved.select("file_id", "atco_code", "naptan_stop_id", "common_name").dropDuplicates(["file_id", "atco_code"])
+        stops = self.stop_rows.select("file_id", "atco_code", "naptan_stop_id", "common_name")
         patterns = self.bridge.select("file_id", "jp_id", "service_pattern_id")
         return rows.join(patterns, ["file_id", "jp_id"], "left").join(stops, ["file_id", "atco_code"], "left")
 
     def _metadata(self) -> DataFrame:
-        names = self.resolved.groupBy("file_id", "atco_code").agg(F.max("common_name").alias("name"))
+        names = self.stop_rows.select("file_id", "atco_code", F.col("common_name").alias("name"))
         ends = self.sequence.groupBy("file_id", "jp_id").agg(
             F.min_by("stop_ref", "pos").alias("first_stop"), F.max_by("stop_ref", "pos").alias("last_stop")
         )
@@ -229,7 +246,7 @@ class TimetableJob(Mapping[str, DataFrame]):
 
     def _geometry(self) -> DataFrame:
         """Line of each service pattern: its tracks where all pairs have one, else its stops."""
-        spots = self.resolved.select("file_id", F.col("atco_code").alias("stop_ref"), "lon", "lat").dropDuplicates(["file_id", "stop_ref"])
+        spots = self.stop_rows.select("file_id", F.col("atco_code").alias("stop_ref"), "lon", "lat")
         along_stops = trk.pattern_line(self.sequence.join(spots, ["file_id", "stop_ref"]).withColumn("k", F.lit(0)))
         enough = trk.sufficient_tracks(self.pairs, self.tracks).where("sufficient")
         along_tracks = trk.pattern_geometry(self.pairs.join(enough, ["file_id", "jp_id"], "left_semi"), self.tracks, trk.SNAP_METRES)
@@ -241,7 +258,7 @@ class TimetableJob(Mapping[str, DataFrame]):
         )
 
     def _distances(self) -> DataFrame:
-        spots = self.resolved.select("file_id", "atco_code", "lon", "lat").dropDuplicates(["file_id", "atco_code"])
+        spots = self.stop_rows.select("file_id", "atco_code", "lon", "lat")
         found = trk.pattern_distance(self.pairs, self.tracks, spots, self.references.routed)
         return self.representatives.join(found, ["file_id", "jp_id"]).select("file_id", "service_pattern_id", *[c for c in found.columns if c not in ("file_id", "jp_id")])
 
@@ -260,7 +277,9 @@ def process(
     """Output tables by name. Files named in ``violations`` are left out.
 
     ``documents`` are staged ones, with ``file_id`` and, where there is more than
-    one upload, ``revision_id`` and ``dataset_id``. Of files too large for one row,
+    one upload, ``revision_id`` and ``dataset_id``. With an ``upload_order`` (a number or a
+    time) the last of several files of one name counts; without one the file last
+    modified does. Of files too large for one row,
     ``sections`` (``headway.sources.large.large_sections``) are read instead, and
     ``documents`` need those ids only.
     """

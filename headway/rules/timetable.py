@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.text import (
@@ -574,10 +574,11 @@ def unrelated_lines(line_patterns: DataFrame, line_features: DataFrame, lines: D
 
     Related means: every two lines share a journey pattern, or every two lines
     that have any share a feature (stop, stop area or locality). A pattern or
-    feature common to all lines settles a file at once; only the others have
-    their connected pairs counted against n(n-1)/2, over the distinct sets of
-    lines that share a feature. Rows of both bridges are
-    distinct.
+    feature common to all lines settles a file at once. For the others each
+    feature's lines are a bitmap, and a line's are the union of those of its
+    features: the lines it is connected with. All are related if every union is
+    full. No pair of lines is ever a row; features with equal bitmaps are
+    one. Rows of both bridges are distinct.
     """
     total = lines.select("file_id", "line_id").distinct().groupBy("file_id").agg(
         F.count(F.lit(1)).alias("n")
@@ -585,29 +586,37 @@ def unrelated_lines(line_patterns: DataFrame, line_features: DataFrame, lines: D
     many = lines.groupBy("file_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("file_id")
 
     def connected(bridge: DataFrame, feature: str, size: DataFrame) -> DataFrame:
-        rows = bridge.select("file_id", "line_id", feature)
-        spread = rows.groupBy("file_id", feature).agg(F.count(F.lit(1)).alias("k")).join(size, "file_id")
+        rows = bridge.select("file_id", "line_id", F.col(feature).alias("feature"))
+        spread = rows.groupBy("file_id", "feature").agg(F.count(F.lit(1)).alias("k")).join(size, "file_id")
         common = spread.where("k = n").select("file_id").distinct()
-        # Features that the same lines share say the same: one row per set of lines.
+        open_ = rows.join(common, "file_id", "left_anti")
+        place = F.row_number().over(Window.partitionBy("file_id").orderBy("line_id")) - 1
+        numbers = open_.select("file_id", "line_id").distinct().withColumn("place", place)
+        bits = (
+            open_.join(numbers, ["file_id", "line_id"])
+            .groupBy("file_id", "feature", F.floor(F.col("place") / 64).alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits"))
+        )
         sets = (
-            rows.join(common, "file_id", "left_anti")
-            .groupBy("file_id", feature)
-            .agg(F.array_sort(F.collect_set("line_id")).alias("lines"))
-            .where(F.size("lines") > 1)
-            .select("file_id", "lines")
-            .distinct()
+            bits.groupBy("file_id", "feature")
+            .agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("set"))
+            .groupBy("file_id", "set")
+            .agg(F.min("feature").alias("feature"))
         )
-        pairs = (
-            sets.select("file_id", "lines", F.explode("lines").alias("a"))
-            .select("file_id", "a", F.explode(F.filter("lines", lambda b: b > F.col("a"))).alias("b"))
-            .distinct()
-            .groupBy("file_id")
-            .agg(F.count(F.lit(1)).alias("pairs"))
+        words = sets.select("file_id", "feature", F.inline("set"))
+        full = (
+            open_.join(words, ["file_id", "feature"])
+            .groupBy("file_id", "line_id", "word")
+            .agg(F.bit_or("bits").alias("bits"))
+            .groupBy("file_id", "line_id")
+            .agg(F.sum(F.bit_count("bits")).alias("reached"))
             .join(size, "file_id")
-            .where(F.col("pairs") == F.col("n") * (F.col("n") - 1) / 2)
+            .groupBy("file_id")
+            .agg((F.count_if(F.col("reached") == F.col("n")) == F.max("n")).alias("full"))
+            .where("full")
             .select("file_id")
         )
-        return common.unionByName(pairs)
+        return common.unionByName(full)
 
     by_pattern = connected(line_patterns, "jp_ref", total)
     mapped = line_patterns.select("file_id", "line_id").distinct().groupBy("file_id").agg(

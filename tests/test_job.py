@@ -77,6 +77,34 @@ def test_revisions_do_not_supersede_each_other(job):
     assert rows(job.by_revision("service_patterns"), "file_id", "revision_id", "dataset_id") == [(1, 10, 100), (2, 20, 200), (5, 10, 100)]
 
 
+def test_the_later_upload_of_a_name_counts(spark):
+    """By the order the caller gives, whatever the ids; without one by what the files say."""
+    same = timetable(9, "same.xml")
+    older = same.replace("<TransXChange", '<TransXChange ModificationDateTime="2024-01-01T00:00:00"')
+    newer = same.replace("<TransXChange", '<TransXChange ModificationDateTime="2024-02-01T00:00:00"')
+    uploads = [(9, 1, 3, older), (2, 1, 5, older), (7, 1, None, newer), (4, 2, 1, older), (5, 2, 2, older), (6, 3, 1, older)]
+    read = docs.parse_timetables(spark.createDataFrame(uploads, "file_id long, revision_id long, upload_order long, text string"))
+    stops = spark.createDataFrame([], "atco_code string, id int, common_name string, lon double, lat double, locality_id string, admin_area_id int")
+    holidays = spark.createDataFrame([], "txc_element string, date date, division string")
+    given = process(read, References(stops, holidays))["file_attributes"]
+    assert rows(given, "file_id") == [(2,), (5,), (6,)] and "upload_order" not in given.columns
+    stated = process(read.drop("upload_order"), References(stops, holidays))["file_attributes"]
+    assert rows(stated, "file_id") == [(5,), (6,), (7,)]
+
+
+def test_one_row_per_stop_for_all_tables(spark):
+    text = timetable(1, "a.xml").replace(
+        "<StopPoints>", "<StopPoints><AnnotatedStopPointRef><StopPointRef>A</StopPointRef><CommonName>Another</CommonName></AnnotatedStopPointRef>"
+        "<StopPoint><AtcoCode>B</AtcoCode><Descriptor><CommonName>Own B</CommonName></Descriptor><Place><NptgLocalityRef>E</NptgLocalityRef><Location>"
+        "<Translation><Longitude>-3</Longitude><Latitude>50</Latitude></Translation></Location></Place><StopClassification><StopType>BCT</StopType></StopClassification>"
+        "<AdministrativeAreaRef>1</AdministrativeAreaRef></StopPoint>")
+    read = docs.parse_timetables(spark.createDataFrame([(1, text)], "file_id long, text string"))
+    stops = spark.createDataFrame([], "atco_code string, id int, common_name string, lon double, lat double, locality_id string, admin_area_id int")
+    made = process(read, References(stops, spark.createDataFrame([], "txc_element string, date date, division string")))
+    assert rows(made["stop_times"], "atco_code", "common_name") == [("A", "Another"), ("B", "Own B"), ("C", "Stop C")]
+    assert (made["pattern_metadata"].first().origin, made["pattern_metadata"].first().destination) == ("Another", "Stop C")
+
+
 def test_pattern_ids_and_their_tables(job):
     bridge = job["service_patterns"]
     assert bridge.select("service_pattern_id").distinct().count() == bridge.count() == 3

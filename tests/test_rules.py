@@ -1,4 +1,7 @@
+import random
+
 import pytest
+
 from pyspark.sql import functions as F
 
 from headway.rules.fares import fares_violations
@@ -123,6 +126,40 @@ def test_related_lines(spark):
     assert related(spark, 3, own[:2], [("L0", "x"), ("L1", "x")])
 
 
+def test_related_lines_equal_plain_pairs(spark):
+    """Files with up to 150 lines, so that bitmaps have several words."""
+    rng = random.Random(2)
+    lines, patterns, features, want = [], [], [], set()
+    for f in range(40):
+        n = rng.choice([1, 2, 3, 5, 64, 65, 150])
+        names = [f"L{i}" for i in range(n)]
+        lines += [(f, x) for x in names]
+        own = [(x, f"p{i}") for i, x in enumerate(names)]
+        sets = [set(rng.sample(names, max(1, n - rng.randrange(min(n, 4))))) for _ in range(rng.choice([2, 4, 12]))] if rng.random() < 0.8 else []
+        if rng.random() < 0.3:
+            sets.append({names[0]})
+        patterns += [(f, *p) for p in own]
+        features += [(f, x, f"s{i}") for i, s in enumerate(sets) for x in s]
+        by_feature = all(any(a in s and b in s for s in sets) for a in names for b in names)
+        if n > 1 and not by_feature:
+            want.add(f)
+    frames = [spark.createDataFrame(x, f"{LINES}{c}") for x, c in ((patterns, ", jp_ref string"), (features, ", feature string"), (lines, ""))]
+    got = {r.file_id for r in unrelated_lines(*frames).collect()}
+    assert want and len(want) < 40 and got == want
+
+
+def test_many_lines_on_many_stops(spark):
+    """2,000 lines on 500 stops, every two of them on some stop: no row is a pair."""
+    lines = spark.range(2000).select(F.lit(1).alias("file_id"), F.concat(F.lit("L"), "id").alias("line_id"))
+    patterns = lines.withColumn("jp_ref", F.concat(F.lit("p"), "line_id"))
+    # Stop s serves all lines but every fifth from s on, so no stop serves all.
+    served = spark.range(2000).crossJoin(spark.range(500).withColumnRenamed("id", "s")).where("(id + s) % 5 <> 0")
+    features = served.select(F.lit(1).alias("file_id"), F.concat(F.lit("L"), "id").alias("line_id"), F.concat(F.lit("s"), "s").alias("feature"))
+    assert unrelated_lines(patterns, features, lines).count() == 0
+    alone = features.where("line_id <> 'L7'").unionByName(spark.createDataFrame([(1, "L7", "far")], features.schema))
+    assert unrelated_lines(patterns, alone, lines).count() == 1
+
+
 def test_catalogue_size():
     made = catalogue()
     assert len(made.observations) + len(made.table_rules) == 58
@@ -132,7 +169,7 @@ def test_own_rules(spark):
     """Users add tests and table rules of their own."""
     made = Catalogue({"codes": lambda: F.col("codes")})
     made.add(Observation(900, "Own", "1", "codes", "Code", [lambda c: F.length(c) == 2]))
-    made.add_table_rule(lambda d, **_: violation_rows(d.where("size(codes) > 2").select("file_id", F.lit(0).alias("ordinal")), 901, "Own", "2", "File"))
+    made.add_table_rule(lambda d, **_: violation_rows(d.where("size(codes) > 2").select("file_id", F.lit(0).alias("ordinal")), 901, "Own", "2", "File", "files"))
     df = spark.createDataFrame([(1, ["ab", "c"]), (2, ["ab", "cd", "ef"])], "file_id int, codes array<string>")
     assert rows(made.run(df), "file_id", "observation", "ordinal") == [(1, 900, 1), (2, 901, 0)]
 
