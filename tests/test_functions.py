@@ -1,4 +1,5 @@
 import math
+import math
 import random
 
 import pytest
@@ -146,11 +147,36 @@ def test_segment_length_against_iteration(spark):
     rng = random.Random(7)
     cases = [(rng.uniform(-6, 2), rng.uniform(49, 60)) for _ in range(200)]
     data = [(x, y, x + rng.uniform(-0.3, 0.3), y + rng.uniform(-0.2, 0.2)) for x, y in cases]
+    data += [(rng.uniform(-180, 180), rng.uniform(-85, 85), rng.uniform(-180, 180), rng.uniform(-60, 60)) for _ in range(100)]
+    data = [d for d in data if abs(abs(d[0] - d[2]) - 180) > 5]
     df = spark.createDataFrame(data, "a double, b double, c double, d double")
     got = df.select("a", "b", "c", "d", geo.segment_length(*[F.col(x) for x in "abcd"]).alias("m")).collect()
     for r in got:
-        want = vincenty(r.a, r.b, r.c, r.d)
-        assert abs(r.m - want) <= max(1e-5 * want, 1e-3)
+        assert abs(r.m - vincenty(r.a, r.b, r.c, r.d)) <= 1e-4
+
+
+def test_published_lines(spark):
+    """Lines whose lengths are published, to a millimetre; opposite points by the meridian."""
+    degrees = lambda d, m, s: (abs(d) + m / 60 + s / 3600) * (1 if d > 0 else -1)
+    half = 20003931.4586
+    lines = [
+        ((-73.8, 40.6, -0.5, 51.6), 5551759.4003),
+        ((degrees(144, 25, 29.52440), degrees(-37, 57, 3.72030), degrees(143, 55, 35.38390), degrees(-37, 39, 10.15610)), 54972.271),
+        ((0.0, 0.0, 0.0, 90.0), half / 2),
+        ((0.0, 0.0, 90.0, 0.0), 6378137.0 * math.pi / 2),
+        ((10.0, 30.0, -170.0, -30.0), half),
+        ((10.0, 0.0, -170.0, 0.0), half),
+        ((10.0, 90.0, 50.0, -90.0), half),
+        ((179.9, 10.0, -179.9, 10.0), None),
+        ((5.0, 52.0, 5.0, 52.0), 0.0),
+        ((7.0, 90.0, 99.0, 90.0), 0.0),
+    ]
+    df = spark.createDataFrame([(i, *x) for i, (x, _) in enumerate(lines)], "i int, a double, b double, c double, d double")
+    got = {r.i: r.m for r in df.select("i", geo.segment_length(*[F.col(x) for x in "abcd"]).alias("m")).collect()}
+    for i, (x, want) in enumerate(lines):
+        assert abs(got[i] - (vincenty(-0.1, 10.0, 0.1, 10.0) if want is None else want)) < 1e-3, (x, got[i])
+    odd = spark.createDataFrame([(None, 1.0), (float("nan"), 1.0)], "a double, b double")
+    assert [r.m for r in odd.select(geo.segment_length(F.col("a"), F.col("b"), F.lit(0.0), F.lit(0.0)).alias("m")).collect()] == [None, None]
 
 
 def test_haversine_known_value(spark):
