@@ -32,14 +32,14 @@ def folded_words(text: bytes) -> list[bytes]:
 class Phrases:
     """Distinct windows of a block of items, and the items each belongs to."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         self.vocabulary: dict[bytes, int] = {}
         windows: dict[tuple[int, ...], set[str]] = {}
         for item, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in folded_words(text)]
             size = min(window, len(ids))
             for i in range(len(ids) - size + 1 if size else 0):
-                windows.setdefault(tuple(ids[i : i + size]), set()).add(item)
+                windows.setdefault(tuple(ids[i : i + size]), set()).update([] if item is None else [item])
         self.items = list(windows.values())
         self.sizes = np.array([len(w) for w in windows], dtype=np.int64)
         self.words = np.zeros((len(windows), window), dtype=np.int64)
@@ -176,14 +176,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
     staged every ``blocks_per_pass`` blocks. Documents are indexed in slices of
     a few megabytes, a longer text alone, and are never shuffled.
 
-    Null and empty texts have no words; items without an id or without words
-    are left out, items that repeat count once per id; repeated documents get
-    equal results; columns of ``docs`` named like new ones are replaced.
+    Null and empty texts have no words; items without words are left out; an item
+    without an id is searched for like others, but has no place in the list of
+    ids; items that repeat count once per id; repeated documents get equal
+    results; columns of ``docs`` named like new ones are replaced. Without items
+    nothing is found; an empty table of documents stays one.
     """
     spark = docs.sparkSession
-    usable = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(
+    usable = items.where(F.col(item_text).isNotNull()).select(
         F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("binary").alias("text")
-    )
+    ).distinct()
     volume = usable.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(volume / block_bytes))
     (left,) = unused(docs, "_left")

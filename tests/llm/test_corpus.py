@@ -147,6 +147,23 @@ def test_repeats_awkward_rows(spark):
     assert remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_texts_without_an_id_keep_their_own_words(spark):
+    """Rows without an id share one place in the order; each text is a document of its own."""
+    shared = " ".join(f"s{i}" for i in range(60))
+    own = [" ".join(f"o{k}x{i}" for i in range(60)) for k in range(300)]
+    rows = [(1, shared), *((None, f"x{k} {shared}" if k % 2 else f"y{k} {w}") for k, w in enumerate(own))]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.select("doc_id", "n_words", "n_removed", "kept_text").collect()), key=str) == words_removed(rows, 50)
+
+
+def test_word_names_are_two_and_independent():
+    words = Words([b"a b a", b"c"], _Names())
+    assert words.names[0] == words.names[2] and words.second[0] == words.second[2]
+    assert len(set(words.names.tolist()) | set(words.second.tolist())) == 6
+    again = Words([b"c b"], _Names())
+    assert again.second.tolist() == [words.second[3], words.second[1]]
+
+
 @pytest.mark.parametrize("alphabet", [1, 2, 3, 30])
 def test_equal_windows_lean_on_equal_symbols(alphabet):
     window = 9
@@ -258,6 +275,15 @@ def leaked(text, items, window):
     return len(words), hit, sorted(found)
 
 
+def test_items_without_an_id_are_searched_for(spark):
+    text = "one two three four five six seven eight nine ten eleven"
+    bench = spark.createDataFrame([(None, text), (None, text), (4, "nine ten eleven")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, text), (2, "none of it")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in find_leaks(docs, bench).collect()}
+    assert [tuple(s) for s in got[1]["leak_spans"]] == [(0, 11)] and got[1]["leak_items"] == ["4"]
+    assert got[2]["leak_spans"] == []
+
+
 @pytest.mark.parametrize("alphabet", [2, 6, 25])
 def test_leaks_equal_plain_search(spark, alphabet):
     texts = [t.replace(" ", ", ").title() for t in prose(80, alphabet, 40, alphabet)]
@@ -394,6 +420,16 @@ def test_near_duplicates_awkward_rows(spark):
     assert one_per_group(empty).count() == 1 and near_duplicates(empty).where("component_id IS NOT NULL").count() == 0
 
 
+def shingles_of(text, width=5):
+    words = WORD.findall((text or "").translate(UPPER))
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def overlap_of(x, y):
+    a, b = shingles_of(x), shingles_of(y)
+    return len(a & b) / len(a | b) if a and b else 0.0
+
+
 def test_near_copies_by_shingles_equal_plain_search(spark):
     rng = random.Random(12)
     texts = prose(60, 3, 40, 3)
