@@ -113,7 +113,8 @@ def token_counts(docs: DataFrame, tokenizer: str, text: str = "text", cache: str
     are appended to the cache folder (a new one below the shared folder where
     none is named) and every row takes its count from there by an equi-join on
     digests. Counts in the cache appear once per append; a digest that two jobs
-    append at a time has the same count twice and is read once.
+    append at a time has the same count twice and is read once. A digest that has
+    no count after the append (a lost or half-written file) ends the query.
 
     Empty texts count 0. Repeated rows stay. A column named ``n_tokens`` is
     replaced. An empty table gives no rows.
@@ -142,7 +143,8 @@ def token_counts(docs: DataFrame, tokenizer: str, text: str = "text", cache: str
         counts = staged(counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
     (own,) = unused(docs, "_digest")
     rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "n_tokens"]).withColumn(own, digest)
-    return rows.join(counts.withColumnRenamed("digest", own), own).drop(own)
+    missing = F.raise_error(F.lit(f"no stored count for a text in {cache}")).cast("long")
+    return rows.join(counts.withColumnRenamed("digest", own), own, "left").withColumn("n_tokens", F.coalesce("n_tokens", missing)).drop(own)
 
 
 def piece_table(docs: DataFrame, tokenizer: str, capacity: int, id_col: str = "doc_id", text: str = "text", end: int = 0, with_ids: bool = False) -> DataFrame:
