@@ -43,20 +43,23 @@ def rewritten(docs: DataFrame, changed: Column) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score reaches the threshold go."""
+    """Documents whose toxicity score reaches the threshold go.
+
+    Null and empty texts are scored like others; repeated rows get equal scores;
+    without labels of both kinds nothing goes. An empty table stays one.
+    """
     prepare(spark)
     model = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out())
     return shielded(docs, lambda d: score_texts(d, model).where("predicted = 0"), "score", "predicted", "offending")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of three lines and more are deleted."""
-    prepare(spark)
-    return shielded(docs, lambda d: rewritten(drop_repeated_runs(d), F.col("n_removed") > 0), "n_lines", "n_removed")
+    """Later copies of line runs go: of three lines and more, or of fewer with ``PASSAGE_WORDS`` words.
 
-
-def dedup_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of one and two lines go too, if they have ``PASSAGE_WORDS`` words."""
+    Documents left without a word go too, if they lost lines. Null and empty
+    texts stay as they are; rows that repeat id and text are one document; an
+    empty table stays one.
+    """
     prepare(spark)
     return shielded(
         docs, lambda d: rewritten(drop_repeated_runs(d, min_words=PASSAGE_WORDS), F.col("n_removed") > 0), "n_lines", "n_removed"
@@ -64,19 +67,23 @@ def dedup_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of SimHash near-duplicates the document with the smallest id stays."""
-    prepare(spark)
-    return one_per_group(docs)
+    """Of each group of near duplicates one document stays.
 
-
-def dedup_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go whose five-word shingles overlap those of an earlier one by 80 % or more."""
+    First the one with the smallest id of every SimHash group; of what is left,
+    documents go whose five-word shingles overlap those of an earlier one by 80 % or
+    more, which fingerprints alone do not tell. Texts without words are one group; of
+    rows that repeat id and text one stays; rows without an id come last; an empty table stays one.
+    """
     prepare(spark)
-    return drop_near_copies(docs)
+    return drop_near_copies(staged(one_per_group(docs)))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words inside benchmark windows are cut out."""
+    """Words inside benchmark windows are cut out; documents left without a word by that go.
+
+    Null and empty texts stay; repeated rows are cut alike; an empty table, of
+    documents or of items, leaves all as it is.
+    """
     prepare(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return shielded(
@@ -89,7 +96,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed into sequences of at most 2048 tokens."""
+    """What is left, packed into sequences of at most 2048 tokens.
+
+    A null or empty text is the end id alone; repeated rows are packed each; an
+    empty table gives no piece.
+    """
     prepare(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -102,19 +113,14 @@ STAGES = [
     ("packing", pack),
 ]
 
-# What the rule of a stage leaves; `run` lets these follow the stage they are named after.
-FOLLOW_UPS = {"line_dedup": dedup_passages, "near_dedup": dedup_copies}
-
 # Learned scores, fingerprints and token ids have no SQL form; tests hold each
 # stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages and follow-ups over ``documents``; what one returns is written and read again for the next."""
+    """All stages over ``documents``; what one returns is written and read again for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    for _, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir))
-        if name in FOLLOW_UPS:
-            docs = staged(FOLLOW_UPS[name](spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
