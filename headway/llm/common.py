@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,18 @@ def settings(spark: SparkSession) -> None:
         spark.conf.set(key, ARROW_ROWS)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1):
+    """Rows of several megabytes go to Python a few at a time, in what is run inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def document_key(id_col: str, text_col: str) -> list[Column]:
     """``(did, th)``: two longs that name a document in joins.
 

@@ -5,12 +5,14 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from headway.llm.collocations import collocations, count_pairs, squeezed, words_of
+import headway.llm.collocations as module
+from headway.llm.collocations import collocations, squeezed, words_of
 from tests.llm.cases import SCHEMA, documents, prose
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -64,12 +66,39 @@ def test_equals_plain_counting(spark, seed, size):
 
 
 @settings(max_examples=80, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 60)), max_size=200), st.integers(1, 9), st.integers(1, 30))
-def test_tiles(pairs, tile, sparse):
+@given(st.lists(st.tuples(st.integers(0, 3000), st.integers(0, 3000)) | st.tuples(st.integers(0, 9), st.integers(0, 9)), max_size=200), st.integers(0, 3))
+def test_tiles(pairs, fold):
+    """Cells of tiles stand for the pairs they came from, through parts and back."""
     left, right = (np.array([p[i] for p in pairs], dtype=np.int64) for i in (0, 1))
-    x, y, n = count_pairs(left, right, tile, sparse)
-    assert len(set(zip(x.tolist(), y.tolist()))) == len(x)
-    assert dict(zip(zip(x.tolist(), y.tolist()), n.tolist())) == dict(Counter(pairs))
+    tiles = module.Tiles([10**6, 10**7, 10**8, 10**6, *[0] * 60])
+    cut = len(pairs) >> fold
+    for a, b in ((0, cut), (cut, len(pairs))):
+        tiles.add(left[a:b], right[a:b])
+    got, seen = Counter(), []
+    for batch in tiles.flush():
+        for i in range(batch.num_rows):
+            made = module.frequent_cells(1)(pa.Table.from_batches([batch.slice(i, 1)]))
+            seen += list(zip(made["left"].to_pylist(), made["right"].to_pylist(), strict=True))
+            got.update(dict(zip(seen[-made.num_rows :] if made.num_rows else [], made["f"].to_pylist(), strict=True)))
+    assert len(seen) == len(set(seen))
+    assert got == Counter(pairs)
+
+
+def test_strips():
+    ids = np.array([0, 511, 512, 1023, 1024, 2047, 2048, (1 << 31) - 1])
+    strips = module.strip_of(ids).tolist()
+    assert strips == [0, 0, 1, 1, 2, 2, 3, 22]
+    assert all(module.strip_start(s) <= i < module.strip_start(s) + module.strip_width(s) for i, s in zip(ids.tolist(), strips))
+
+
+@pytest.mark.parametrize("tile", [0, 1])
+def test_long_tables_are_joined(spark, monkeypatch, tile):
+    """Beyond the size that goes out with the tasks, and with tasks that give away often."""
+    monkeypatch.setattr(module, "TABLE", 3 if tile else module.TABLE)
+    monkeypatch.setattr(module, "HELD", 5)
+    rows = [("en" if i % 3 else "de", t) for i, t in enumerate(prose(150, 5, 40, 6))]
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    assert found(frame, least=4, size=300) == plain(rows, 4)
 
 
 @settings(max_examples=100, deadline=None)
