@@ -44,58 +44,94 @@ NOT_TEXT_WORDS = frozenset(
 # Elements that divide a page, and those that hold running text.
 FRAMES = frozenset("html body main article section div center td".split())
 PARAGRAPHS = frozenset("p blockquote pre h1 h2".split())
-# How surely an element is not the article: by a class or id word, which an
-# article inside it outweighs, or by its element, role, or as reader comments.
+# Words that say nothing of what a class or id is about.
+NEUTRAL_WORDS = frozenset(
+    "a an area bar block body bottom box button buttons center col column container content contents count desktop form group heading home "
+    "icon icons inline inner item items js label large left link links list lists main mobile module my outer page panel post posts primary right "
+    "row secondary section set site small story stories tag tags text the title titles top unit view wrap wrapper zone".split()
+)
+# How surely an element is not the article: by a class or id, which an article
+# inside it outweighs, or by its element, role, or as reader comments.
 MAYBE, SURELY = 1, 2
+# Elements nested deeper become siblings of the innermost one, as in browsers.
+DEEPEST = 512
 
 
 class Open(NamedTuple):
+    """An open element; ``path`` is a running hash of names and classes, ``base`` tells
+    whether the block it belongs to is skipped."""
+
     name: str
-    path: str
+    path: int
     skipped: int
+    base: int
     article: bool
     main: bool
-    holders: tuple[int, ...]
+    holder: int
 
 
 class Page(NamedTuple):
     """Blocks of text with their place, and template tokens in page order.
 
-    A token is a tag with its path or a text with its path; ``holders`` of a
-    block are the token numbers of the tags open around it, ``elements`` their names.
+    A token is a tag with its path or a text with its path. ``holders`` has the token
+    number of the dividing tag around a block (-1: none), ``elements`` the names of these
+    tags and ``parents`` the number of the one around each, in page order.
     """
 
     tokens: list[int]
     texts: list[str]
     article: list[bool]
     main: list[bool]
-    holders: list[tuple[int, ...]]
+    holders: list[int]
     text_tokens: list[int]
     elements: dict[int, str]
+    parents: dict[int, int]
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {m[0].lower(): html.unescape(m[1] or m[2] or m[3]) for m in ATTRIBUTE.findall(raw)} if raw.strip() else {}
 
 
-def _not_text(name: str, attributes: dict[str, str]) -> int:
+def _not_text(name: str, attributes: dict[str, str], behind: bool) -> int:
     if name in NOT_TEXT or attributes.get("role", "").lower() in NOT_TEXT_ROLES:
         return SURELY
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in attributes.get("style", "").lower().replace(" ", ""):
         return SURELY
     if name in ("html", "body", "main"):
         return 0
-    words = {w.lower() for k in ("class", "id") for w in NAME_WORD.findall(attributes.get(k, ""))}
-    if words & COMMENT_WORDS:
-        return SURELY
-    return MAYBE if name != "article" and words & NOT_TEXT_WORDS else 0
+    about = [_about(attributes[k]) for k in ("class", "id") if k in attributes]
+    if any(a & COMMENT_WORDS for a in about):
+        # Comments stand in an article or behind one; before that the name means the article that takes them.
+        return SURELY if behind else 0 if name == "article" else MAYBE
+    return MAYBE if name != "article" and any(about) else 0
+
+
+def _about(names: str) -> set[str]:
+    """Telling words of those classes (or ids) that consist of such and neutral words only:
+    ``related-posts`` is about related matter, ``related-work`` is a chapter, ``has-comments`` a state."""
+    found = set()
+    for name in names.split():
+        words = {w.lower() for w in NAME_WORD.findall(name)}
+        telling = words & (NOT_TEXT_WORDS | COMMENT_WORDS)
+        if telling and all(w in telling or w in NEUTRAL_WORDS or w[0].isdigit() or len(w) == 1 for w in words):
+            found |= telling
+    return found
 
 
 def parse(markup: str) -> Page:
     """Tolerant reading: end tags close what they match, unclosed blocks end with what holds them."""
-    page = Page([], [], [], [], [], [], {})
-    stack = [Open("", "", 0, False, False, ())]
+    page = Page([], [], [], [], [], [], {}, {})
+    stack = [Open("", 0, 0, 0, False, False, -1)]
     buffer: list[str] = []
+    article_seen = False
+
+    def step(path: int, label: str) -> int:
+        return xxhash.xxh64_intdigest(label, path)
+
+    def read(text: str) -> None:
+        # Skipped elements inside a line of text leave no text and do not end it.
+        if not stack[-1].skipped or stack[-1].base:
+            buffer.append(text)
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(buffer)).split()) if buffer else ""
@@ -103,12 +139,12 @@ def parse(markup: str) -> Page:
         if text:
             top = stack[-1]
             token = len(page.tokens)
-            page.tokens.append(xxhash.xxh64_intdigest(f"{top.path}|{text}"))
-            if not top.skipped:
+            page.tokens.append(step(top.path, f"|{text}"))
+            if not top.base:
                 page.texts.append(text)
                 page.article.append(top.article)
                 page.main.append(top.main)
-                page.holders.append(top.holders)
+                page.holders.append(top.holder)
                 page.text_tokens.append(token)
 
     def close(depth: int) -> None:
@@ -119,10 +155,10 @@ def parse(markup: str) -> Page:
     while at < end:
         found = TAG.search(markup, at)
         if found is None:
-            buffer.append(markup[at:])
+            read(markup[at:])
             break
         if found.start() > at:
-            buffer.append(markup[at : found.start()])
+            read(markup[at : found.start()])
         at = found.end()
         name = (found.group(2) or "").lower()
         if not name:
@@ -159,28 +195,37 @@ def parse(markup: str) -> Page:
         raw = found.group(3)
         attributes = _attributes(raw)
         top = stack[-1]
-        path = f"{top.path}>{name}" + (f".{attributes['class']}" if "class" in attributes else "")
+        if len(stack) > DEEPEST and name not in VOID:
+            if top.name in BLOCK:
+                flush()
+            stack.pop()
+            top = stack[-1]
+        path = step(top.path, f">{name}" + (f".{attributes['class']}" if "class" in attributes else ""))
         number = len(page.tokens)
-        page.tokens.append(xxhash.xxh64_intdigest(path))
+        page.tokens.append(path)
         if name in VOID or raw.endswith("/") and name in RAW:
             continue
         is_main = name == "main" or attributes.get("role", "").lower() == "main"
         outside = 0 if (name == "article" or is_main) and top.skipped == MAYBE and not top.article else top.skipped
-        skipped = max(outside, _not_text(name, attributes))
+        skipped = max(outside, _not_text(name, attributes, article_seen))
+        if name in ("button", "select"):
+            read(" ")
         if name in RAW:
             over = re.compile(rf"</{re.escape(name)}\s*[^>]*(?:>|\Z)", re.IGNORECASE).search(markup, at)
             at = over.end() if over else end
             continue
         if name in BLOCK:
-            page.elements[number] = name
+            page.elements[number], page.parents[number] = name, top.holder
+        article_seen |= name == "article" and not skipped
         stack.append(
             Open(
                 name,
                 path,
                 skipped,
+                skipped if name in BLOCK else top.base,
                 top.article or name == "article" and not skipped,
                 top.main or is_main and not skipped,
-                (*top.holders, number) if name in BLOCK else top.holders,
+                number if name in BLOCK else top.holder,
             )
         )
     close(1)
@@ -221,24 +266,47 @@ def best_slot(page: Page, blocks: list[int], template: frozenset[int]) -> set[in
     so an article spread over siblings does. It stops where they hold less and,
     below the body, where running text stands beside them.
     """
-    frames = {i: [h for h in page.holders[i] if page.elements[h] in FRAMES and (not template or page.tokens[h] in template)] for i in blocks}
-    kept, level, inside = blocks, 0, ""
+    # The tree of dividing tags that count, parents first, with the text and the
+    # running text below each; -1 is the whole page.
+    own = {-1: -1}
+    for number, name in page.elements.items():
+        counts = name in FRAMES and (not template or page.tokens[number] in template)
+        own[number] = number if counts else own[page.parents[number]]
+    above = {n: own[page.parents[n]] for n, f in own.items() if n >= 0 and n == f}
+    volume: Counter[int] = Counter()
+    running: Counter[int] = Counter()
+    for i in blocks:
+        frame = own[page.holders[i]]
+        volume[frame] += len(page.texts[i])
+        running[frame] += page.elements.get(page.holders[i]) in PARAGRAPHS
+    below: dict[int, list[int]] = {}
+    for n in reversed(above):
+        volume[above[n]] += volume[n]
+        running[above[n]] += running[n]
+    for n, parent in above.items():
+        if volume[n]:
+            below.setdefault(parent, []).append(n)
+
+    places, inside = [-1], ""
     while True:
-        volume: Counter[int] = Counter()
-        for i in kept:
-            if len(frames[i]) > level:
-                volume[page.tokens[frames[i][level]]] += len(page.texts[i])
-        if not volume:
-            return set(kept)
-        best = max(volume, key=lambda token: volume[token])
-        lower = [i for i in kept if len(frames[i]) > level and page.tokens[frames[i][level]] == best]
-        beside = set(kept) - set(lower)
-        if 4 * volume[best] < 3 * sum(len(page.texts[i]) for i in kept):
-            return set(kept)
-        if inside not in ("", "html", "body") and any(page.elements[page.holders[i][-1]] in PARAGRAPHS for i in beside if page.holders[i]):
-            return set(kept)
-        inside = page.elements[frames[lower[0]][level]]
-        kept, level = lower, level + 1
+        paths: dict[int, list[int]] = {}
+        for place in places:
+            for n in below.get(place, ()):
+                paths.setdefault(page.tokens[n], []).append(n)
+        if not paths:
+            break
+        lower = max(paths.values(), key=lambda nodes: sum(volume[n] for n in nodes))
+        if 4 * sum(volume[n] for n in lower) < 3 * sum(volume[n] for n in places):
+            break
+        beside = sum(running[n] for n in places) - sum(running[n] for n in lower)
+        if inside not in ("", "html", "body") and beside:
+            break
+        places, inside = lower, page.elements[lower[0]]
+    chosen = set(places)
+    within = {-1: -1 in chosen}
+    for n, parent in above.items():
+        within[n] = within[parent] or n in chosen
+    return {i for i in blocks if within[own[page.holders[i]]]}
 
 
 def nest(classes: list[list[tuple[float, int]]]) -> list[int]:
@@ -322,6 +390,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url: str = "url", marku
     adaptive join. Blocks are joined by one \\n; white space inside a block,
     ``br`` included, is one space; character references are decoded.
 
+    Headings in a header go with it. Elements nested more than ``DEEPEST`` deep become
+    siblings, so time and memory follow the markup's length, very long pages included.
+
     Null or empty markup gives an empty text. A null url, or one without a host,
     is a host of its own name (empty). Pages that repeat are read each; columns
     of ``pages`` named like new ones are replaced. An empty table gives no rows.

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import public_tokenizers
@@ -265,3 +266,38 @@ def test_nested_classes():
 def test_rows_stay_in_place(spark):
     docs = spark.createDataFrame(documents(), SCHEMA)
     assert collected(quality(docs).select("doc_id", "text"), "doc_id", "text") == collected(docs.select("doc_id", "text"), "doc_id", "text")
+
+
+def text_of(markup):
+    return "\n".join(pages.main_blocks(pages.parse(markup), frozenset()))
+
+
+@pytest.mark.parametrize(
+    ("markup", "want"),
+    [
+        ('<article class="post has-comments"><p>One text</p></article>', "One text"),
+        ('<div class="comments-open"><article><p>A</p></article></div>', "A"),
+        ('<div id="comments"><article><p>Only</p></article></div>', "Only"),
+        ('<article><p id="related-work">R</p><div class="social-history"><p>S</p></div></article>', "R\nS"),
+        ('<article><p>B</p></article><section id="comments"><article class="comment"><p>Nice</p></article></section>', "B"),
+        ('<article><p>B</p><div class="comment-list"><p>c</p></div><div class="related-posts">r</div></article>', "B"),
+        ("<article><p>One<button>Buy</button> two</p></article>", "One two"),
+        ('<article><p>One <span class="ad">Buy now</span> two</p></article>', "One two"),
+        ("<article><p>x<span hidden>y</span>z</p></article>", "xz"),
+        ('<article><p>x <span class="adverb">y</span></p></article>', "x y"),
+        ("<article><header><h1>T</h1></header><p>B</p></article>", "B"),
+    ],
+)
+def test_names_and_inline_elements(markup, want):
+    assert text_of(markup) == want
+
+
+def test_deep_nesting_is_read_in_linear_time():
+    """100,000 unclosed tags: elements below the deepest level become siblings, and no text is lost."""
+    start = time.perf_counter()
+    page = pages.parse("<div>" * 100_000)
+    assert time.perf_counter() - start < 5 and len(page.tokens) == 100_000
+    assert text_of("<article>" + "<div>x" * 20_000) == "\n".join("x" * 20_000)
+    assert text_of("<article>" + "<div>" * 2000 + "<nav>no</nav><p>yes</p>" + "<span>" * 900 + "in" + "</span>" * 900 + "</div>" * 2000 + "<p>end</p>") == "yes\nin\nend"
+    long = "word " * 400_000
+    assert text_of(f"<article><p>{long}</p></article>") == long.strip()
