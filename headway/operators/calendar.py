@@ -5,13 +5,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.binding import let
-from headway.functions.time import day_range, weekday
+from headway.functions.time import day_range
 
 # Weekday names in ISO order.
 WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 
 
+# Sets of days are bitmaps: 64-bit words, word w for the days 64 w to 64 w + 63 since
+# 1970-01-01 (a Thursday). A year is six words.
+_EPOCH_WEEKDAY = 3
+
+
+def _signed(word: int) -> int:
+    return word - (1 << 64) if word >> 63 else word
+
+
+# For each weekday and each weekday of a word's first day, the days of the word.
+_WEEKDAY_WORDS = [_signed(sum(1 << i for i in range(64) if (first + i) % 7 == day)) for day in range(7) for first in range(7)]
+
+
+def word_of(day: Column) -> Column:
+    return F.shiftright(F.unix_date(day), 6)
+
+
+def bit_of(day: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.unix_date(day).bitwiseAND(F.lit(63)))
+
+
+def words_between(start: Column, end: Column) -> Column:
+    """Words of an inclusive range of days, as ``array<struct<word, bits>>``; a reversed one has none."""
+    a, b = F.unix_date(start), F.unix_date(end)
+
+    def word(w: Column) -> Column:
+        low = F.greatest(a - 64 * w, F.lit(0))
+        high = F.least(b - 64 * w, F.lit(63))
+        ones = F.lit(-1).cast("long")
+        bits = F.call_function("shiftleft", ones, low).bitwiseAND(F.call_function("shiftrightunsigned", ones, 63 - high))
+        return F.struct(w.alias("word"), bits.alias("bits"))
+
+    none = F.expr("cast(array() as array<struct<word:int,bits:bigint>>)")
+    whole = F.transform(F.sequence(F.shiftright(a, 6), F.shiftright(b, 6)), word)
+    return F.when(a.isNotNull() & b.isNotNull() & (a <= b), whole).otherwise(none)
+
+
+def regular_word(days: Column, word: Column) -> Column:
+    """Days of a word that are regular weekdays."""
+    table = F.array(*[F.lit(w) for w in _WEEKDAY_WORDS])
+    first = F.pmod(64 * word + _EPOCH_WEEKDAY, F.lit(7))
+    found = F.lit(0).cast("long")
+    for i, name in enumerate(WEEKDAYS):
+        found = found.bitwiseOR(F.when(days[name], F.get(table, 7 * i + first)).otherwise(F.lit(0).cast("long")))
+    return found
+
+
+def days_in(word: Column, bits: Column) -> Column:
+    """The days a word holds."""
+    places = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftrightunsigned", bits, i).bitwiseAND(F.lit(1)) == 1)
+    return F.transform(places, lambda i: F.date_from_unix_date((64 * word + i).cast("int")))
+
+
 def weekday_numbers(days: Column) -> Column:
     """ISO numbers of the weekdays set in a struct of flags."""
     flags = [F.when(days[name], F.lit(i)) for i, name in enumerate(WEEKDAYS, 1)]
@@ -58,16 +110,9 @@ def exceptions(profiles: DataFrame, services: DataFrame, bank_holidays: DataFram
     Non-operating: special or bank days that are. One row per journey, date and
     kind; bank holidays count within the period of the file's first service.
     """
-    base = profiles.withColumn("regular", weekday_numbers(F.col("days")))
-
     def special(source: str, operates: bool) -> DataFrame:
-        return base.select(
-            "file_id",
-            "vj_code",
-            "regular",
-            F.explode(expand_ranges(F.col(source))).alias("date"),
-            F.lit(operates).alias("operates"),
-        )
+        words = F.flatten(F.transform(source, lambda r: words_between(r["start"], r["end"])))
+        return profiles.select("file_id", "vj_code", "days", F.lit(operates).alias("operates"), F.inline(words))
 
     period = services.groupBy("file_id").agg(
         F.min_by(F.struct("start_date", "end_date"), "service_pos").alias("period")
@@ -79,19 +124,19 @@ def exceptions(profiles: DataFrame, services: DataFrame, bank_holidays: DataFram
         ]
     )
     asked = (
-        base.select("file_id", "vj_code", "regular", F.explode(named).alias("e"))
-        .select("file_id", "vj_code", "regular", "e.operates", F.explode("e.names").alias("txc_element"))
+        profiles.select("file_id", "vj_code", "days", F.explode(named).alias("e"))
+        .select("file_id", "vj_code", "days", "e.operates", F.explode("e.names").alias("txc_element"))
         .join(period, "file_id")
-        .select("file_id", "vj_code", "regular", "operates", "txc_element", "period.*")
-    )
-    bank = holidays_in_range(bank_holidays, asked, divisions).drop("txc_element")
-    days = special("special_operation", True).unionByName(special("special_non_operation", False)).unionByName(bank)
-    is_regular = F.array_contains("regular", weekday(F.col("date")))
-    return (
-        days.where(F.col("operates") != is_regular)
-        .select("file_id", "vj_code", "date", "operates")
-        .distinct()
+        .select("file_id", "vj_code", "days", "operates", "txc_element", "period.*")
     )
+    bank = holidays_in_range(bank_holidays, asked, divisions)
+    bank = bank.select("file_id", "vj_code", "days", "operates", word_of(F.col("date")).alias("word"), bit_of(F.col("date")).alias("bits"))
+    named_days = special("special_operation", True).unionByName(special("special_non_operation", False)).unionByName(bank)
+    words = named_days.groupBy("file_id", "vj_code", "operates", "word", "days").agg(F.bit_or("bits").alias("bits"))
+    regular = regular_word(F.col("days"), F.col("word"))
+    changed = F.when(F.col("operates"), F.col("bits").bitwiseAND(F.bitwise_not(regular))).otherwise(F.col("bits").bitwiseAND(regular))
+    days = words.withColumn("bits", changed).where("bits <> 0").select("file_id", "vj_code", F.explode(days_in(F.col("word"), F.col("bits"))).alias("date"), "operates")
+    return days.distinct()
 
 
 def operating_days(journeys: DataFrame, exception_days: DataFrame, horizon: Column) -> DataFrame:
@@ -102,29 +147,34 @@ def operating_days(journeys: DataFrame, exception_days: DataFrame, horizon: Colu
     one row per journey. A service without an end runs on; its days are given up
     to ``horizon``.
 
-    Exceptions are gathered per journey (a calendar bounds them) and the days
-    are worked out as arrays, so journeys are shuffled, not journey days.
+    Days are bitmaps throughout: exceptions are united per word, a few words go
+    with each journey, and days are told one by one only in the end.
     """
-    changed = exception_days.groupBy("file_id", "vj_code").agg(
-        F.collect_set(F.when(F.col("operates"), F.col("date"))).alias("added"),
-        F.collect_set(F.when(~F.col("operates"), F.col("date"))).alias("removed"),
+    changed = (
+        exception_days.groupBy("file_id", "vj_code", word_of(F.col("date")).alias("word"))
+        .agg(
+            F.bit_or(F.when(F.col("operates"), bit_of(F.col("date")))).alias("added"),
+            F.bit_or(F.when(~F.col("operates"), bit_of(F.col("date")))).alias("removed"),
+        )
+        .groupBy("file_id", "vj_code")
+        .agg(F.collect_list(F.struct("word", "added", "removed")).alias("changed"))
     )
     joined = journeys.select("file_id", "vj_code", "days", "start_date", "end_date").join(
         changed, ["file_id", "vj_code"], "left"
     )
-    none = F.array().cast("array<date>")
-    regular = let(
-        weekday_numbers(F.col("days")),
-        lambda numbers: F.filter(
-            day_range(F.col("start_date"), F.coalesce(F.col("end_date"), horizon)),
-            lambda d: F.array_contains(numbers, weekday(d)),
-        ),
+    none = F.lit(0).cast("long")
+    period = words_between(F.col("start_date"), F.coalesce(F.col("end_date"), horizon))
+    regular = F.transform(
+        period, lambda p: F.struct(p["word"].alias("word"), p["bits"].bitwiseAND(regular_word(F.col("days"), p["word"])).alias("bits"), none.alias("removed"))
     )
-    days = F.array_except(
-        F.array_union(F.coalesce(regular, none), F.coalesce("added", none)),
-        F.coalesce("removed", none),
+    extra = F.transform(
+        F.coalesce("changed", F.expr("cast(array() as array<struct<word:int,added:bigint,removed:bigint>>)")),
+        lambda c: F.struct(c["word"].alias("word"), F.coalesce(c["added"], none).alias("bits"), F.coalesce(c["removed"], none).alias("removed")),
     )
-    return joined.select("file_id", "vj_code", F.explode(days).alias("date"))
+    words = joined.select("file_id", "vj_code", F.inline(F.concat(regular, extra)))
+    united = words.groupBy("file_id", "vj_code", "word").agg(F.bit_or("bits").alias("bits"), F.bit_or("removed").alias("removed"))
+    kept = F.col("bits").bitwiseAND(F.bitwise_not("removed"))
+    return united.where(kept != 0).select("file_id", "vj_code", F.explode(days_in(F.col("word"), kept)).alias("date"))
 
 
 def flexible_operation_periods(flexible_journeys: DataFrame) -> DataFrame:

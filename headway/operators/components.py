@@ -35,6 +35,26 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return members.unionByName(roots)
 
 
+def extended_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components once ``edges`` come to a graph whose components are ``labels`` (``id, component``).
+
+    Every old star is contracted to its component first, so rounds run over the
+    new edges alone, and two joins carry their outcome back.
+    """
+    known = labels.select("id", "component")
+    ends = edges.select("src", "dst")
+    for end in ("src", "dst"):
+        of = known.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
+        ends = ends.join(of, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    ends = staged(ends)
+    moved = connected_components(ends.select(F.col("of_src").alias("src"), F.col("of_dst").alias("dst")))
+    moved = moved.select(F.col("id").alias("component"), F.col("component").alias("moved"))
+    old = known.join(moved, "component", "left").select("id", F.coalesce("moved", "component").alias("component"))
+    nodes = ends.select(F.col("src").alias("id")).union(ends.select("dst")).distinct().join(known.select("id"), "id", "left_anti")
+    new = nodes.withColumnRenamed("id", "component").join(moved, "component").select(F.col("component").alias("id"), F.col("moved").alias("component"))
+    return old.unionByName(new)
+
+
 def _signature(edges: DataFrame) -> tuple:
     row = edges.agg(
         F.count(F.lit(1)).alias("n"),

@@ -14,7 +14,7 @@ from headway.functions.geo import (
     haversine,
     planar,
 )
-from headway.operators.components import connected_components
+from headway.operators.components import connected_components, extended_components
 
 DEFAULT_THRESHOLD = 20.0
 SNAP_METRES = 15.0
@@ -206,9 +206,10 @@ def pattern_geometry(
 
 
 def _outlines(tracks: DataFrame) -> DataFrame:
-    """Every track without its points: two hashes of them and their box."""
+    """Every track (``is_new`` or not) without its points: two hashes of them and their box."""
     return tracks.select(
         "id",
+        "is_new",
         "from_atco_code",
         "to_atco_code",
         F.xxhash64("points").alias("h1"),
@@ -220,9 +221,12 @@ def _outlines(tracks: DataFrame) -> DataFrame:
     )
 
 
-def similar_tracks(tracks: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+def similar_tracks(tracks: DataFrame, threshold: float = DEFAULT_THRESHOLD, new: DataFrame | None = None) -> DataFrame:
     """Pairs of tracks between the same stops closer than ``threshold`` metres.
 
+    With ``new`` (``id``) only pairs that a new track adds: stop pairs without one are not
+    read further, and lines already stored are not compared with each other.
+
     Copies of one line (equal in a 128-bit hash of their points) are tied to the
     copy with the lowest id, which is all that grouping needs; only distinct
     lines are compared. Distance is the discrete Hausdorff distance on a flat
@@ -234,13 +238,23 @@ def similar_tracks(tracks: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> D
     lost. Ids and bounding boxes meet; boxes that differ by more than the
     threshold are dropped, and only pairs that are left fetch their points.
     """
-    outlines = _outlines(tracks)
-    keys = ["from_atco_code", "to_atco_code", "h1", "h2"]
-    shapes = outlines.groupBy(*keys).agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in BOUNDS])
+    ends = ["from_atco_code", "to_atco_code"]
+    fresh = F.lit(True)
+    if new is not None:
+        added = new.select("id").distinct().withColumn("added", F.lit(True))
+        touched = tracks.join(added, "id").select(*ends).distinct()
+        tracks = tracks.join(touched, ends, "left_semi").join(added, "id", "left")
+        fresh = F.coalesce("added", F.lit(False))
+    outlines = _outlines(tracks.withColumn("is_new", fresh))
+    keys = [*ends, "h1", "h2"]
+    # A shape is new if all its copies are: pairs of one seen before are known.
+    shapes = outlines.groupBy(*keys).agg(
+        F.min_by(F.struct("id", "is_new"), "id").alias("first"), F.bool_and("is_new").alias("is_new"), *[F.first(c).alias(c) for c in BOUNDS]
+    ).select(*keys, "first.id", F.col("first.is_new").alias("first_new"), "is_new", *BOUNDS)
     copies = (
-        outlines.select(*keys, F.col("id").alias("track_b"))
-        .join(shapes.select(*keys, "id"), keys)
-        .where(F.col("id") < F.col("track_b"))
+        outlines.select(*keys, F.col("id").alias("track_b"), F.col("is_new").alias("b_new"))
+        .join(shapes.select(*keys, "id", "first_new"), keys)
+        .where((F.col("id") < F.col("track_b")) & (F.col("b_new") | F.col("first_new")))
         .select(
             "from_atco_code",
             "to_atco_code",
@@ -281,9 +295,9 @@ def _near_boxes(shapes: DataFrame, threshold: float) -> DataFrame:
         "cell_col", F.explode(F.transform(steps, lambda i: column(F.col("cell_row")) + i))
     )
     keys = ["from_atco_code", "to_atco_code", "cell_row", "cell_col"]
-    other = right.select(*keys, F.col("id").alias("track_b"), *[F.col(c).alias(f"b_{c}") for c in BOUNDS])
+    other = right.select(*keys, F.col("id").alias("track_b"), F.col("is_new").alias("b_new"), *[F.col(c).alias(f"b_{c}") for c in BOUNDS])
     span = F.cos(F.radians(F.col("lat_min"))) * DEGREE
-    near = F.col("id") < F.col("track_b")
+    near = (F.col("id") < F.col("track_b")) & (F.col("is_new") | F.col("b_new"))
     for c in BOUNDS:
         metres = span if c.startswith("lon") else F.lit(DEGREE)
         near = near & (F.abs(F.col(c) - F.col(f"b_{c}")) * metres < threshold)
@@ -298,6 +312,13 @@ def canonical_tracks(pairs: DataFrame) -> DataFrame:
     return labels.select(F.col("id").alias("track_id"), F.col("component").alias("canonical_id"))
 
 
+def extended_canonical(canonical: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``canonical_tracks`` of all pairs so far, from the last ones and the pairs that came since."""
+    labels = canonical.select(F.col("track_id").alias("id"), F.col("canonical_id").alias("component"))
+    grown = extended_components(labels, pairs.select(F.col("track_a").alias("src"), F.col("track_b").alias("dst")))
+    return grown.select(F.col("id").alias("track_id"), F.col("component").alias("canonical_id"))
+
+
 def repoint(references: DataFrame, canonical: DataFrame, column: str = "tracks_id") -> DataFrame:
     """References moved to the canonical track."""
     lookup = canonical.select(F.col("track_id").alias(column), "canonical_id")

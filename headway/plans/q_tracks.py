@@ -18,6 +18,7 @@ from headway.operators.components import connected_components
 from headway.plans import network as net
 from headway.plans.network import STOP_SEQUENCE_SQL
 from headway.plans.registry import Tables, query
+from headway.session import staged
 
 R = geo.EARTH_RADIUS
 
@@ -301,6 +302,15 @@ def canonical_tracks(t: Tables) -> DataFrame:
     return trk.canonical_tracks(_similar(t))
 
 
+@query("nightly_consolidation", _COMPONENT_SQL + "SELECT * FROM comp")
+def nightly_consolidation(t: Tables) -> DataFrame:
+    """Every third track comes on a second night, which compares and joins these alone."""
+    tracks = _tracks(t, 3, _SCALE)
+    new = tracks.where("id % 3 = 0").select("id")
+    first = staged(trk.canonical_tracks(trk.similar_tracks(tracks.where("id % 3 <> 0"), _THRESHOLD)))
+    return trk.extended_canonical(first, trk.similar_tracks(tracks, _THRESHOLD, new))
+
+
 @query(
     "consolidation_report",
     _COMPONENT_SQL + """,

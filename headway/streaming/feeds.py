@@ -103,3 +103,23 @@ def new_content(stream: DataFrame, live: DataFrame, delay: str = "1 hour") -> Da
     fresh = stream.withWatermark("arrived_at", delay).dropDuplicatesWithinWatermark(["sha1"])
     known = live.select("sha1").distinct().withColumn("is_live", F.lit(True))
     return fresh.join(known, "sha1", "left").where("is_live is null").drop("is_live")
+
+
+def unpublished(stream: DataFrame, published: DataFrame, delay: str = "1 hour", horizon: str = "30 days") -> DataFrame:
+    """Arrivals whose content is not published by the time they are given out.
+
+    ``published(sha1, published_at)`` is a stream of what goes live, so a file published after the
+    start, up to ``delay`` after its arrival, is skipped too. A left outer join of two
+    streams: an arrival waits until the watermark has passed ``delay`` behind it and
+    comes out if nothing matched. Both sides keep state for a bounded time, ``published``
+    for ``horizon``: what went live earlier belongs into ``new_content``'s table. Repeats within
+    ``delay`` come once.
+    """
+    fresh = stream.withWatermark("arrived_at", delay).dropDuplicatesWithinWatermark(["sha1"])
+    live = published.select(F.col("sha1").alias("live_sha1"), "published_at").withWatermark("published_at", delay)
+    near = (
+        (F.col("sha1") == F.col("live_sha1"))
+        & (F.col("published_at") >= F.col("arrived_at") - F.expr(f"interval {horizon}"))
+        & (F.col("published_at") <= F.col("arrived_at") + F.expr(f"interval {delay}"))
+    )
+    return fresh.join(live, near, "left_outer").where("live_sha1 is null").drop("live_sha1", "published_at")

@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from headway.operators import resolve as res
 from headway.operators import rollup
 from headway.operators import sequence as seq
 from headway.operators import tracks as trk
-from headway.operators.components import connected_components
+from headway.operators.components import connected_components, extended_components
 from headway.operators.scan import scan
 from tests.conftest import rows
 
@@ -431,3 +432,53 @@ def test_batches_without_one_order(spark):
     lowest = {b: max(n for c, n in order if c == b) for b in sizes}
     assert all(lowest[b] <= highest[b + 1] for b in range(8))
     assert life.batches(df.limit(0), "n", ["k"], 60).count() == 0
+
+
+def test_components_grow_by_new_edges(spark):
+    """A second night's edges on the first night's labels equal the whole."""
+    rng = random.Random(6)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)]
+    frame = lambda e: spark.createDataFrame(e, "src long, dst long")
+    for cut in (0, 60, 150):
+        labels = connected_components(frame(edges[:cut]))
+        grown = extended_components(labels, frame(edges[cut:]))
+        assert sorted(map(tuple, grown.collect())) == sorted(map(tuple, connected_components(frame(edges)).collect()))
+
+
+def test_new_tracks_are_compared_alone(spark):
+    rng = random.Random(8)
+    lines = [[(-1 + rng.randrange(4) * 1e-4, 52 + rng.randrange(4) * 1e-4) for _ in range(2)] for _ in range(12)]
+    data = [(i, "A", f"B{i % 2}", rng.choice(lines)) for i in range(60)]
+    tracks = spark.createDataFrame(data, "id long, from_atco_code string, to_atco_code string, points array<struct<lon:double,lat:double>>")
+    whole = trk.canonical_tracks(trk.similar_tracks(tracks))
+    for share in (1, 2, 5):
+        new = tracks.where(F.col("id") % share == 0).select("id")
+        first = trk.canonical_tracks(trk.similar_tracks(tracks.join(new, "id", "left_anti")))
+        added = trk.similar_tracks(tracks, new=new)
+        ids = {r.id for r in new.collect()}
+        grown = trk.extended_canonical(first, added)
+        assert sorted(map(tuple, grown.collect())) == sorted(map(tuple, whole.collect()))
+        fresh = {tuple(lines_) for i, _, _, lines_ in data if i in ids}
+        assert all(r.track_a in ids or r.track_b in ids or tuple(map(tuple, data[r.track_a][3])) in fresh for r in added.collect())
+
+
+def test_days_as_bitmaps(spark):
+    """Words of ranges, weekdays and back, around the epoch and over word borders."""
+    rng = random.Random(5)
+    day = lambda n: datetime.date(1970, 1, 1) + datetime.timedelta(n)
+    cases = []
+    for _ in range(200):
+        a = rng.randrange(-300, 20000)
+        cases.append((day(a), day(a + rng.randrange(-3, 200)), *[rng.random() < 0.4 for _ in range(7)]))
+    flags = ", ".join(f"{n}:boolean" for n in cal.WEEKDAYS)
+    frame = spark.createDataFrame([(i, a, b, tuple(f)) for i, (a, b, *f) in enumerate(cases)], f"i int, a date, b date, days struct<{flags}>")
+    words = frame.select("i", "days", F.inline(cal.words_between(F.col("a"), F.col("b"))))
+    regular = F.col("bits").bitwiseAND(cal.regular_word(F.col("days"), F.col("word")))
+    got = {}
+    for r in words.select("i", F.explode(cal.days_in(F.col("word"), regular)).alias("d")).collect():
+        got.setdefault(r.i, []).append(r.d)
+    for i, (a, b, *f) in enumerate(cases):
+        want = [a + datetime.timedelta(n) for n in range((b - a).days + 1)]
+        assert sorted(got.get(i, [])) == [d for d in want if f[d.weekday()]]
+    bits = frame.select(F.size(cal.days_in(cal.word_of(F.col("a")), cal.bit_of(F.col("a")))).alias("n"), (cal.days_in(cal.word_of(F.col("a")), cal.bit_of(F.col("a")))[0] == F.col("a")).alias("same"))
+    assert {tuple(r) for r in bits.collect()} == {(1, True)}

@@ -221,3 +221,38 @@ def test_new_arrivals_only(spark, tmp_path):
     corpus(tmp_path / "in", e="<x>2</x>", f="<x>4</x>")
     run()
     assert rows(spark.read.parquet(str(tmp_path / "new")), "text") == [("<x>1</x>",), ("<x>2</x>",), ("<x>4</x>",)]
+
+
+def test_files_published_after_the_start_are_skipped(spark, tmp_path):
+    stamp = lambda day, hour: datetime.datetime(2024, 1, day, hour)
+    schemas = {"in": "sha1 string, arrived_at timestamp", "live": "sha1 string, published_at timestamp"}
+
+    def come(where, *rows_):
+        spark.createDataFrame(list(rows_), schemas[where]).coalesce(1).write.mode("append").parquet(str(tmp_path / where))
+
+    def run():
+        streams = [spark.readStream.schema(schemas[w]).parquet(str(tmp_path / w)) for w in ("in", "live")]
+        q = (feeds.unpublished(*streams, delay="2 hours", horizon="3 days").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())
+        q.awaitTermination()
+        return q.recentProgress
+
+    def given():
+        return [r.sha1 for r in spark.read.schema("sha1 string").parquet(str(tmp_path / "out")).orderBy("sha1").collect()]
+
+    come("in", ("before", stamp(1, 10)), ("after", stamp(1, 10)), ("new", stamp(1, 10)), ("new", stamp(1, 11)))
+    come("live", ("before", stamp(1, 8)))
+    run()
+    come("live", ("after", stamp(1, 11)))
+    come("in", ("other", stamp(1, 12)))
+    run()
+    assert given() == []
+    # Time goes on for both; what nothing matched comes out, once, and state is let go.
+    sizes = []
+    for day in (2, 3, 9, 20):
+        come("in", (f"tick {day}", stamp(day, 0)))
+        come("live", (f"other tick {day}", stamp(day, 0)))
+        progress = run()
+        sizes.append(sum(o.numRowsTotal for o in progress[-1].stateOperators))
+    assert given()[:2] == ["new", "other"] and "before" not in given() and "after" not in given()
+    assert sizes[-1] <= sizes[0]
