@@ -31,12 +31,12 @@ STOP_COLUMNS = ("atco_code", "id", "common_name", "lon", "lat", "locality_id", "
 # Which of two files of one name in a revision is the later one: by the number or
 # time the caller gives with the documents, else by what the files say of themselves.
 UPLOAD_ORDER = ("modification_datetime", "creation_datetime", "revision_number", "file_id")
-MEASURES = ("num_stops", "journey_patterns", "vehicle_journeys")
+MEASURES = ("num_stops", "journey_patterns", "vehicle_journeys", "localities", "admin_areas", "tracks", "distance")
 
 
 @dataclass(frozen=True)
 class References:
-    """Reference tables a job needs."""
+    """Reference tables a job needs; ``stops`` may have a ``zone`` (points) for flexible stops."""
 
     stops: DataFrame
     bank_holidays: DataFrame
@@ -71,11 +71,19 @@ class TimetableJob(Mapping[str, DataFrame]):
             "pattern_directions": lambda: pat.pattern_direction(self.bridge, self.live("journey_patterns")),
             "pattern_lines": lambda: pat.pattern_line(self.journey_map, self.live("vehicle_journeys")),
             "pattern_metadata": self._metadata,
+            "flexible_pattern_members": lambda: pat.pattern_members(self.flexible_bridge, self.journey_map),
+            "flexible_pattern_directions": lambda: pat.pattern_direction(self.flexible_bridge, self.live("flexible_patterns")),
+            "flexible_pattern_lines": lambda: pat.pattern_line(
+                self.journey_map.join(self.flexible_bridge.select("file_id", "service_pattern_id").distinct(), ["file_id", "service_pattern_id"], "left_semi"),
+                self.live("flexible_journeys"),
+            ),
+            "flexible_pattern_metadata": self._flexible_metadata,
+            "flexible_pattern_geometry": self._flexible_geometry,
             "pattern_localities": lambda: pat.pattern_localities(self.pattern_stops, self.references.stops),
             "pattern_admin_areas": lambda: pat.pattern_admin_areas(self.pattern_stops, self.references.stops),
             "pattern_geometry": self._geometry,
             "pattern_distances": self._distances,
-            "run_statistics": lambda: rollup.run_statistics(self["pattern_members"], MEASURES),
+            "run_statistics": self._run_statistics,
             "vehicle_journeys": lambda: rollup.vehicle_journey_rows(self.live("vehicle_journeys"), self.live("journey_patterns")),
             "stop_times": self._stop_times,
             "flexible_stop_rows": lambda: seq.flexible_stop_rows(
@@ -159,10 +167,13 @@ class TimetableJob(Mapping[str, DataFrame]):
     def bridge(self) -> DataFrame:
         return staged(pat.service_pattern_bridge(self.live("journey_patterns"), self.sequence))
 
+    @cached_property
+    def flexible_sequence(self) -> DataFrame:
+        return staged(seq.flexible_stop_sequence(self.live("flexible_stops")).drop("in_sequence"))
+
     @cached_property
     def flexible_bridge(self) -> DataFrame:
-        stops = seq.flexible_stop_sequence(self.live("flexible_stops"))
-        return staged(pat.service_pattern_bridge(self.live("flexible_patterns"), stops.drop("in_sequence")))
+        return staged(pat.service_pattern_bridge(self.live("flexible_patterns"), self.flexible_sequence))
 
     @cached_property
     def journey_map(self) -> DataFrame:
@@ -173,10 +184,9 @@ class TimetableJob(Mapping[str, DataFrame]):
 
     @cached_property
     def pattern_stops(self) -> DataFrame:
-        flexible = seq.flexible_stop_sequence(self.live("flexible_stops")).drop("in_sequence")
         return (
             self.bridge.join(self.sequence, ["file_id", "jp_id"])
-            .unionByName(self.flexible_bridge.join(flexible, ["file_id", "jp_id"]))
+            .unionByName(self.flexible_bridge.join(self.flexible_sequence, ["file_id", "jp_id"]))
             .select("file_id", "service_pattern_id", "stop_ref")
         )
 
@@ -203,7 +213,11 @@ class TimetableJob(Mapping[str, DataFrame]):
     @cached_property
     def representatives(self) -> DataFrame:
         """The first journey pattern of each service pattern stands for its stops."""
-        return self.bridge.groupBy("file_id", "service_pattern_id").agg(
+        return self._first_of(self.bridge)
+
+    @staticmethod
+    def _first_of(bridge: DataFrame) -> DataFrame:
+        return bridge.groupBy("file_id", "service_pattern_id").agg(
             F.min_by(F.struct("jp_id", "service_code"), "ordinal").alias("r")
         ).select("file_id", "service_pattern_id", "r.*")
 
@@ -228,26 +242,33 @@ class TimetableJob(Mapping[str, DataFrame]):
         return rows.join(patterns, ["file_id", "jp_id"], "left").join(stops, ["file_id", "atco_code"], "left")
 
     def _metadata(self) -> DataFrame:
+        return self._metadata_of(self.representatives, self.sequence, self["pattern_directions"], self["pattern_lines"])
+
+    def _flexible_metadata(self) -> DataFrame:
+        return self._metadata_of(
+            self._first_of(self.flexible_bridge), self.flexible_sequence, self["flexible_pattern_directions"], self["flexible_pattern_lines"]
+        )
+
+    def _metadata_of(self, representatives: DataFrame, sequence: DataFrame, directions: DataFrame, lines: DataFrame) -> DataFrame:
         names = self.stop_rows.select("file_id", "atco_code", F.col("common_name").alias("name"))
-        ends = self.sequence.groupBy("file_id", "jp_id").agg(
+        ends = sequence.groupBy("file_id", "jp_id").agg(
             F.min_by("stop_ref", "pos").alias("first_stop"), F.max_by("stop_ref", "pos").alias("last_stop")
         )
         first = names.select("file_id", F.col("atco_code").alias("first_stop"), F.col("name").alias("first_stop_name"))
         last = names.select("file_id", F.col("atco_code").alias("last_stop"), F.col("name").alias("last_stop_name"))
         keys = ["file_id", "service_pattern_id"]
         patterns = (
-            self.representatives.join(ends, ["file_id", "jp_id"], "left")
+            representatives.join(ends, ["file_id", "jp_id"], "left")
             .join(first, ["file_id", "first_stop"], "left")
             .join(last, ["file_id", "last_stop"], "left")
-            .join(self["pattern_directions"], keys, "left")
-            .join(self["pattern_lines"].withColumnRenamed("line_ref", "line_id"), keys, "left")
+            .join(directions, keys, "left")
+            .join(lines.withColumnRenamed("line_ref", "line_id"), keys, "left")
         )
         return pat.pattern_metadata(patterns, self.live("services"), self.live("lines"))
 
     def _geometry(self) -> DataFrame:
         """Line of each service pattern: its tracks where all pairs have one, else its stops."""
-        spots = self.stop_rows.select("file_id", F.col("atco_code").alias("stop_ref"), "lon", "lat")
-        along_stops = trk.pattern_line(self.sequence.join(spots, ["file_id", "stop_ref"]).withColumn("k", F.lit(0)))
+        along_stops = self._stop_lines(self.sequence)
         enough = trk.sufficient_tracks(self.pairs, self.tracks).where("sufficient")
         along_tracks = trk.pattern_geometry(self.pairs.join(enough, ["file_id", "jp_id"], "left_semi"), self.tracks, trk.SNAP_METRES)
         shapes = along_stops.withColumnRenamed("points", "stop_points").join(
@@ -257,6 +278,39 @@ class TimetableJob(Mapping[str, DataFrame]):
             "file_id", "service_pattern_id", F.coalesce("track_points", "stop_points").alias("points")
         )
 
+    def _flexible_geometry(self) -> DataFrame:
+        lines = self._stop_lines(self.flexible_sequence)
+        return self._first_of(self.flexible_bridge).join(lines, ["file_id", "jp_id"]).select("file_id", "service_pattern_id", "points")
+
+    def _stop_lines(self, sequence: DataFrame) -> DataFrame:
+        """Lines through the stops of patterns, the points of a stop's flexible zone behind the stop."""
+        spots = self.stop_rows.select("file_id", F.col("atco_code").alias("stop_ref"), F.lit(0).alias("k"), "lon", "lat")
+        zones = self.live("zone_points").withColumnRenamed("atco_code", "stop_ref")
+        if "zone" in self.references.stops.columns:
+            own = zones.select("file_id", "stop_ref").distinct()
+            stored = self.references.stops.select(F.col("atco_code").alias("stop_ref"), F.posexplode("zone").alias("k", "p"))
+            register = spots.select("file_id", "stop_ref").join(own, ["file_id", "stop_ref"], "left_anti").join(stored, "stop_ref")
+            zones = zones.unionByName(register.select("file_id", "stop_ref", (F.col("k") + 1).alias("k"), "p.lon", "p.lat"))
+        return trk.pattern_line(sequence.join(spots.unionByName(zones), ["file_id", "stop_ref"]))
+
+    def _run_statistics(self) -> DataFrame:
+        """Sums over all service patterns of a file, flexible ones included."""
+        keys = ["file_id", "service_pattern_id"]
+
+        def number(rows: DataFrame, name: str) -> DataFrame:
+            return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+        along = self.representatives.join(self.pattern_tracks, ["file_id", "jp_id"])
+        patterns = self["pattern_members"].unionByName(self["flexible_pattern_members"])
+        for part in (
+            number(self["pattern_localities"], "localities"),
+            number(self["pattern_admin_areas"], "admin_areas"),
+            number(along, "tracks"),
+            self["pattern_distances"].select(*keys, "distance"),
+        ):
+            patterns = patterns.join(part, keys, "left")
+        return rollup.run_statistics(patterns, MEASURES)
+
     def _distances(self) -> DataFrame:
         spots = self.stop_rows.select("file_id", "atco_code", "lon", "lat")
         found = trk.pattern_distance(self.pairs, self.tracks, spots, self.references.routed)

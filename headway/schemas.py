@@ -174,7 +174,7 @@ _STOP_POINT = struct(
     Descriptor=struct(CommonName=TEXT),
     Place=struct(NptgLocalityRef=TEXT, Location=_LOCATION),
     StopClassification=struct(
-        StopType=TEXT, OnStreet=struct(Bus=struct(BusStopType=TEXT))
+        StopType=TEXT, OnStreet=struct(Bus=struct(BusStopType=TEXT, FlexibleZone=struct(Location=array(_LOCATION))))
     ),
     StopAreas=struct(StopAreaRef=TEXTS),
     AdministrativeAreaRef=TEXT,

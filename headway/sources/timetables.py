@@ -265,6 +265,14 @@ def stop_points(docs: DataFrame) -> DataFrame:
     return own.unionByName(annotated, allowMissingColumns=True)
 
 
+def zone_points(docs: DataFrame) -> DataFrame:
+    """Points of the flexible zones of a file's own stops, numbered from 1 (``k``); those that cannot be read are skipped."""
+    full = _explode(docs, F.col("StopPoints.StopPoint")).where("e.AtcoCode is not null")
+    zone = F.col("e.StopClassification.OnStreet.Bus.FlexibleZone.Location")
+    rows = full.select("file_id", F.col("e.AtcoCode").alias("atco_code"), F.posexplode(F.transform(zone, _point)).alias("k", "p"))
+    return rows.where("p.lon is not null").select("file_id", "atco_code", (F.col("k") + 1).alias("k"), "p.lon", "p.lat")
+
+
 def _ranges(ranges: Column) -> Column:
     """Date ranges with both ends."""
     read = F.transform(
@@ -525,6 +533,7 @@ SECTIONS = {
     "route_links": route_links,
     "routes": routes,
     "stop_points": stop_points,
+    "zone_points": zone_points,
     "serviced_organisations": serviced_organisations,
     "vehicle_journeys": vehicle_journeys,
     "vj_links": vj_links,

@@ -99,10 +99,13 @@ def test_one_row_per_stop_for_all_tables(spark):
         "<Translation><Longitude>-3</Longitude><Latitude>50</Latitude></Translation></Location></Place><StopClassification><StopType>BCT</StopType></StopClassification>"
         "<AdministrativeAreaRef>1</AdministrativeAreaRef></StopPoint>")
     read = docs.parse_timetables(spark.createDataFrame([(1, text)], "file_id long, text string"))
-    stops = spark.createDataFrame([], "atco_code string, id int, common_name string, lon double, lat double, locality_id string, admin_area_id int")
+    stops = spark.createDataFrame(
+        [(c, i, f"Reg {c}", -1.0 - i / 100, 52.0, "E1", 3) for i, c in enumerate("ABC")],
+        "atco_code string, id int, common_name string, lon double, lat double, locality_id string, admin_area_id int",
+    )
     made = process(read, References(stops, spark.createDataFrame([], "txc_element string, date date, division string")))
-    assert rows(made["stop_times"], "atco_code", "common_name") == [("A", "Another"), ("B", "Own B"), ("C", "Stop C")]
-    assert (made["pattern_metadata"].first().origin, made["pattern_metadata"].first().destination) == ("Another", "Stop C")
+    assert rows(made["stop_times"], "atco_code", "common_name") == [("A", "Reg A"), ("B", "Own B"), ("C", "Reg C")]
+    assert (made["pattern_metadata"].first().origin, made["pattern_metadata"].first().destination) == ("Reg A", "Reg C")
 
 
 def test_pattern_ids_and_their_tables(job):
@@ -132,6 +135,34 @@ def test_flexible_patterns(job):
     assert rows(job["pattern_localities"].where("file_id = 2"), "locality_id") == [("E1",), ("E1",)]
 
 
+def test_flexible_patterns_are_full_patterns(job):
+    keys = ("file_id", "num_stops", "vehicle_journeys")
+    assert rows(job["flexible_pattern_members"], *keys) == [(2, 2, 1)]
+    assert rows(job["flexible_pattern_directions"], "direction") == [("outbound",)]
+    assert rows(job["flexible_pattern_lines"], "line_ref") == [("l1",)]
+    assert rows(job["flexible_pattern_metadata"], "origin", "destination", "line_name", "description") == [("Stop A", "Stop C", "One", "Stop A - Stop C")]
+    assert [[tuple(p) for p in r.points] for r in job["flexible_pattern_geometry"].collect()] == [[(-1.0, 52.0), (-1.02, 52.0)]]
+    stats = job["run_statistics"].where("file_id = 2").first().asDict()
+    assert stats == dict(file_id=2, service_patterns=2, num_stops=5, journey_patterns=2, vehicle_journeys=2, localities=2, admin_areas=2, tracks=2, distance=1600)
+
+
+def test_zone_points_follow_their_stop(spark):
+    spot = lambda lon: f"<Location><Translation><Longitude>{lon}</Longitude><Latitude>50</Latitude></Translation></Location>"
+    text = timetable(1, "a.xml", flexible=True).replace(
+        "<StopPoints>", f"<StopPoints><StopPoint><AtcoCode>A</AtcoCode><Descriptor><CommonName>Own A</CommonName></Descriptor><Place><NptgLocalityRef>E</NptgLocalityRef>{spot(-3)}</Place>"
+        f"<StopClassification><StopType>BCT</StopType><OnStreet><Bus><BusStopType>FLX</BusStopType><FlexibleZone>{spot(-3.1)}<Location/>{spot(-3.2)}</FlexibleZone></Bus></OnStreet></StopClassification>"
+        "<AdministrativeAreaRef>1</AdministrativeAreaRef></StopPoint>")
+    read = docs.parse_timetables(spark.createDataFrame([(1, text)], "file_id long, text string"))
+    zone = "zone array<struct<lon:double,lat:double>>"
+    stops = spark.createDataFrame(
+        [("C", 2, "Stop C", -1.0, 52.0, "E1", 3, [(-1.5, 52.5)]), ("A", 1, "Stop A", 0.0, 0.0, "E1", 3, [(9.0, 9.0)]), ("B", 3, "Stop B", -2.0, 51.0, "E1", 3, None)],
+        f"atco_code string, id int, common_name string, lon double, lat double, locality_id string, admin_area_id int, {zone}",
+    )
+    made = process(read, References(stops, spark.createDataFrame([], "txc_element string, date date, division string")))
+    want = [(-3.0, 50.0), (-3.1, 50.0), (-3.2, 50.0), (-1.0, 52.0), (-1.5, 52.5)]
+    assert [[tuple(p) for p in r.points] for r in made["flexible_pattern_geometry"].collect()] == [want]
+
+
 def test_prefixed_documents_read_alike(spark):
     texts = spark.createDataFrame([(i, timetable(1, "a.xml", flexible=True, prefix=p)) for i, p in enumerate(("", "t:"))], "file_id long, text string")
     read = docs.parse_timetables(texts)
