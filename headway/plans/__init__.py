@@ -3,6 +3,7 @@
 from headway.plans import (  # noqa: F401
     q_calendar,
     q_documents,
+    q_job_tables,
     q_jobs,
     q_large,
     q_lifecycle,
