@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.common import document_key, shards, texts_of, unused
 from headway.llm.simhash import _FOLD
-from headway.session import staged
+from headway.session import release, staged
 
 # Buckets of the counts that order shingles from rare to frequent.
 BUCKETS = 1 << 18
@@ -81,7 +81,7 @@ def may_meet(percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``did, th`` of the later text of every pair (``a``, ``b``) whose shingles overlap by ``percent``."""
+    """``did, th`` of the later text of every pair (``a``, ``b``) whose shingles overlap by ``percent``; staged."""
     keys = pairs.where(may_meet(percent)).select(
         F.col("a.did").alias("did_a"), F.col("a.th").alias("th_a"), F.col("b.did").alias("did"), F.col("b.th").alias("th")
     )
@@ -100,7 +100,10 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
                 close.append(100 * common >= percent * (len(a) + len(b) - common))
             yield part.select(["did", "th"]).filter(pa.array(close, pa.bool_()))
 
-    return both.mapInArrow(work, "did long, th long").distinct()
+    found = staged(both.mapInArrow(work, "did long, th long").distinct())
+    release(keys)
+    release(texts)
+    return found
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -116,15 +119,19 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     """
     keyed = docs.select(*document_key(id_col, text), F.col(text).alias("text"))
     entries = staged(prefixes(keyed, width, percent))
-    often = entries.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
-    lists = staged(entries.join(often, "h"))
     member = F.struct("did", "th", "n", "pos")
-    heads = lists.groupBy("h").agg(F.min(member).alias("a"))
+    heads = entries.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min(member).alias("a")).where("k > 1")
+    lists = staged(entries.join(heads, "h").select("h", "k", "a", member.alias("b")))
+    release(entries)
     earlier = F.struct("a.did", "a.th") < F.struct("b.did", "b.th")
-    members = lists.select("h", member.alias("b"))
-    first = staged(verified(heads.join(members, "h").where(earlier), keyed, width, percent))
-    alone = lists.join(first, ["did", "th"], "left_anti").select("h", member.alias("b"))
-    second = verified(lists.select("h", member.alias("a")).join(alone, "h").where(earlier), keyed, width, percent)
+    first = verified(lists.where(earlier).select("a", "b"), keyed, width, percent)
+    # In a list of two the first one is all there is to meet.
+    longer = lists.where("k > 2")
+    found = first.select(F.col("did").alias("found_did"), F.col("th").alias("found_th"))
+    alone = longer.join(found, (F.col("b.did") == F.col("found_did")) & (F.col("b.th") == F.col("found_th")), "left_anti").select("h", "b")
+    pairs = longer.select("h", F.col("b").alias("a")).join(alone, "h").where(earlier)
+    second = verified(pairs, keyed, width, percent)
+    release(lists)
     own = unused(docs, "_did", "_th")
     gone = first.union(second).toDF(*own)
     marked = docs.withColumns(dict(zip(own, document_key(id_col, text), strict=True)))
