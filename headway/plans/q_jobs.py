@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.plans.registry import Tables, query
+from headway.plans.registry import Tables, query, shared
 from headway.plans.timetable_job import References, process
 from headway.plans.xml_orders import timetable_documents
 from headway.session import shared_folder, staged
@@ -35,6 +35,7 @@ def _references(t: Tables) -> References:
     return References(stops, holidays)
 
 
+@shared
 def _job(t: Tables):
     """Seven uploads share service codes."""
     docs = staged(parse_timetables(timetable_documents(t)).withColumn("revision_id", F.col("file_id") % 7))

@@ -26,6 +26,21 @@ class Tables:
         return df.repartition(self.spark.sparkContext.defaultParallelism * 2, key)
 
 
+_SHARED: dict[tuple[str, str, str], object] = {}
+
+
+def shared(plan: Callable[[Tables], object]) -> Callable[[Tables], object]:
+    """What several queries need of one folder is made once per application (its staged tables are read again)."""
+
+    def made(t: Tables) -> object:
+        key = (t.spark.sparkContext.applicationId, t.folder, f"{plan.__module__}.{plan.__name__}")
+        if key not in _SHARED:
+            _SHARED[key] = plan(t)
+        return _SHARED[key]
+
+    return made
+
+
 def query(name: str, sql: str | None = None):
     """Register a plan under a name; ``sql`` gives the same rows in ANSI SQL."""
 
