@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway.functions import geo, text, time
+from headway.session import release, staged
 
 
 def one(spark, column):
@@ -217,3 +218,12 @@ def test_hausdorff(spark):
     assert one(spark, geo.hausdorff(a, b)) == pytest.approx(3)
     assert one(spark, geo.hausdorff(a, line((0, 0), (4, 0), (10, 0)))) == pytest.approx(0)
     assert one(spark, geo.hausdorff(a, line((0, 0), (10, 0), (10, 7)))) == pytest.approx(7)
+
+
+def test_a_table_small_on_disk_alone_is_not_sent_out(spark):
+    # 300,000 rows of the same long text take a few megabytes as files and 200 in memory.
+    table = staged(spark.range(300_000).select(F.col("id").alias("file_id"), F.lit("stop " * 100).alias("text")))
+    joined = table.join(table.withColumnRenamed("text", "other"), "file_id")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    release(table)
+    assert "Join" in plan and "Broadcast" not in plan
