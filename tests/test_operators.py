@@ -1,5 +1,6 @@
 import datetime
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -248,6 +249,18 @@ class TestCalendar:
         day = D(2024, 12, 25)
         assert exceptions(spark, profile(off=[(day, day)], bank_off=["Xmas"])) == [(day, False)]
 
+    def test_days_of_a_journey_are_united_once(self, spark):
+        span = (D(2024, 3, 1), D(2024, 3, 4))
+        other = (False,) * 5 + (True,) * 2 + (False,)
+        found = exceptions(spark, profile(on=[span]), profile(days=other, on=[span]))
+        assert found == [(D(2024, 3, day), True) for day in (1, 2, 3, 4)]
+        eff = res.effective_profiles(spark.createDataFrame([("f", "v")], "file_id string, vj_code string"), spark.createDataFrame([profile(on=[span])], PROFILE))
+        services = spark.createDataFrame([("f", "c", 0, D(2024, 1, 1), None)], "file_id string, service_code string, service_pos int, start_date date, end_date date")
+        holidays = spark.createDataFrame([("Xmas", D(2024, 12, 25), "scotland")], "txc_element string, date date, division string")
+        plan = cal.exceptions(eff, services, holidays)._jdf.queryExecution().optimizedPlan().toString()
+        # No second aggregate over single dates, which are many times the words.
+        assert not re.search(r"Aggregate \[[^\]]*date#", plan)
+
     def test_profile_of_first_service(self, spark):
         span = (D(2024, 3, 2), D(2024, 3, 2))
         got = exceptions(spark, profile("service", "s2", 1), profile("service", "s1", 0, on=[span]))
