@@ -475,6 +475,52 @@ def test_new_tracks_are_compared_alone(spark):
         assert all(r.track_a in ids or r.track_b in ids or tuple(map(tuple, data[r.track_a][3])) in fresh for r in added.collect())
 
 
+def test_crowded_cells_are_dealt_out(spark, monkeypatch):
+    """All lines of one cell: pairs are compared by many tasks, and none is lost."""
+    rng = random.Random(11)
+    data = [track(i, *[(-1 + rng.uniform(0, 4e-4), 52 + rng.uniform(0, 2e-4)) for _ in range(rng.randrange(2, 12))]) for i in range(150)]
+    df = spark.createDataFrame(data, TRACKS).cache()
+    whole = rows(trk.similar_tracks(df), "track_a", "track_b")
+    monkeypatch.setattr(trk, "PAIRS_AT_ONCE", 200)
+    dealt = trk.similar_tracks(df)
+    assert rows(dealt, "track_a", "track_b") == whole and whole
+    assert dealt.where("distance > 0").select(F.spark_partition_id()).distinct().count() > 20
+
+
+def test_batched_distance_is_the_column_expression(spark):
+    import numpy as np
+
+    from headway.functions.geo import hausdorff, planar
+    from headway.operators.nearness import hausdorff_of
+
+    rng = random.Random(4)
+
+    def line():
+        points = [(-1 + rng.uniform(0, 4e-3), 52 + rng.uniform(0, 4e-3)) for _ in range(rng.choice([0, 1, 2, 3, 7, 9, 20, 33]))]
+        return [(None, y) if rng.random() < 0.03 else (x, y) for x, y in points]
+
+    kind = "array<struct<lon:double,lat:double>>"
+    pairs = spark.createDataFrame([(i, line(), line()) for i in range(400)], f"i int, a {kind}, b {kind}")
+    lat0, lon0 = F.lit(52.0), F.lit(-1.0)
+    plain = pairs.withColumn("d", hausdorff(planar(F.col("a"), lat0, lon0), planar(F.col("b"), lat0, lon0))).withColumn("c", F.cos(F.radians(lat0)))
+    table = plain.orderBy("i").toArrow().combine_chunks()
+    n = len(table)
+    got = hausdorff_of(table["a"].combine_chunks(), table["b"].combine_chunks(), np.full(n, -1.0), np.full(n, 52.0), table["c"].to_numpy())
+    want = np.array([np.nan if d is None else d for d in table["d"].to_pylist()])
+    np.testing.assert_allclose(got, want, rtol=1e-12)
+
+
+def test_forest_keeps_components(spark):
+    from headway.operators.nearness import forest
+
+    rng = random.Random(6)
+    edges = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(350)]
+    df = spark.createDataFrame(edges + edges[::-1] * 20, "src long, dst long")
+    fewer = forest(df)
+    assert fewer.count() < 8 * 600
+    assert rows(connected_components(fewer)) == rows(connected_components(df))
+
+
 def test_days_as_bitmaps(spark):
     """Words of ranges, weekdays and back, around the epoch and over word borders."""
     rng = random.Random(5)
