@@ -44,6 +44,20 @@ def times(spark, links, sections=("s",), start="10:00:00", overrides=(), blocked
     return [tuple(r) for r in picked.collect()]
 
 
+def test_blocked_steps_read_what_was_written_once(spark):
+    """Blocked sums read their rows twice: these are staged, not joined out of the sections again."""
+    links = [link("s", i, use(f"P{i}"), use(f"P{i + 1}")) for i in range(3)]
+    out = seq.stop_times(
+        spark.createDataFrame([("f", "v", 0, "j", None, None, None, "10:00:00")], VJS),
+        spark.createDataFrame([("f", "j", 0, "c", "inbound", ["s"])], JPS),
+        spark.createDataFrame(links, LINKS),
+        spark.createDataFrame([], VJ_LINKS),
+        blocked=True,
+    )
+    assert any("staged-" in f for f in out.inputFiles())
+    assert [r.departure_time for r in out.orderBy("auto_sequence_number").collect()] == ["10:00:00", "10:01:00", "10:02:00", "10:03:00"]
+
+
 @pytest.mark.parametrize("blocked", [False, True])
 class TestStopTimes:
     def test_one_section(self, spark, blocked):
