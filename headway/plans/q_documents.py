@@ -21,8 +21,9 @@ from headway.sources.admission import REQUIRED, admit, admit_sections
 from headway.sources.documents import parse_fares, parse_timetables, safety_violations, unreadable_files
 
 
-def _docs(t: Tables) -> DataFrame:
-    return parse_timetables(timetable_documents(t))
+def _docs(t: Tables, section: str | None = None) -> DataFrame:
+    """The documents, or what one section function reads of them."""
+    return parse_timetables(timetable_documents(t), fields=src.FIELDS[section] if section else None)
 
 
 @query("timetable_violations", violations_sql())
@@ -135,7 +136,7 @@ def fares_zone_stop_refs(t: Tables) -> DataFrame:
   'f' || o_orderkey || '.xml' AS filename FROM orders""",
 )
 def document_metadata(t: Tables) -> DataFrame:
-    return src.metadata(_docs(t))
+    return src.metadata(_docs(t, "metadata"))
 
 
 @query(
@@ -150,7 +151,7 @@ def document_metadata(t: Tables) -> DataFrame:
 FROM orders, (VALUES (0), (1)) x(v) WHERE NOT (v = 0 AND o_orderkey % 50 = 0)""",
 )
 def document_journeys(t: Tables) -> DataFrame:
-    accepted, _ = admit(src.vehicle_journeys(_docs(t)), REQUIRED["vehicle_journeys"])
+    accepted, _ = admit(src.vehicle_journeys(_docs(t, "vehicle_journeys")), REQUIRED["vehicle_journeys"])
     return accepted.drop("line_ref", "service_ref", "commercial_basis")
 
 
@@ -178,7 +179,7 @@ FROM orders, unnest(generate_series(0, o_orderkey % 2)) u(j)
 UNION ALL SELECT o_orderkey, 0, 'LX', NULL, NULL FROM orders WHERE o_orderkey % 10 = 3""",
 )
 def document_lines(t: Tables) -> DataFrame:
-    return src.lines(_docs(t)).select(
+    return src.lines(_docs(t, "lines")).select(
         "file_id", "line_pos", "line_name",
         F.col("inbound.description").alias("inbound"), F.col("outbound.description").alias("outbound"),
     )
@@ -192,7 +193,7 @@ def document_lines(t: Tables) -> DataFrame:
 UNION ALL SELECT o_orderkey, 'VJ1', 1, 0, 0, 0 FROM orders WHERE o_orderkey % 4 = 0""",
 )
 def document_profiles(t: Tables) -> DataFrame:
-    p = src.operating_profiles(_docs(t))
+    p = src.operating_profiles(_docs(t, "operating_profiles"))
     return p.select(
         "file_id",
         "owner_id",
@@ -209,7 +210,7 @@ def document_profiles(t: Tables) -> DataFrame:
 FROM orders WHERE o_orderkey % 4 = 3""",
 )
 def document_special_days(t: Tables) -> DataFrame:
-    profiles = src.operating_profiles(_docs(t))
+    profiles = src.operating_profiles(_docs(t, "operating_profiles"))
     return profiles.select("file_id", "owner_id", F.explode("special_operation").alias("r")).select(
         "file_id", "owner_id", F.col("r.start").alias("first_day"), F.col("r.end").alias("last_day")
     )
@@ -219,7 +220,7 @@ def document_special_days(t: Tables) -> DataFrame:
 def unreadable(t: Tables) -> DataFrame:
     """Every seventeenth document breaks off before its end."""
     cut = F.when(F.col("file_id") % 17 == 0, F.expr("left(text, length(text) - 20)")).otherwise(F.col("text"))
-    return unreadable_files(parse_timetables(timetable_documents(t).withColumn("text", cut)))
+    return unreadable_files(parse_timetables(timetable_documents(t).withColumn("text", cut), fields=src.FIELDS["metadata"]))
 
 
 @query(
@@ -229,7 +230,7 @@ FROM orders, (VALUES (0), (3)) v(n)
 UNION ALL SELECT o_orderkey, 'ST' || (o_orderkey % 7), false, 'Own ' || (o_orderkey % 7), 'E1', -2.25 FROM orders WHERE o_orderkey % 9 = 2""",
 )
 def document_stops(t: Tables) -> DataFrame:
-    return src.stop_points(_docs(t)).select("file_id", "atco_code", "is_reference", "common_name", "locality_name", "lon")
+    return src.stop_points(_docs(t, "stop_points")).select("file_id", "atco_code", "is_reference", "common_name", "locality_name", "lon")
 
 
 @query(
@@ -240,7 +241,7 @@ FROM orders, (VALUES (true, 0, false), (true, 1, true), (false, 0, true)) v(in_s
 WHERE o_orderkey % 20 IN (1, 3) AND o_orderkey % 40 <> 3""",
 )
 def document_flexible_stops(t: Tables) -> DataFrame:
-    return src.flexible_stops(_docs(t)).drop("timing_status")
+    return src.flexible_stops(_docs(t, "flexible_stops")).drop("timing_status")
 
 
 @query(
@@ -249,7 +250,7 @@ def document_flexible_stops(t: Tables) -> DataFrame:
   CAST(CASE WHEN l = 1 THEN 0 WHEN o_orderkey % 33 = 0 THEN 1 ELSE 2 END AS INTEGER) AS points FROM orders, (VALUES (0), (1)) v(l)""",
 )
 def document_route_links(t: Tables) -> DataFrame:
-    return src.route_links(_docs(t)).select("file_id", "link_id", "distance", F.coalesce(F.size("points"), F.lit(0)).alias("points"))
+    return src.route_links(_docs(t, "route_links")).select("file_id", "link_id", "distance", F.coalesce(F.size("points"), F.lit(0)).alias("points"))
 
 
 @query(

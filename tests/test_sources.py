@@ -88,6 +88,22 @@ def test_parsing_text_equals_reading_files(spark, tmp_path):
         assert a == b and a
 
 
+def test_narrow_parsing_gives_the_same_sections(spark):
+    texts = [TIMETABLE, TIMETABLE.replace("</VehicleJourneys>", ""), "<TransXChange FileName='x'><VehicleJourneys/><Services><Service/></Services></TransXChange>", "<TransXChange><Services>", "", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "file_id int, text string")
+    for name, fields in src.FIELDS.items():
+        narrow = src.SECTIONS[name](docs.parse_timetables(frame, fields=fields))
+        assert rows(narrow) == rows(src.SECTIONS[name](docs.parse_timetables(frame))), name
+    corrupt = docs.unreadable_files(docs.parse_timetables(frame, fields=src.FIELDS["metadata"]))
+    assert rows(corrupt) == rows(docs.unreadable_files(docs.parse_timetables(frame)))
+
+
+def test_filters_do_not_parse_again(spark):
+    frame = spark.range(3).selectExpr("id as file_id", "concat('<TransXChange>', id, '</TransXChange>') as text")
+    plan = docs.parse_timetables(frame).select("file_id", F.explode("StopPoints.StopPoint"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") == 1
+
+
 def test_corrupt_file_is_kept(spark, tmp_path):
     path = corpus(tmp_path, good=TIMETABLE, bad="<TransXChange><Services><Service></TransXChange>")
     parsed = docs.parse_timetables(docs.scan_corpus(spark, path).select("file_id", "name", "text"))
