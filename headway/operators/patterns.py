@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.text import sequence_key
@@ -37,6 +37,15 @@ def service_pattern_bridge(journey_patterns: DataFrame, sequence: DataFrame) ->
     the service code of the first of them and the hash of file id and stops, so
     ids repeat on re-runs and differ between files, hence between revisions.
     """
+    return patterns_with_stops(journey_patterns, sequence).drop("stops")
+
+
+def patterns_with_stops(journey_patterns: DataFrame, sequence: DataFrame) -> DataFrame:
+    """The bridge with each pattern's list of ``stops``, so that these need not be joined again.
+
+    The first service code is told by a window over a file's patterns of one list, not by
+    a join of the patterns with themselves, which would work out all sequences twice.
+    """
     stops = sequence.groupBy("file_id", "jp_id").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("pos", "stop_ref"))), lambda s: s["stop_ref"]
@@ -50,10 +59,9 @@ def service_pattern_bridge(journey_patterns: DataFrame, sequence: DataFrame) ->
         sequence_key(F.col("file_id"), F.col("stops")).alias("sequence_key"),
         F.size("stops").alias("num_stops"),
     )
-    first = keyed.groupBy("file_id", "sequence_key").agg(
-        F.min_by("service_code", "ordinal").alias("first_service")
-    )
-    return keyed.drop("stops").join(first, ["file_id", "sequence_key"]).select(
+    alike = Window.partitionBy("file_id", "sequence_key")
+    first = F.min_by("service_code", "ordinal").over(alike).alias("first_service")
+    return keyed.where("sequence_key is not null").select("*", first).select(
         "file_id",
         "jp_id",
         "ordinal",
@@ -62,6 +70,7 @@ def service_pattern_bridge(journey_patterns: DataFrame, sequence: DataFrame) ->
             "service_pattern_id"
         ),
         "num_stops",
+        "stops",
     )
 
 

@@ -25,13 +25,13 @@ def _text(*parts):
 
 
 def link_rows(t: Tables) -> DataFrame:
-    """One row per line item with its place as a timing link."""
+    """One row per line item with its place as a timing link, a file's rows together."""
     half = F.when(F.col("l_linenumber") <= 3, "A").otherwise("B")
-    section = Window.partitionBy("l_orderkey", "half")
+    section = Window.partitionBy("file_id", "l_orderkey", "half")
     in_order = section.orderBy(*LINE_ORDER)
     whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     place = F.row_number().over(in_order) - 1
-    rows = t.lineitem.withColumn("half", half).withColumns(
+    rows = t.lineitem.withColumn("file_id", _file("l_orderkey")).repartition("file_id").withColumn("half", half).withColumns(
         {
             "link_pos": place,
             "links": F.count(F.lit(1)).over(whole),
@@ -57,7 +57,7 @@ def timing_links(t: Tables) -> DataFrame:
     ).otherwise("pickUpAndSetDown")
     alight = F.when(supp % 13 != 0, "pass")
     return link_rows(t).select(
-        _file("l_orderkey").alias("file_id"),
+        "file_id",
         "section_id",
         "link_pos",
         "link_id",
@@ -88,14 +88,14 @@ def timing_links(t: Tables) -> DataFrame:
 
 def journey_patterns(t: Tables) -> DataFrame:
     """One per order that has lines; its sections in order."""
-    half = F.when(F.col("l_linenumber") <= 3, "A").otherwise("B")
-    refs = t.lineitem.groupBy("l_orderkey").agg(
-        F.array_sort(
-            F.collect_set(_text("S", F.col("l_orderkey"), "-", half))
-        ).alias("section_refs")
-    )
-    return t.orders.join(refs, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        _file("o_orderkey").alias("file_id"),
+    number = F.col("l_linenumber")
+    first, second = [F.when(F.bool_or(c), _text("S", F.col("l_orderkey"), h)) for c, h in
+                     ((F.coalesce(number <= 3, F.lit(False)), "-A"), (F.coalesce(number > 3, F.lit(True)), "-B"))]
+    rows = t.lineitem.select(_file("l_orderkey").alias("file_id"), "l_orderkey", "l_linenumber").repartition("file_id")
+    refs = rows.groupBy("file_id", "l_orderkey").agg(F.array_compact(F.array(first, second)).alias("section_refs"))
+    orders = t.orders.withColumns({"file_id": _file("o_orderkey"), "l_orderkey": F.col("o_orderkey")})
+    return orders.join(refs, ["file_id", "l_orderkey"]).select(
+        "file_id",
         _text("JP", F.col("o_orderkey")).alias("jp_id"),
         F.col("o_orderkey").alias("ordinal"),
         _text("SV", F.col("o_custkey") % 3).alias("service_code"),
@@ -128,7 +128,7 @@ def vehicle_journeys(t: Tables) -> DataFrame:
 def vj_links(t: Tables) -> DataFrame:
     rows = link_rows(t).where("l_tax > 0.05")
     return rows.select(
-        _file("l_orderkey").alias("file_id"),
+        "file_id",
         _text("VJ", F.col("l_orderkey")).alias("vj_code"),
         F.col("link_pos").alias("pos"),
         F.col("link_id").alias("link_ref"),
@@ -163,11 +163,10 @@ def supplier_pairs(t: Tables) -> DataFrame:
     )
 
 
-def placeholder_stops(links: DataFrame) -> DataFrame:
-    """Stop ST7 counts as unknown to the register."""
-    return (
-        links.select("file_id").distinct().withColumn("stop_ref", F.lit("ST7"))
-    )
+def placeholder_stops(t: Tables) -> DataFrame:
+    """Stop ST7 counts as unknown to the register, in every file that has links."""
+    files = t.lineitem.select(_file("l_orderkey").alias("file_id")).distinct()
+    return files.withColumn("stop_ref", F.lit("ST7"))
 
 
 NETWORK_SQL = """

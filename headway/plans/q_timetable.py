@@ -82,12 +82,12 @@ def _stop_times(t: Tables, blocked: bool) -> DataFrame:
     return out.withColumn("departure_seconds", F.col("departure_seconds").cast("bigint"))
 
 
-@query("stop_times", _STOP_TIMES_SQL)
+@query("stop_times", _STOP_TIMES_SQL, by_file=True)
 def stop_times(t: Tables) -> DataFrame:
     return _stop_times(t, blocked=False)
 
 
-@query("stop_times_blocked", _STOP_TIMES_SQL)
+@query("stop_times_blocked", _STOP_TIMES_SQL, by_file=True)
 def stop_times_blocked(t: Tables) -> DataFrame:
     return _stop_times(t, blocked=True)
 
@@ -97,8 +97,7 @@ def _links(t: Tables) -> DataFrame:
 
 
 def _sequence(t: Tables) -> DataFrame:
-    links = net.timing_links(t)
-    return seq.stop_sequence(_links(t), net.placeholder_stops(links))
+    return seq.stop_sequence(_links(t), net.placeholder_stops(t))
 
 
 @query(
@@ -106,6 +105,7 @@ def _sequence(t: Tables) -> DataFrame:
     "WITH " + NETWORK_SQL + """
 SELECT file_id, jp_id, CAST(section_pos AS INTEGER) AS section_pos, CAST(link_pos AS INTEGER) AS link_pos,
        from_stop, to_stop, is_last FROM links""",
+    by_file=True,
 )
 def pattern_links(t: Tables) -> DataFrame:
     return _links(t).select(
@@ -122,6 +122,7 @@ def pattern_links(t: Tables) -> DataFrame:
 @query(
     "stop_sequence",
     STOP_SEQUENCE_SQL + "SELECT file_id, jp_id, CAST(pos AS INTEGER) AS pos, stop_ref FROM seq",
+    by_file=True,
 )
 def stop_sequence(t: Tables) -> DataFrame:
     return _sequence(t)
@@ -137,6 +138,7 @@ uses AS (
   SELECT file_id, jp_id, section_pos, link_pos, 1, to_stop FROM links WHERE is_last)
 SELECT file_id, jp_id, CAST(row_number() OVER (PARTITION BY jp_id ORDER BY section_pos, link_pos, e) - 1 AS INTEGER) AS pos,
        stop_ref FROM uses""",
+    by_file=True,
 )
 def simple_stop_sequence(t: Tables) -> DataFrame:
     return seq.simple_stop_sequence(_links(t))
@@ -147,6 +149,7 @@ def simple_stop_sequence(t: Tables) -> DataFrame:
     STOP_SEQUENCE_SQL + """
 SELECT * FROM (SELECT file_id, jp_id, CAST(pos AS INTEGER) AS sequence_number, stop_ref AS from_stop,
   lead(stop_ref) OVER (PARTITION BY jp_id ORDER BY pos) AS to_stop FROM seq) WHERE to_stop IS NOT NULL""",
+    by_file=True,
 )
 def consecutive_pairs(t: Tables) -> DataFrame:
     return seq.consecutive_pairs(_sequence(t), ["file_id", "jp_id"], ["pos"])
@@ -173,6 +176,7 @@ tracks AS (SELECT min(s_suppkey) AS id, 'ST' || (s_suppkey % 11) AS a, 'ST' || (
   FROM supplier GROUP BY ALL)
 SELECT file_id, jp_id, CAST(sequence_number AS INTEGER) AS sequence_number, from_stop, to_stop, id AS tracks_id
 FROM pairs JOIN tracks ON a = from_stop AND b = to_stop""",
+    by_file=True,
 )
 def track_sequence(t: Tables) -> DataFrame:
     tracks = net.supplier_pairs(t).select(
@@ -192,6 +196,7 @@ ends AS (SELECT file_id, jp_id, min_by(stop_ref, pos) AS first_stop, max_by(stop
 names AS (SELECT 'ST' || p_partkey AS code, p_name || ' ' || p_partkey AS name FROM part)
 SELECT file_id, jp_id, first_stop, last_stop, a.name AS origin, b.name AS destination
 FROM ends LEFT JOIN names a ON a.code = first_stop LEFT JOIN names b ON b.code = last_stop""",
+    by_file=True,
 )
 def terminal_stops(t: Tables) -> DataFrame:
     return seq.terminal_stops(_sequence(t), net.stops(t))
@@ -202,6 +207,7 @@ def terminal_stops(t: Tables) -> DataFrame:
     "WITH " + NETWORK_SQL + """
 SELECT file_id, jp_id, CAST(sum(CASE WHEN l_quantity > 25 THEN 2 ELSE 0 END) AS BIGINT) AS principal_timing_points
 FROM links GROUP BY ALL""",
+    by_file=True,
 )
 def timing_point_count(t: Tables) -> DataFrame:
     return seq.timing_point_count(_links(t))
@@ -214,6 +220,7 @@ SELECT file_id, 'S' || l_orderkey || CASE half WHEN 0 THEN '-A' ELSE '-B' END AS
   CAST(link_pos AS INTEGER) AS link_pos, stop_ref, activity FROM (
   SELECT *, from_stop AS stop_ref, 'unknown' AS activity FROM links WHERE l_partkey % 13 = 0
   UNION ALL SELECT *, to_stop, NULL FROM links WHERE l_suppkey % 13 = 0)""",
+    by_file=True,
 )
 def unknown_activities(t: Tables) -> DataFrame:
     return seq.unknown_activities(net.timing_links(t))
@@ -226,6 +233,7 @@ lagged AS (SELECT file_id, l_orderkey, half, from_stop,
   lag(to_stop) OVER (PARTITION BY l_orderkey, half ORDER BY link_pos) AS prev FROM links)
 SELECT DISTINCT file_id, 'S' || l_orderkey || CASE half WHEN 0 THEN '-A' ELSE '-B' END AS section_id
 FROM lagged WHERE prev <> from_stop""",
+    by_file=True,
 )
 def broken_links(t: Tables) -> DataFrame:
     return seq.broken_links(net.timing_links(t))
@@ -255,6 +263,7 @@ def _bridge(t: Tables) -> DataFrame:
 @query(
     "service_patterns",
     _BRIDGE_SQL + """SELECT file_id, jp_id, service_code, service_pattern_id, CAST(num_stops AS INTEGER) AS num_stops FROM bridge""",
+    by_file=True,
 )
 def service_patterns(t: Tables) -> DataFrame:
     return _bridge(t).drop("ordinal")
@@ -278,7 +287,7 @@ def _journey_map(t: Tables) -> DataFrame:
     return res.journey_pattern_of(net.vehicle_journeys(t), _bridge(t))
 
 
-@query("journey_patterns_resolved", _JOURNEY_MAP_SQL + "SELECT file_id, vj_code, service_pattern_id, how FROM mapped")
+@query("journey_patterns_resolved", _JOURNEY_MAP_SQL + "SELECT file_id, vj_code, service_pattern_id, how FROM mapped", by_file=True)
 def journey_patterns_resolved(t: Tables) -> DataFrame:
     return _journey_map(t)
 
@@ -290,6 +299,7 @@ SELECT b.file_id, b.service_pattern_id, count(DISTINCT jp_id) AS journey_pattern
   CAST(max(num_stops) AS INTEGER) AS num_stops,
   (SELECT count(*) FROM mapped m WHERE m.file_id = b.file_id AND m.service_pattern_id = b.service_pattern_id) AS vehicle_journeys
 FROM bridge b GROUP BY b.file_id, b.service_pattern_id""",
+    by_file=True,
 )
 def pattern_members(t: Tables) -> DataFrame:
     return pat.pattern_members(_bridge(t), _journey_map(t))
@@ -303,6 +313,7 @@ counted AS (SELECT file_id, service_pattern_id,
     count(*) AS n, min(ordinal) AS first FROM bridge GROUP BY ALL)
 SELECT file_id, service_pattern_id, direction FROM (
   SELECT *, row_number() OVER (PARTITION BY file_id, service_pattern_id ORDER BY n DESC, first) AS r FROM counted) WHERE r = 1""",
+    by_file=True,
 )
 def pattern_direction(t: Tables) -> DataFrame:
     return pat.pattern_direction(_bridge(t), net.journey_patterns(t))
@@ -315,6 +326,7 @@ counted AS (SELECT file_id, service_pattern_id, line_ref, count(*) AS n, min(ord
   FROM mapped WHERE service_pattern_id IS NOT NULL GROUP BY ALL)
 SELECT file_id, service_pattern_id, line_ref FROM (
   SELECT *, row_number() OVER (PARTITION BY file_id, service_pattern_id ORDER BY n DESC, first) AS r FROM counted) WHERE r = 1""",
+    by_file=True,
 )
 def pattern_line(t: Tables) -> DataFrame:
     return pat.pattern_line(_journey_map(t), net.vehicle_journeys(t))
@@ -323,6 +335,7 @@ def pattern_line(t: Tables) -> DataFrame:
 @query(
     "patterns_of_service",
     _BRIDGE_SQL + "SELECT DISTINCT file_id, service_code AS used_by, service_pattern_id FROM bridge",
+    by_file=True,
 )
 def patterns_of_service(t: Tables) -> DataFrame:
     return pat.patterns_of_service(_bridge(t), net.journey_patterns(t))
@@ -348,9 +361,8 @@ pattern_stops AS (SELECT DISTINCT b.file_id, b.service_pattern_id, s.stop_ref FR
 
 
 def _pattern_stops(t: Tables) -> DataFrame:
-    return _bridge(t).join(_sequence(t), ["file_id", "jp_id"]).select(
-        "file_id", "service_pattern_id", "stop_ref"
-    )
+    patterns = pat.patterns_with_stops(net.journey_patterns(t), _sequence(t))
+    return patterns.select("file_id", "service_pattern_id", F.explode("stops").alias("stop_ref"))
 
 
 @query(
@@ -358,6 +370,7 @@ def _pattern_stops(t: Tables) -> DataFrame:
     _PATTERN_STOPS_SQL + """
 SELECT DISTINCT file_id, service_pattern_id, 'E' || (p_partkey % 40) AS locality_id
 FROM pattern_stops JOIN part ON 'ST' || p_partkey = stop_ref WHERE p_partkey % 4 <> 0""",
+    by_file=True,
 )
 def pattern_localities(t: Tables) -> DataFrame:
     return pat.pattern_localities(_pattern_stops(t), net.stops(t))
@@ -368,6 +381,7 @@ def pattern_localities(t: Tables) -> DataFrame:
     _PATTERN_STOPS_SQL + """
 SELECT DISTINCT file_id, service_pattern_id, CAST(p_partkey % 9 AS INTEGER) AS admin_area_id
 FROM pattern_stops JOIN part ON 'ST' || p_partkey = stop_ref WHERE p_partkey % 6 <> 0""",
+    by_file=True,
 )
 def pattern_admin_areas(t: Tables) -> DataFrame:
     return pat.pattern_admin_areas(_pattern_stops(t), net.stops(t))
@@ -393,11 +407,14 @@ SELECT file_id, service_pattern_id, origin, destination,
        ELSE 'unknown' END AS description,
   CASE WHEN line_id = 'L4' THEN 'unknown' ELSE 'Line ' || line_id END AS line_name
 FROM r""",
+    by_file=True,
 )
 def pattern_metadata(t: Tables) -> DataFrame:
     stops, jps = net.stops(t), net.journey_patterns(t)
-    bridge = _bridge(t)
-    ends = seq.terminal_stops(_sequence(t), stops)
+    # Worked out in a stage of its own, and once: both readers take the same columns.
+    sequence = _sequence(t).repartition("file_id", "jp_id")
+    bridge = pat.service_pattern_bridge(jps, sequence)
+    ends = seq.terminal_stops(sequence, stops)
     direction = jps.select("file_id", "jp_id", "direction")
     patterns = (
         bridge.join(direction, ["file_id", "jp_id"])
@@ -420,7 +437,7 @@ def pattern_metadata(t: Tables) -> DataFrame:
         )
     )
     # Lines L0..L3 per file; L1 has no inbound text, L2 no outbound text.
-    files = jps.select("file_id").distinct()
+    files = jps.select("file_id").distinct().repartition("file_id")
     line_id = F.explode(F.array(*[F.lit(f"L{i}") for i in range(4)])).alias("line_id")
     none = F.lit(None).cast("string")
     lines = files.select("file_id", line_id).select(
@@ -479,6 +496,7 @@ def journeys_by_line(t: Tables) -> DataFrame:
   CASE WHEN o_orderkey % 4 = 0 THEN 'B' || (o_orderkey % 20) END AS block_number,
   o_orderkey % 3 = 0 AS departure_day_shift
 FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
+    by_file=True,
 )
 def vehicle_journey_rows(t: Tables) -> DataFrame:
     return rollup.vehicle_journey_rows(net.vehicle_journeys(t), net.journey_patterns(t))

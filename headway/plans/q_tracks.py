@@ -154,13 +154,14 @@ joined AS (SELECT p.*, id, distance, coord, n, ka, kb FROM pairs p LEFT JOIN trk
 
 def _pairs(t: Tables) -> DataFrame:
     links = seq.pattern_links(net.journey_patterns(t), net.timing_links(t))
-    stops = seq.stop_sequence(links, net.placeholder_stops(net.timing_links(t)))
+    stops = seq.stop_sequence(links, net.placeholder_stops(t))
     return seq.consecutive_pairs(stops, ["file_id", "jp_id"], ["pos"])
 
 
 @query(
     "sufficient_tracks",
     _PAIRS_SQL + "SELECT file_id, jp_id, bool_and(coalesce(n >= 3, false)) AS sufficient FROM joined GROUP BY ALL",
+    by_file=True,
 )
 def sufficient_tracks(t: Tables) -> DataFrame:
     return trk.sufficient_tracks(_pairs(t), _pattern_tracks(t))
@@ -176,6 +177,7 @@ e AS (SELECT d.*, CASE WHEN CAST(substr(jp_id, 3) AS BIGINT) % 6 = 0 THEN CAST(s
 SELECT file_id, jp_id, CAST(CASE WHEN ok THEN td ELSE coalesce(rd, floor(hv)) END AS BIGINT) AS distance,
   CAST(CASE WHEN ok THEN tc END AS BIGINT) AS coord_distance,
   CASE WHEN ok THEN 'tracks' WHEN rd IS NOT NULL THEN 'routed' ELSE 'stops' END AS distance_source FROM e""",
+    by_file=True,
 )
 def pattern_distance(t: Tables) -> DataFrame:
     pairs = _pairs(t)
@@ -199,6 +201,7 @@ pt AS (SELECT file_id, jp_id, 0 AS i, ka * 0.01 AS lon, ka * 0.005 + 52 AS lat F
   UNION ALL SELECT file_id, jp_id, before + n - 1, kb * 0.01, kb * 0.005 + 52 FROM g)
 SELECT file_id, jp_id, CAST(count(*) AS INTEGER) AS points, round(sum((i + 1) * lon), 6) AS lon_by_place, round(sum((i + 1) * lat), 6) AS lat_by_place
 FROM pt GROUP BY ALL""",
+    by_file=True,
 )
 def pattern_geometry(t: Tables) -> DataFrame:
     lines = trk.pattern_geometry(_pairs(t), _pattern_tracks(t))
@@ -219,10 +222,11 @@ def pattern_geometry(t: Tables) -> DataFrame:
 p AS (SELECT file_id, jp_id, pos, p_partkey % 600 / 100.0 - 5 AS lon FROM seq JOIN part ON 'ST' || p_partkey = stop_ref)
 SELECT file_id, jp_id, CASE WHEN count(*) >= 2 THEN CAST(count(*) AS INTEGER) END AS points,
   CASE WHEN count(*) >= 2 THEN round(min_by(lon, pos), 6) END AS first_lon FROM p GROUP BY ALL""",
+    by_file=True,
 )
 def pattern_shape(t: Tables) -> DataFrame:
     links = seq.pattern_links(net.journey_patterns(t), net.timing_links(t))
-    stops = seq.stop_sequence(links, net.placeholder_stops(net.timing_links(t)))
+    stops = seq.stop_sequence(links, net.placeholder_stops(t))
     located = stops.join(
         net.stops(t).select(F.col("atco_code").alias("stop_ref"), "lon", "lat"), "stop_ref"
     ).withColumn("k", F.lit(0))
