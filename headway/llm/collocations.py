@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from headway.llm.common import small_batches, texts_of
-from headway.session import release, staged
+from headway.session import WIDE, release, staged
 
 # Bytes of text whose words share one dictionary and one stream of ids.
 SLICE = 4 << 20
@@ -343,7 +343,7 @@ def phrase_levels(docs: DataFrame, lang: str, text: str, least: int, longest: in
     Level 1 has ``symbol, f, lang, word``, a further one ``symbol, f, left, right``: a
     phrase is the pair of the phrases without its last and without its first word.
     """
-    stream = staged(streams(docs, lang, text, size))
+    stream = staged(streams(docs, lang, text, size), WIDE)
     words = stream.select(F.explode(F.arrays_zip("langs", "words", "counts")).alias("x"))
     words = words.select(F.col("x.langs").alias("lang"), F.col("x.words").cast("string").alias("word"), F.col("x.counts").alias("n"))
     every = words.groupBy("lang", "word").agg(F.sum("n").alias("f"))
@@ -353,7 +353,7 @@ def phrase_levels(docs: DataFrame, lang: str, text: str, least: int, longest: in
     for level in range(2, longest + 1):
         following = next_level(stream, levels[-1], level == 2)
         with small_batches(docs.sparkSession):
-            rows = staged(following)
+            rows = staged(following, WIDE)
         release(stream)
         pairs = rows.where("part is not null").groupBy("part").applyInArrow(frequent_cells(least), "left long, right long, f long")
         levels.append(numbered(pairs, "left", "right"))

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 import headway.llm.collocations as module
 from headway.llm.collocations import collocations, squeezed, words_of
+from headway.session import staged
 from tests.llm.cases import SCHEMA, documents, prose
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -132,3 +134,22 @@ def test_counts_beyond_64_bits_stay_exact(spark):
     row = spark.range(1).select(*[F.lit(v).cast(LongType()).alias(c) for c, v in {"f": a, "n": n, "l": l, "r": r}.items()])
     got = row.select(F.expr("cast(1000 * cast(f as decimal(38, 0)) * n as decimal(38, 0)) div (cast(l as decimal(38, 0)) * r)")).first()[0]
     assert got == 1000 * a * n // (l * r)
+
+
+def test_wide_rows_are_written_in_small_groups(spark, monkeypatch):
+    """Slices are rows of megabytes: a reader's memory is a group of them, whatever a task holds."""
+    groups = []
+
+    def held(df, *options):
+        table = staged(df, *options)
+        if "ids" in table.columns:
+            for file in table.inputFiles():
+                meta = pq.ParquetFile(file.removeprefix("file:")).metadata
+                groups.append([meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)])
+        return table
+
+    monkeypatch.setattr(module, "staged", held)
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(150_000)), lambda i: (i * 7919 + F.col("id") * 104_729) % 999_983), " ")
+    frame = spark.range(0, 13, 1, 1).select(F.lit("en").alias("lang"), text.alias("text"))
+    assert collocations(frame, least=1000, longest=2, size=1 << 20).count() == 0
+    assert sum(map(sum, groups)) > 16 << 20 and max(map(max, groups)) < 12 << 20
