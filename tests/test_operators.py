@@ -14,6 +14,7 @@ from headway.operators import sequence as seq
 from headway.operators import tracks as trk
 from headway.operators.components import connected_components, extended_components
 from headway.operators.scan import scan
+from headway.session import staged
 from tests.conftest import rows
 
 D = datetime.date
@@ -58,6 +59,25 @@ def test_blocked_steps_read_what_was_written_once(spark):
     assert [r.departure_time for r in out.orderBy("auto_sequence_number").collect()] == ["10:00:00", "10:01:00", "10:02:00", "10:03:00"]
 
 
+def test_only_sequences_longer_than_a_block_are_cut(spark, monkeypatch):
+    """Blocked scans write and shuffle their rows: those of short sequences are left out, their times are the same."""
+    monkeypatch.setattr(seq, "BLOCK_LINKS", 4)
+    written = []
+    monkeypatch.setattr(seq, "staged", lambda df: written.append(staged(df)) or written[-1])
+    links = [link(s, i, use(f"P{i}", "PT5S"), use(f"P{i + 1}")) for s, n in (("s", 3), ("l", 11)) for i in range(n)]
+    journeys = [("f", f"v{j}{own}", 0, f"j{j}", None, None, None, "10:00:00") for j in "sl" for own in "ab"]
+    args = (
+        spark.createDataFrame(journeys, VJS),
+        spark.createDataFrame([("f", f"j{s}", 0, "c", "inbound", [s]) for s in "sl"], JPS),
+        spark.createDataFrame(links, LINKS),
+        spark.createDataFrame([("f", f"v{s}b", 0, f"{s}1", "PT9M", None, None) for s in "sl"], VJ_LINKS),
+    )
+    got, want = (sorted(map(tuple, seq.stop_times(*args, blocked=b).collect())) for b in (True, False))
+    assert got == want and len(got) == 2 * (4 + 12)
+    rows = [t.groupBy("jp_id").count().collect() for t in written if "run" in t.columns]
+    assert rows and {r.jp_id for found in rows for r in found} == {"jl"}
+
+
 @pytest.mark.parametrize("blocked", [False, True])
 class TestStopTimes:
     def test_one_section(self, spark, blocked):
